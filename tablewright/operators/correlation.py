@@ -6,70 +6,79 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.profile import long_rows
+from tablewright.operators.profile import long_rows, row_sql
 from tablewright.operators.projection import numeric_columns
-from tablewright.operators.quantiles import measure
+from tablewright.operators.quantiles import measure_sql, sql_text
 
 #: Pairs per aggregate; more would outgrow one generated method.
 PAIRS_PER_PASS = 120
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Pairwise-complete correlation (T13); NULL when either side is constant."""
-    spread = (F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b)))
-    return F.try_divide(F.covar_pop(a, b), spread)
+def _complete(data: DataFrame, names: Sequence[str]) -> set[str]:
+    """The columns without missing values: one count per column, one row back."""
+    gaps = data.selectExpr(*[f"count(1) - count({m}) AS {m}" for m in names]).first()
+    return {m for m in names if gaps[m] == 0}
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """COR2: every unordered pair of columns once; undefined correlations are left out."""
+    """COR2: every unordered pair of columns once; undefined correlations are left out.
+
+    A pair uses the rows that have both values (T13), and is undefined when either side is
+    constant there. Columns found complete share one deviation over all their pairs.
+    """
     cols = list(cols or numeric_columns(df))
+    names = {c: f"m{i}" for i, c in enumerate(cols)}
+    data = df.selectExpr(*[f"{measure_sql(df, c)} AS {m}" for c, m in names.items()])
+    complete = _complete(data, list(names.values()))
+
+    def spread(a: str, b: str) -> str:
+        return f"stddev_pop({a})" if b in complete else (
+            f"stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END)")
+
     pairs = list(combinations(cols, 2))
     passes = []
     for start in range(0, len(pairs), PAIRS_PER_PASS):
-        rows = [
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                     pearson(measure(df, a), measure(df, b)).alias("corr"))
-            for a, b in pairs[start:start + PAIRS_PER_PASS]
-        ]
-        passes.append(long_rows(df, rows))
+        rows = []
+        for left, right in pairs[start:start + PAIRS_PER_PASS]:
+            a, b = names[left], names[right]
+            rows.append(row_sql(
+                col_a=sql_text(left), col_b=sql_text(right),
+                corr=f"try_divide(covar_pop({a}, {b}), {spread(a, b)} * {spread(b, a)})"))
+        passes.append(long_rows(data, rows))
+    if not passes:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
     return reduce(DataFrame.unionByName, passes).filter("corr is not null")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """COR1: the full square matrix in long form, diagonal and both orders of a pair.
+    """COR1: the full square matrix in long form: the pairs in both orders and the diagonal.
 
-    A constant column keeps its cells, with NULL.
+    Undefined cells are absent; a constant column has no diagonal cell either.
     """
     cols = list(cols or numeric_columns(df))
-    cells = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    passes = []
-    for start in range(0, len(cells), PAIRS_PER_PASS):
-        rows = []
-        for a, b in cells[start:start + PAIRS_PER_PASS]:
-            if a == b:
-                m = measure(df, a)
-                value = F.when(F.stddev_pop(m) > 0, F.lit(1.0))
-            else:
-                value = pearson(measure(df, a), measure(df, b))
-            rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                 value.alias("corr")))
-        passes.append(long_rows(df, rows))
-    upper = reduce(DataFrame.unionByName, passes)
-    mirrored = F.when(F.col("col_a") == F.col("col_b"), F.array(F.struct("col_a", "col_b"))).otherwise(
-        F.array(F.struct("col_a", "col_b"),
-                F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"))))
-    return upper.select("corr", F.inline(mirrored)).select("col_a", "col_b", "corr")
+    both = F.array(F.struct("col_a", "col_b"),
+                   F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")))
+    off = correlation_pairs(df, cols).select("corr", F.inline(both)).select("col_a", "col_b", "corr")
+    diagonal = long_rows(df, [
+        row_sql(col_a=sql_text(c), col_b=sql_text(c),
+                corr=f"CASE WHEN min({m}) < max({m}) THEN double('1') END")
+        for c, m in ((c, measure_sql(df, c)) for c in cols)]).filter("corr is not null")
+    return off.unionByName(diagonal)
 
 
 def significant_pairs(df: DataFrame, cols: Sequence[str] | None = None,
                       threshold: float = 0.7) -> DataFrame:
     """COR3: pairs with |r| of at least the threshold, strongest first."""
+    return strong_pairs(correlation_pairs(df, cols), threshold)
+
+
+def strong_pairs(pairs: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """COR3 from pairs already at hand."""
     return (
-        correlation_pairs(df, cols)
-        .withColumn("abs_corr", F.abs("corr"))
+        pairs.withColumn("abs_corr", F.abs("corr"))
         .filter(F.col("abs_corr") >= F.lit(threshold))
         .orderBy(F.desc("abs_corr"), "col_a", "col_b")
     )

@@ -20,7 +20,7 @@ from tablewright.operators.metrics import binary_metrics, roc_auc
 from tablewright.operators.projection import align_columns, drop_present, numeric_columns
 from tablewright.operators.quantiles import with_stats
 from tablewright.operators.scenarios import verdict_text
-from tablewright.session import ensure_checkpoint_dir
+from tablewright.session import ensure_checkpoint_dir, scratch_path
 
 WEIGHT = "class_weight"
 
@@ -81,10 +81,19 @@ def define_models(train_rows: int, sizes: ModelSizes = ModelSizes()) -> dict[str
 
 
 def fit_model(train: DataFrame, estimator, features: Sequence[str]) -> PipelineModel:
-    """Fit one estimator on a table made by `model_input` and `class_weights`."""
+    """Fit one estimator on a table made by `model_input` and `class_weights`.
+
+    A fitted model may carry its training summary and with it the session, which cannot be sent
+    to the executors once the session has observed a query. Storing and loading it drops both.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, estimator]).fit(train)
+    model = Pipeline(stages=[assembler, estimator]).fit(train)
+    if getattr(model.stages[-1], "hasSummary", False):
+        path = scratch_path(train.sparkSession, "model")
+        save_model(model, path)
+        model = load_model(path)
+    return model
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -127,10 +136,11 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
         started = time.monotonic()
         models[name] = fit_model(ready, estimators[name], features)
         seconds = time.monotonic() - started
-        scored = predict(models[name], held).select("label", "prediction", "score").persist()
+        path = scratch_path(train.sparkSession, f"scored-{name}")
+        predict(models[name], held).select("label", "prediction", "score").write.parquet(path)
+        scored = train.sparkSession.read.parquet(path)
         figures = binary_metrics(scored).first()
         auc = roc_auc(scored).first().roc_auc
-        scored.unpersist()
         rows.append((name, rank, *figures, auc, seconds))
     results = train.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
     return Training(models, results, best_of(results))

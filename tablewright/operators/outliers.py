@@ -4,50 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import percent_text
-from tablewright.operators.profile import long_rows
+from tablewright.operators.profile import long_rows, percent_sql, row_sql
 from tablewright.operators.projection import numeric_columns
-from tablewright.operators.quantiles import measure, quantile_row, with_stats
+from tablewright.operators.quantiles import (
+    measure_sql, quantile_row, sql_double, sql_name, sql_text, with_stats,
+)
 
 
 def fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: str = "exact") -> DataFrame:
     """One row: per column a struct of quartiles and fences. Fit once, apply to any table."""
     quartiles = quantile_row(df, cols, [0.25, 0.5, 0.75], mode)
-    return quartiles.select(*[_fence(quartiles[c], k).alias(c) for c in cols])
+    reach = sql_double(float(k))
+    structs = []
+    for c in cols:
+        q = sql_name(c)
+        fields = row_sql(q1=f"{q}[0]", median=f"{q}[1]", q3=f"{q}[2]",
+                         lower_bound=f"{q}[0] - {reach} * ({q}[2] - {q}[0])",
+                         upper_bound=f"{q}[2] + {reach} * ({q}[2] - {q}[0])")
+        structs.append(f"{fields} AS {q}")
+    return quartiles.selectExpr(*structs)
 
 
-def _fence(q: Column, k: float) -> Column:
-    spread = q[2] - q[0]
-    return F.struct(q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
-                    (q[0] - F.lit(float(k)) * spread).alias("lower_bound"),
-                    (q[2] + F.lit(float(k)) * spread).alias("upper_bound"))
+def _fence(c: str, part: str) -> str:
+    return f"__stats.{sql_name(c)}.{part}"
 
 
-def is_outside(x: Column, fence: Column) -> Column:
-    """Strictly outside the fences; a missing value is not."""
-    outside = (x < fence.getField("lower_bound")) | (x > fence.getField("upper_bound"))
-    return F.coalesce(outside, F.lit(False))
+def outside_sql(df: DataFrame, c: str) -> str:
+    """Strictly outside the attached fences; a missing value is not."""
+    x = measure_sql(df, c)
+    return (f"coalesce({x} < {_fence(c, 'lower_bound')} OR {x} > {_fence(c, 'upper_bound')}, false)")
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
                  exclude: Iterable[str] = (), fitted: DataFrame | None = None,
                  mode: str = "exact") -> DataFrame:
     """OUT1: columns with outliers: count, percent of rows, fences."""
-    cols = [c for c in (cols or numeric_columns(df)) if c not in set(exclude)]
+    skip = set(exclude)
+    cols = [c for c in (cols or numeric_columns(df)) if c not in skip]
     fitted = fences(df, cols, k, mode) if fitted is None else fitted
     rows = []
     for c in cols:
-        fence = F.col("__stats").getField(c)
-        n = F.count_if(is_outside(measure(df, c), fence))
-        rows.append(F.struct(
-            F.lit(c).alias("column"), n.alias("outlier_count"),
-            F.try_divide(n * F.lit(100.0), F.count(F.lit(1))).alias("outlier_pct"),
-            F.first(fence.getField("lower_bound")).alias("lower_bound"),
-            F.first(fence.getField("upper_bound")).alias("upper_bound"),
-        ))
+        n = f"count_if({outside_sql(df, c)})"
+        rows.append(row_sql(
+            column=sql_text(c), outlier_count=n, outlier_pct=percent_sql(n),
+            lower_bound=f"first({_fence(c, 'lower_bound')})",
+            upper_bound=f"first({_fence(c, 'upper_bound')})"))
     return long_rows(with_stats(df, fitted), rows).filter("outlier_count > 0")
 
 
@@ -62,8 +67,7 @@ def outlier_rows(df: DataFrame, col: str, k: float = 1.5, fitted: DataFrame | No
                  mode: str = "exact") -> DataFrame:
     """FLT6: the rows whose value lies outside the fences."""
     fitted = fences(df, [col], k, mode) if fitted is None else fitted
-    marked = with_stats(df, fitted)
-    return marked.filter(is_outside(measure(df, col), F.col("__stats").getField(col))).drop("__stats")
+    return with_stats(df, fitted).filter(outside_sql(df, col)).drop("__stats")
 
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
@@ -72,12 +76,11 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1
     cols = list(cols or numeric_columns(df))
     rows = []
     for c in cols:
-        x, fence = measure(df, c), F.col("__stats").getField(c)
-        inside = F.when(~is_outside(x, fence), x)
-        rows.append(F.struct(
-            F.lit(c).alias("column"),
-            *[F.first(fence.getField(f)).alias(f) for f in ("q1", "median", "q3")],
-            F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"),
-            F.count_if(is_outside(x, fence)).alias("outlier_count"),
-        ))
+        outside = outside_sql(df, c)
+        inside = f"CASE WHEN NOT {outside} THEN {measure_sql(df, c)} END"
+        rows.append(row_sql(
+            column=sql_text(c),
+            **{f: f"first({_fence(c, f)})" for f in ("q1", "median", "q3")},
+            whisker_low=f"min({inside})", whisker_high=f"max({inside})",
+            outlier_count=f"count_if({outside})"))
     return long_rows(with_stats(df, fences(df, cols, k, mode)), rows)

@@ -15,24 +15,36 @@ from pyspark.sql import types as T
 from tablewright.functions.cleaning import col_of, to_number
 from tablewright.operators.dedup import duplicate_groups
 from tablewright.operators.projection import column_kind, numeric_columns
-from tablewright.operators.quantiles import as_scalar, measure, quantile_exprs, with_stats
+from tablewright.operators.quantiles import (
+    measure, measure_sql, quantile_sql, sql_name, sql_text, with_stats,
+)
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    """NULL, or NaN in a floating column."""
-    c = col_of(name)
+def missing_sql(df: DataFrame, name: str) -> str:
+    """NULL, or NaN in a floating column, as SQL text."""
+    c = sql_name(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"({c} IS NULL)"
+
+
+def is_missing(df: DataFrame, name: str) -> Column:
+    """The same as a Column."""
+    return F.expr(missing_sql(df, name))
+
+
+def row_sql(**fields: str) -> str:
+    """A struct of SQL expressions by field name."""
+    return f"named_struct({', '.join(f'{sql_text(k)}, {v}' for k, v in fields.items())})"
 
 
-def long_rows(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
+def long_rows(df: DataFrame, rows: Sequence[str]) -> DataFrame:
     """Aggregate the table once and lay the given structs out as rows."""
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    return df.selectExpr(f"array({', '.join(rows)}) AS r").selectExpr("inline(r)")
 
 
-def _percent(part: Column, whole: Column) -> Column:
-    return F.try_divide(part * F.lit(100.0), whole)
+def percent_sql(part: str, whole: str = "count(1)") -> str:
+    return f"try_divide({part} * double('100'), {whole})"
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -44,12 +56,10 @@ def shape(df: DataFrame) -> DataFrame:
 def missing_by_column(df: DataFrame, cols: Sequence[str] | None = None,
                       only_affected: bool = False) -> DataFrame:
     """AGG2, AGG12, FLT8: missing cells per column, count and percent of rows."""
-    total = F.count(F.lit(1))
     rows = []
     for c in cols or df.columns:
-        n = F.count_if(is_missing(df, c))
-        rows.append(F.struct(F.lit(c).alias("column"), n.alias("missing_count"),
-                             _percent(n, total).alias("missing_pct")))
+        n = f"count_if({missing_sql(df, c)})"
+        rows.append(row_sql(column=sql_text(c), missing_count=n, missing_pct=percent_sql(n)))
     out = long_rows(df, rows)
     return out.filter("missing_count > 0") if only_affected else out
 
@@ -72,53 +82,49 @@ def column_profile(df: DataFrame, cols: Sequence[str], order_by: Sequence[str])
     The sample is the mean of a numeric column, else the first value in the given order.
     A listed column the table lacks yields a row with exists = false.
     """
-    order = F.struct(*[col_of(c) for c in order_by])
-    total = F.count(F.lit(1))
+    order = f"struct({', '.join(sql_name(c) for c in order_by)})"
     types = dict(df.dtypes)
-    none_text, none_number = F.lit(None).cast("string"), F.lit(None).cast("double")
     rows = []
     for c in cols:
         known = c in types
         numeric = known and isinstance(df.schema[c].dataType, T.NumericType)
-        n = F.count_if(is_missing(df, c)) if known else F.lit(None).cast("bigint")
-        text = none_text
+        n = f"count_if({missing_sql(df, c)})" if known else "CAST(NULL AS BIGINT)"
+        text = "CAST(NULL AS STRING)"
         if known and not numeric:
-            text = F.min_by(col_of(c).cast("string"), F.when(col_of(c).isNotNull(), order))
-        rows.append(F.struct(
-            F.lit(c).alias("column"),
-            F.lit(known).alias("exists"),
-            F.lit(types.get(c)).cast("string").alias("data_type"),
-            n.alias("missing_count"),
-            (_percent(n, total) if known else none_number).alias("missing_pct"),
-            (F.avg(measure(df, c)) if numeric else none_number).alias("sample_mean"),
-            text.alias("sample_text"),
-        ))
+            text = f"min_by(string({sql_name(c)}), CASE WHEN {sql_name(c)} IS NOT NULL THEN {order} END)"
+        rows.append(row_sql(
+            column=sql_text(c), exists=str(known).lower(),
+            data_type=sql_text(types[c]) if known else "CAST(NULL AS STRING)",
+            missing_count=n, missing_pct=percent_sql(n),
+            sample_mean=f"avg({measure_sql(df, c)})" if numeric else "CAST(NULL AS DOUBLE)",
+            sample_text=text))
     return long_rows(df, rows)
 
 
 def targeted_summary(df: DataFrame, key: str, price: str, flags: Sequence[str] = (),
                      scores: Sequence[str] = (), texts: Sequence[str] = ()) -> DataFrame:
     """AGG5: the figures an analyst looks at first, as (column, metric, value)."""
-    total = F.count(F.lit(1))
-    median = quantile_exprs(df, [price], [0.5])[price][0]
-    p = measure(df, price)
+    median = quantile_sql(df, [price], [0.5])[price]
+    p = measure_sql(df, price)
+    missing = {c: f"count_if({missing_sql(df, c)})" for c in [price, *flags, *scores, *texts]}
     found = [
-        (price, "missing", F.count_if(is_missing(df, price))),
-        (price, "zero", F.count_if(p == 0)),
-        (price, "min", F.min(p)),
-        (price, "max", F.max(p)),
-        (price, "mean", F.avg(p)),
-        (price, "median", median),
+        (price, "missing", missing[price]),
+        (price, "zero", f"count_if({p} = 0)"),
+        (price, "min", f"min({p})"),
+        (price, "max", f"max({p})"),
+        (price, "mean", f"avg({p})"),
+        (price, "median", f"{median}[0]"),
     ]
     for c in flags:
-        present = F.count_if(~is_missing(df, c))
-        found += [(c, "present", present), (c, "present_pct", _percent(present, total))]
+        present = f"(count(1) - {missing[c]})"
+        found += [(c, "present", present), (c, "present_pct", percent_sql(present))]
+    numbers = df.withColumns({f"__number_{c}": to_number(c) for c in scores})
     for c in scores:
-        found += [(c, "missing", F.count_if(is_missing(df, c))),
-                  (c, "mean", F.avg(to_number(c)))]
-    found += [(c, "missing", F.count_if(is_missing(df, c))) for c in texts]
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"),
-                     v.cast("double").alias("value")) for c, m, v in found]
+        mean = f"avg({sql_name('__number_' + c)})"
+        found += [(c, "missing", missing[c]), (c, "mean", mean)]
+    found += [(c, "missing", missing[c]) for c in texts]
+    rows = [row_sql(column=sql_text(c), metric=sql_text(m), value=f"double({v})")
+            for c, m, v in found]
     n = F.col("n")
     keys = duplicate_groups(df, [key]).agg(F.array(
         F.struct(F.lit(key).alias("column"), F.lit("unique").alias("metric"),
@@ -126,22 +132,20 @@ def targeted_summary(df: DataFrame, key: str, price: str, flags: Sequence[str] =
         F.struct(F.lit(key).alias("column"), F.lit("duplicates").alias("metric"),
                  F.coalesce(F.sum(n - 1), F.lit(0)).cast("double").alias("value")),
     ).alias("r")).select(F.inline("r"))
-    return keys.unionByName(long_rows(df, rows))
+    return keys.unionByName(long_rows(numbers, rows))
 
 
 def numeric_describe(df: DataFrame, cols: Sequence[str] | None = None,
                      mode: str = "exact") -> DataFrame:
     """AGG6: count, mean, sample deviation, minimum, quartiles and maximum per column."""
     cols = list(cols or numeric_columns(df))
-    quartiles = quantile_exprs(df, cols, [0.25, 0.5, 0.75], mode)
+    quartiles = quantile_sql(df, cols, [0.25, 0.5, 0.75], mode)
     rows = []
     for c in cols:
-        m, q = measure(df, c), quartiles[c]
-        rows.append(F.struct(
-            F.lit(c).alias("column"), F.count(m).alias("n"), F.avg(m).alias("mean"),
-            F.stddev_samp(m).alias("std"), F.min(m).alias("min"), q[0].alias("q25"),
-            q[1].alias("q50"), q[2].alias("q75"), F.max(m).alias("max"),
-        ))
+        m, q = measure_sql(df, c), quartiles[c]
+        rows.append(row_sql(
+            column=sql_text(c), n=f"count({m})", mean=f"avg({m})", std=f"stddev_samp({m})",
+            min=f"min({m})", q25=f"{q}[0]", q50=f"{q}[1]", q75=f"{q}[2]", max=f"max({m})"))
     return long_rows(df, rows)
 
 
@@ -150,33 +154,31 @@ def value_range(df: DataFrame, c: str) -> DataFrame:
     return df.agg(F.min(col_of(c)).alias("min_value"), F.max(col_of(c)).alias("max_value"))
 
 
-def sample_skewness(m: Column) -> Column:
+def sample_skewness_sql(m: str) -> str:
     """Bias-corrected skewness (T2): NULL below 3 values, 0 for a constant column."""
-    n = F.count(m).cast("double")
-    g1 = F.coalesce(F.skewness(m), F.lit(0.0))
-    return F.when(n >= 3, F.try_divide(g1 * F.sqrt(n * (n - 1)), n - 2))
+    n = f"double(count({m}))"
+    return (f"CASE WHEN count({m}) >= 3 THEN try_divide("
+            f"coalesce(skewness({m}), double('0')) * sqrt({n} * ({n} - 1)), {n} - 2) END")
 
 
-def sample_kurtosis(m: Column) -> Column:
+def sample_kurtosis_sql(m: str) -> str:
     """Bias-corrected excess kurtosis (T2): NULL below 4 values, 0 for a constant column."""
-    n = F.count(m).cast("double")
-    g2 = F.kurtosis(m)
-    scaled = F.try_divide((n - 1) * ((n + 1) * g2 + 6), (n - 2) * (n - 3))
-    return F.when(n >= 4, F.coalesce(scaled, F.lit(0.0)))
+    n = f"double(count({m}))"
+    return (f"CASE WHEN count({m}) >= 4 THEN coalesce(try_divide(({n} - 1) * (({n} + 1) * "
+            f"kurtosis({m}) + 6), ({n} - 2) * ({n} - 3)), double('0')) END")
 
 
 def distribution_moments(df: DataFrame, cols: Sequence[str], mode: str = "exact",
                          skew_limit: float = 2.0) -> DataFrame:
     """AGG7: mean, median, deviation, range, skewness and kurtosis; flags a high skew."""
-    medians = quantile_exprs(df, cols, [0.5], mode)
+    medians = quantile_sql(df, cols, [0.5], mode)
     rows = []
     for c in cols:
-        m = measure(df, c)
-        rows.append(F.struct(
-            F.lit(c).alias("column"), F.avg(m).alias("mean"), medians[c][0].alias("median"),
-            F.stddev_samp(m).alias("std"), F.min(m).alias("min"), F.max(m).alias("max"),
-            sample_skewness(m).alias("skewness"), sample_kurtosis(m).alias("kurtosis"),
-        ))
+        m = measure_sql(df, c)
+        rows.append(row_sql(
+            column=sql_text(c), mean=f"avg({m})", median=f"{medians[c]}[0]",
+            std=f"stddev_samp({m})", min=f"min({m})", max=f"max({m})",
+            skewness=sample_skewness_sql(m), kurtosis=sample_kurtosis_sql(m)))
     return long_rows(df, rows).withColumn(
         "high_skew", F.coalesce(F.abs("skewness") > F.lit(skew_limit), F.lit(False)))
 
@@ -184,9 +186,9 @@ def distribution_moments(df: DataFrame, cols: Sequence[str], mode: str = "exact"
 def kind_counts(df: DataFrame) -> DataFrame:
     """AGG8: number of columns per class, from the schema alone."""
     kinds = [column_kind(f.dataType) for f in df.schema]
-    rows = [F.struct(F.lit(k).alias("kind"), F.lit(kinds.count(k)).cast("bigint").alias("n_columns"))
+    rows = [row_sql(kind=sql_text(k), n_columns=f"{kinds.count(k)}L")
             for k in ("numeric", "text", "datetime", "boolean")]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return df.sparkSession.range(1).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -199,7 +201,8 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     counts = cells.groupBy("column", "category").agg(F.count(F.lit(1)).alias("n"))
     total = F.coalesce(*[F.when(F.col("column") == c, F.col("__stats").getField(c)) for c in cols])
     return with_stats(counts, present).select(
-        "column", "category", "n", _percent(F.col("n"), total).alias("percentage"))
+        "column", "category", "n",
+        F.try_divide(F.col("n") * F.lit(100.0), total).alias("percentage"))
 
 
 def category_totals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -229,15 +232,14 @@ def describe_columns(df: DataFrame, descriptions: Mapping[str, str] | None = Non
                      mode: str = "exact") -> DataFrame:
     """SNK7: the documentation table: name, type, description, missing and distinct values."""
     notes = descriptions or {}
-    count = {"exact": F.count_distinct, "approx": F.approx_count_distinct}[mode]
+    count = {"exact": "count(DISTINCT {})", "approx": "approx_count_distinct({})"}[mode]
     rows = []
     for name, data_type in df.dtypes:
-        rows.append(F.struct(
-            F.lit(name).alias("column_name"), F.lit(data_type).alias("data_type"),
-            F.lit(notes.get(name, "")).alias("description"),
-            F.count_if(is_missing(df, name)).alias("missing_count"),
-            count(F.when(~is_missing(df, name), col_of(name))).alias("unique_values"),
-        ))
+        gone = missing_sql(df, name)
+        rows.append(row_sql(
+            column_name=sql_text(name), data_type=sql_text(data_type),
+            description=sql_text(notes.get(name, "")), missing_count=f"count_if({gone})",
+            unique_values=count.format(f"CASE WHEN NOT {gone} THEN {sql_name(name)} END")))
     return long_rows(df, rows)
 
 

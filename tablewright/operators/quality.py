@@ -13,10 +13,10 @@ from tablewright.operators.dedup import duplicate_counts
 from tablewright.operators.outliers import iqr_outliers
 from tablewright.operators.profile import (
     category_totals, distribution_moments, kind_counts, long_rows, missing_by_column,
-    missing_summary, value_counts,
+    missing_summary, row_sql, value_counts,
 )
 from tablewright.operators.projection import numeric_columns
-from tablewright.operators.quantiles import as_scalar, measure
+from tablewright.operators.quantiles import as_scalar, measure_sql, sql_double, sql_text
 
 
 @dataclass(frozen=True)
@@ -57,16 +57,16 @@ def range_check(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
     for rule in rules:
         if rule.column not in df.columns:
             continue
-        m = measure(df, rule.column)
-        bad = F.lit(False)
+        m = measure_sql(df, rule.column)
+        broken = []
         if rule.lower is not None:
-            bad = bad | (m < F.lit(float(rule.lower)))
+            broken.append(f"{m} < {sql_double(float(rule.lower))}")
         if rule.upper is not None:
-            bad = bad | (m > F.lit(float(rule.upper)))
-        rows.append(F.struct(
-            F.lit(rule.column).alias("column"), F.lit(rule.text).alias("check"),
-            F.count_if(bad).alias("invalid_count"),
-            F.min(m).alias("min"), F.max(m).alias("max")))
+            broken.append(f"{m} > {sql_double(float(rule.upper))}")
+        rows.append(row_sql(
+            column=sql_text(rule.column), check=sql_text(rule.text),
+            invalid_count=f"count_if({' OR '.join(broken) or 'false'})",
+            min=f"min({m})", max=f"max({m})"))
     if not rows:
         return df.sparkSession.createDataFrame(
             [], "column string, check string, invalid_count bigint, min double, max double")

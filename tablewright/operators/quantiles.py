@@ -17,26 +17,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.cleaning import col_of, nan_to_null
+from tablewright.functions.cleaning import col_of
 from tablewright.session import is_small
 
-GRID = 256
-ACCURACY = 20 * GRID
+GRID = 128
+ACCURACY = 40 * GRID
 FINAL_ROWS = 1_000_000
 MAX_ROUNDS = 16
 
 
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_double(value: float | None) -> str:
+    """A double literal for SQL text."""
+    if value is None:
+        return "CAST(NULL AS DOUBLE)"
+    return f"double('{value!r}')"
+
+
+def measure_sql(df: DataFrame, name: str) -> str:
+    """A numeric column as double, NaN as missing, as SQL text.
+
+    Operators over many columns build one SQL text: a call into the JVM per column and step
+    would take longer than the query.
+    """
+    c = sql_name(name)
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DoubleType):
+        return f"nullif({c}, double('NaN'))"
+    if isinstance(kind, T.FloatType):
+        return f"nullif(double({c}), double('NaN'))"
+    return f"double({c})"
+
+
 def measure(df: DataFrame, name: str) -> Column:
-    """A numeric column as double, NaN as missing."""
-    c = col_of(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return nan_to_null(c.cast("double"))
-    return c.cast("double")
+    """The same as a Column."""
+    return F.expr(measure_sql(df, name))
 
 
-def quantile_exprs(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   mode: str = "exact", final_rows: int = FINAL_ROWS) -> dict[str, Column]:
-    """Per column an array<double> of its quantiles, for use inside `df.agg`.
+def quantile_sql(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                 mode: str = "exact", final_rows: int = FINAL_ROWS) -> dict[str, str]:
+    """Per column an array<double> of its quantiles as SQL text, for use inside an aggregate.
 
     Mode 'exact' picks by the checked input size: 'buffered' is the built-in aggregate, 'rounds'
     the selection described above, whose results come back as constants. Mode 'approx' is the
@@ -44,23 +73,23 @@ def quantile_exprs(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     if mode == "exact":
         mode = "buffered" if is_small(df.select(*[col_of(c) for c in cols])) else "rounds"
+    points = f"array({', '.join(sql_double(float(p)) for p in probs)})"
     if mode == "buffered":
-        ps = F.array(*[F.lit(float(p)) for p in probs])
-        return {c: F.percentile(measure(df, c), ps) for c in cols}
+        return {c: f"percentile({measure_sql(df, c)}, {points})" for c in cols}
     if mode == "approx":
-        return {c: F.percentile_approx(measure(df, c), [float(p) for p in probs], ACCURACY)
-                for c in cols}
+        return {c: f"percentile_approx({measure_sql(df, c)}, {points}, {ACCURACY})" for c in cols}
     if mode != "rounds":
         raise ValueError(f"unknown mode {mode!r}")
     found = _select_by_rounds(df, cols, probs, final_rows)
-    return {c: F.array(*[F.lit(v).cast("double") for v in found[c]]) for c in cols}
+    return {c: f"array({', '.join(sql_double(v) for v in found[c])})" for c in cols}
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                  mode: str = "exact") -> DataFrame:
     """One row with one array<double> column per input column."""
-    exprs = quantile_exprs(df, cols, probs, mode)
-    return df.agg(*[exprs[c].alias(c) for c in cols])
+    exprs = quantile_sql(df, cols, probs, mode)
+    return df.agg(F.count(F.lit(1)).alias("__n"), *[
+        F.expr(exprs[c]).alias(c) for c in cols]).drop("__n")
 
 
 def as_scalar(row: DataFrame) -> Column:
@@ -97,17 +126,15 @@ class _Target:
     def done(self) -> bool:
         return not self.open_ranks
 
-    def inside(self) -> Column:
-        c = F.col(self.column)
-        return (c > F.lit(self.lo)) & (c < F.lit(self.hi))
+    def inside(self) -> str:
+        return f"{self.column} > {sql_double(self.lo)} AND {self.column} < {sql_double(self.hi)}"
 
 
 def _select_by_rounds(df, cols, probs, final_rows):
     names = {c: f"m{i}" for i, c in enumerate(cols)}
     data = df.select(*[measure(df, c).alias(names[c]) for c in cols])
-    basics = data.agg(*[
-        F.struct(F.count(m), F.min(m), F.max(m)).alias(m) for m in names.values()
-    ]).first()
+    basics = data.selectExpr(*[
+        f"struct(count({m}), min({m}), max({m})) AS {m}" for m in names.values()]).first()
 
     targets, wanted = [], {}
     for c in cols:
@@ -121,13 +148,13 @@ def _select_by_rounds(df, cols, probs, final_rows):
             targets.append(target)
             wanted[c, p] = (target, position - below)
 
-    grid_points = [i / GRID for i in range(GRID + 1)]
+    grid = f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})"
     for _ in range(MAX_ROUNDS):
         open_targets = [t for t in targets if not t.done and not t.final]
         if not open_targets:
             break
-        row = data.agg(*[_round_aggregate(t, grid_points).alias(f"t{i}")
-                         for i, t in enumerate(open_targets)]).first()
+        row = data.selectExpr(*[f"{_round_aggregate(t, grid)} AS t{i}"
+                                for i, t in enumerate(open_targets)]).first()
         for i, target in enumerate(open_targets):
             _narrow(target, row[i], final_rows)
 
@@ -135,7 +162,7 @@ def _select_by_rounds(df, cols, probs, final_rows):
     if not all(t.final for t in last):
         raise ArithmeticError("the brackets did not shrink; the column is not ordered")
     if last:
-        row = data.agg(*[_final_aggregate(t).alias(f"t{i}") for i, t in enumerate(last)]).first()
+        row = data.selectExpr(*[f"{_final_aggregate(t)} AS t{i}" for i, t in enumerate(last)]).first()
         for i, target in enumerate(last):
             target.values.update(zip(target.open_ranks, row[i]))
 
@@ -151,15 +178,11 @@ def _select_by_rounds(df, cols, probs, final_rows):
     return out
 
 
-def _round_aggregate(t: _Target, grid_points) -> Column:
-    c = F.col(t.column)
-    return F.struct(
-        F.count_if(c < F.lit(t.lo)),
-        F.count_if(c == F.lit(t.lo)),
-        F.count_if(t.inside()),
-        F.count_if(c == F.lit(t.hi)),
-        F.percentile_approx(F.when(t.inside(), c), grid_points, ACCURACY),
-    )
+def _round_aggregate(t: _Target, grid: str) -> str:
+    c, lo, hi = t.column, sql_double(t.lo), sql_double(t.hi)
+    return (f"struct(count_if({c} < {lo}), count_if({c} = {lo}), count_if({t.inside()}), "
+            f"count_if({c} = {hi}), "
+            f"percentile_approx(CASE WHEN {t.inside()} THEN {c} END, {grid}, {ACCURACY}))")
 
 
 def _narrow(t: _Target, counted, final_rows: int) -> None:
@@ -197,7 +220,7 @@ def _pick_cells(t: _Target, grid, first_inside: int, inner: int) -> None:
         t.hi = grid[right]
 
 
-def _final_aggregate(t: _Target) -> Column:
+def _final_aggregate(t: _Target) -> str:
     """The wanted ranks out of the sorted inside, which holds at most `final_rows` values."""
-    inside = F.sort_array(F.collect_list(F.when(t.inside(), F.col(t.column))))
-    return F.array(*[F.element_at(inside, F.lit(r - t.skip + 1)) for r in t.open_ranks])
+    inside = f"sort_array(collect_list(CASE WHEN {t.inside()} THEN {t.column} END))"
+    return f"array({', '.join(f'element_at({inside}, {r - t.skip + 1})' for r in t.open_ranks)})"

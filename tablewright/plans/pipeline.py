@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import to_number
-from tablewright.operators.correlation import correlation_pairs, significant_pairs
+from tablewright.operators.correlation import correlation_pairs, strong_pairs
 from tablewright.operators.explain import linear_attribution, mean_attribution, shapley_attribution
 from tablewright.operators.metrics import (
     class_report, confusion_matrix, pr_auc, pr_points, roc_auc, roc_points,
@@ -126,9 +126,10 @@ def profile(spark: SparkSession, cfg: PipelineConfig) -> None:
     cols = numeric_columns(final, cat.NOT_PROFILED)
     writers.write_csv(iqr_outliers_text(final, cols), cfg.path("reports/outliers"))
     writers.write_csv(boxplot_stats(final, cols), cfg.path("reports/boxplots"))
-    writers.write_csv(significant_pairs(final), cfg.path("reports/correlations"))
-    writers.write_csv(histogram(correlation_pairs(final), ["corr"]),
-                      cfg.path("reports/correlation_histogram"))
+    writers.write_parquet(correlation_pairs(final), cfg.path("reports/correlation_pairs"))
+    pairs = readers.read_stage(spark, cfg.path("reports/correlation_pairs"))
+    writers.write_csv(strong_pairs(pairs), cfg.path("reports/correlations"))
+    writers.write_csv(histogram(pairs, ["corr"]), cfg.path("reports/correlation_histogram"))
     writers.write_csv(histogram(final, cols), cfg.path("reports/histograms"))
 
 

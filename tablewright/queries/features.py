@@ -284,7 +284,7 @@ def engineered_catalogue(spark, sf):
     return rounded(made.select(*[F.col(c).alias(n) for c, n in names.items()]), 9)
 
 
-@query("final_catalogue", rounded_sql(f"""{_FEATURED}
+FINAL_SQL = rounded_sql(f"""{_FEATURED}
     SELECT "AppID", "Name", nullif("Genres", '') AS "Genres", year("Release date")::INTEGER AS "Release_year",
         "Days_since_release", "Platform_count", "Price", ("Price" = 0)::INTEGER AS "Is_free",
         "Total_reviews", ratio AS "Review_ratio",
@@ -293,7 +293,10 @@ def engineered_catalogue(spark, sf):
         ln(1 + "Total_reviews") AS "Log_total_reviews",
         CASE WHEN "Genres" = '' THEN 0 ELSE length("Genres") - length(replace("Genres", ',', '')) + 1
             END::INTEGER AS "Genre_count" FROM t""",
-    ["Price", "Review_ratio", "Log_owners", "Log_total_reviews"]))
+    ["Price", "Review_ratio", "Log_owners", "Log_total_reviews"])
+
+
+@query("final_catalogue", FINAL_SQL)
 def final_catalogue(spark, sf):
     return rounded(final_table(engineer_features(cleaned_catalogue(spark, sf), AS_OF)))
 

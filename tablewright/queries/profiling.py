@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import correlation, outliers, profile, quality
 from tablewright.operators.dedup import duplicate_counts
+from tablewright.operators.quantiles import quantile_sql, sql_text
 from tablewright.queries.base import query, rounded, rounded_sql, table, union_sql
+from tablewright.session import scratch_path
+from tablewright.sources.readers import read_stage
+from tablewright.sources.writers import write_parquet
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LABELLED = """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
@@ -112,13 +116,11 @@ def numeric_describe(spark, sf):
     for c in MEASURES]), ["q10", "q50", "q99"]))
 def exact_quantiles(spark, sf):
     """The form for inputs beyond the checked size: selection in rounds."""
-    from tablewright.operators.quantiles import quantile_exprs
-
     lines = table(spark, sf, "lineitem")
-    q = quantile_exprs(lines, MEASURES, [0.1, 0.5, 0.99], mode="rounds", final_rows=1000)
-    rows = [F.struct(F.lit(c).alias("column"), q[c][0].alias("q10"), q[c][1].alias("q50"),
-                     q[c][2].alias("q99")) for c in MEASURES]
-    return rounded(profile.long_rows(lines, rows))
+    q = quantile_sql(lines, MEASURES, [0.1, 0.5, 0.99], mode="rounds", final_rows=1000)
+    rows = [profile.row_sql(column=sql_text(c), q10=f"{q[c]}[0]", q50=f"{q[c]}[1]", q99=f"{q[c]}[2]")
+            for c in MEASURES]
+    return rounded(profile.long_rows(spark.range(1), rows))
 
 
 @query("value_range", """
@@ -346,8 +348,9 @@ def histogram(spark, sf):
 @query("corr_histogram", rounded_sql(_histogram_sql("corr", f"({PAIR_SQL})"),
                                      ["bin_start", "bin_end"], 5))
 def corr_histogram(spark, sf):
-    pairs = correlation.correlation_pairs(charged(spark, sf))
-    return rounded(profile.histogram(pairs, ["corr"]), 5)
+    path = scratch_path(spark, "pairs")
+    write_parquet(correlation.correlation_pairs(charged(spark, sf)), path)
+    return rounded(profile.histogram(read_stage(spark, path), ["corr"]), 5)
 
 
 @query("density")

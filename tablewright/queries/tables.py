@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tablewright.functions.cleaning import parse_iso_date, to_number
 from tablewright.operators import quality
 from tablewright.operators.split import hash_split
-from tablewright.plans.pipeline import check_artifacts
-from tablewright.queries.base import query, table
+from tablewright.plans.pipeline import STEPS, PipelineConfig, check_artifacts, run_pipeline
+from tablewright.queries.base import query, rounded, table
+from tablewright.queries.features import AS_OF, FINAL_SQL, raw_catalogue
+from tablewright.queries.modelling import QUERY_SIZES
 from tablewright.queries.profiling import EVENT_CONFIG, RANGE_SQL, RULES
 from tablewright.session import scratch_path
 from tablewright.sources import readers, writers
@@ -42,10 +44,9 @@ def latest_csv(spark, sf):
     path = scratch_path(spark, "drops")
     day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
     orders = table(spark, sf, "orders").select("o_orderkey", day, "o_orderstatus")
-    for drop, status in (("drop_1", "F"), ("drop_2", "O")):
+    for drop, status in (("drop_1.csv", "F"), ("drop_2.csv", "O"), ("drop_old.csv", "P"), ("other", "P")):
         writers.write_csv(orders.filter(F.col("o_orderstatus") == status), f"{path}/{drop}")
-    newest = sorted(r.path.rsplit("/", 2)[1] for r in readers.list_files(spark, path, "*.csv").collect())[-1]
-    back = readers.read_csv(spark, f"{path}/{newest}", multi_line=False)
+    back = readers.read_latest_csv(spark, path, "drop_*.csv", ["drop_old.csv"], multi_line=False)
     return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
                        parse_iso_date("day").alias("day"))
 
@@ -122,3 +123,30 @@ def artifact_check(spark, sf):
     writers.write_parquet(table(spark, sf, "region"), f"{path}/regions")
     writers.write_csv(table(spark, sf, "nation"), f"{path}/nations")
     return check_artifacts(spark, path, ["regions", "nations", "absent"])
+
+
+def _full_run(spark, sf, steps):
+    """Raw text files, in the order of `ord`, through the given steps."""
+    root = scratch_path(spark, "run")
+    raw = raw_catalogue(spark, sf).orderBy("ord").drop("ord")
+    writers.write_csv(raw, f"{root}/raw/games_20240101_000000.csv")
+    cfg = PipelineConfig(f"{root}/raw", f"{root}/out", AS_OF, sizes=QUERY_SIZES)
+    return cfg, run_pipeline(spark, cfg, steps)
+
+
+@query("full_run_final", FINAL_SQL)
+def full_run_final(spark, sf):
+    cfg, status = _full_run(spark, sf, {s: STEPS[s] for s in STEPS if s not in ("train", "evaluate")})
+    failed = status.filter("status <> 'ok'").first()
+    if failed:
+        raise RuntimeError(f"{failed.step}: {failed.message}")
+    return rounded(readers.read_stage(spark, cfg.path("final")))
+
+
+@query("full_run_status")
+def full_run_status(spark, sf):
+    cfg, status = _full_run(spark, sf, STEPS)
+    outputs = check_artifacts(spark, cfg.out_dir).select(
+        F.concat(F.lit("output "), "artifact").alias("step"),
+        F.when(F.col("exists"), "ok").otherwise("missing").alias("status"))
+    return status.select("step", "status", "message").unionByName(outputs, allowMissingColumns=True)

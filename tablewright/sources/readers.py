@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +23,16 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def latest_file(spark: SparkSession, path: str, pattern: str, skip: Sequence[str] = ()) -> str:
-    """SRT6: the path of the file with the last name; none is an error."""
-    found = list_files(spark, path, pattern).filter(~F.col("file_name").isin(*skip)).agg(
-        F.max_by("path", "file_name").alias("p")).first().p
+    """SRT6: the last by name of the drops in a folder; a drop is a file or a folder of parts."""
+    root = path.rstrip("/")
+    bare = re.sub(r"^[a-z0-9]+:/*(?=/)", "", root)
+    name = F.regexp_extract("path", rf"\Q{bare}\E/([^/]+)", 1)
+    found = list_files(spark, root).select(name.alias("name")).filter(
+        F.col("name").rlike(fnmatch.translate(pattern))
+        & ~F.col("name").isin(*skip)).agg(F.max("name")).first()[0]
     if found is None:
         raise FileNotFoundError(f"no file {pattern} in {path}")
-    return found
+    return f"{root}/{found}"
 
 
 def read_csv(spark: SparkSession, path: str, cols: Sequence[str] | None = None,

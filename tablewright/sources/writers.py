@@ -24,7 +24,9 @@ def land_snapshot(df: DataFrame, path: str, snapshot: str) -> str:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """SNK1, SNK6: CSV with header. An empty table leaves a readable, empty output."""
-    df.write.mode("overwrite").options(header="true", escape='"').csv(path)
+    df.write.mode("overwrite").options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "gzip") -> None:

@@ -77,7 +77,7 @@ def main():
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, sqls = connect(sf_dir), contract.queries(), contract.oracle_sql()
@@ -94,9 +94,9 @@ def main():
                 diff = "" if rows else "no rows"
                 print("   rows only:", len(rows), rows[:2])
         except Exception as e:
-            diff = f"{type(e).__name__}: {str(e)[:700]}"
+            diff = f"{type(e).__name__}: {str(e)[:3000]}"
         bad += bool(diff)
-        print(f"{'FAIL' if diff else 'ok  '} {name} {time.time() - started:.2f}s {diff[:900]}", flush=True)
+        print(f"{'FAIL' if diff else 'ok  '} {name} {time.time() - started:.2f}s {diff[:3000]}", flush=True)
     print(f"{len(names) - bad} of {len(names)} agree")
 
 
