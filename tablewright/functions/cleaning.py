@@ -16,7 +16,6 @@ MISSING_TOKENS = (
 # Month abbreviations of the raw date text.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
-_JAVA_ONLY_NUMBER = r"(?i)[0-9.][df]\s*$|x"
 _DATE_TEXT = rf"(?i)^({'|'.join(MONTHS)})\s+([0-9]{{1,2}}),\s+([0-9]{{4}})$"
 
 
@@ -42,8 +41,9 @@ def to_number(c: Column | str) -> Column:
 
     Java also reads a type suffix ('1.0d') and hexadecimal floats, which are not numbers here.
     """
-    text = col_of(c).cast("string")
-    return nan_to_null(F.when(~text.rlike(_JAVA_ONLY_NUMBER), text.try_cast("double")))
+    text = F.lower(F.trim(col_of(c).cast("string")))
+    suffix = text.endswith("d") | (text.endswith("f") & ~text.endswith("inf"))
+    return nan_to_null(F.when(~suffix & ~text.contains("x"), text.try_cast("double")))
 
 
 def fill(c: Column | str, value) -> Column:

@@ -45,8 +45,8 @@ def bin_numeric(c: Column | str, edges: Sequence[float], labels: Sequence[str],
 def list_length(c: Column | str, separator: str = ",") -> Column:
     """FE9: entries of a delimited text; a missing or empty text has none."""
     c = col_of(c)
-    gaps = F.length(c) - F.length(F.replace(c, F.lit(separator), F.lit("")))
-    count = F.floor(gaps / F.lit(len(separator))).cast("int") + 1
+    gaps = F.octet_length(c) - F.octet_length(F.replace(c, F.lit(separator), F.lit("")))
+    count = (gaps / F.lit(len(separator.encode()))).cast("int") + 1
     return F.when(c.isNull() | (c == ""), F.lit(0)).otherwise(count)
 
 

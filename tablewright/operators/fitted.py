@@ -24,13 +24,19 @@ def above_quantile(df: DataFrame, col: str, out: str, prob: float = 0.75,
         out, flag(measure(df, col) > F.col("__stats").getField(col)[0])).drop("__stats")
 
 
-def observed_labels(df: DataFrame, col: str, limit: int = 1000) -> list[str]:
-    """The sorted labels of a category column; more than `limit` are refused, not cut off."""
-    found = (df.select(col_of(col).cast("string").alias("label")).filter("label is not null")
-             .distinct().limit(limit + 1).collect())
-    if len(found) > limit:
-        raise ValueError(f"{col} has more than {limit} labels; it is not a category")
-    return sorted(row.label for row in found)
+def observed_labels(df: DataFrame, cols: Sequence[str], limit: int = 1000) -> dict[str, list[str]]:
+    """The sorted labels of category columns, by one job.
+
+    More than `limit` in a column are refused, not cut off.
+    """
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), col_of(c).cast("string").alias("label")) for c in cols])))
+    found = cells.filter("label is not null").distinct().limit(limit * len(cols) + 1).collect()
+    labels = {c: sorted(r.label for r in found if r.column == c) for c in cols}
+    over = [c for c in cols if len(labels[c]) > limit]
+    if over or len(found) > limit * len(cols):
+        raise ValueError(f"more than {limit} labels, not a category: {', '.join(over or cols)}")
+    return labels
 
 
 def one_hot(df: DataFrame, col: str, labels: Sequence[str] | None = None) -> DataFrame:
@@ -38,7 +44,7 @@ def one_hot(df: DataFrame, col: str, labels: Sequence[str] | None = None) -> Dat
 
     Without given labels they come from a job over the column.
     """
-    labels = observed_labels(df, col) if labels is None else labels
+    labels = observed_labels(df, [col])[col] if labels is None else labels
     return df.withColumns({f"{col}_{v}": flag(col_of(col) == F.lit(v)) for v in labels})
 
 

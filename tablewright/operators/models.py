@@ -20,7 +20,7 @@ from tablewright.operators.metrics import binary_metrics, roc_auc
 from tablewright.operators.projection import align_columns, drop_present, numeric_columns
 from tablewright.operators.quantiles import with_stats
 from tablewright.operators.scenarios import verdict_text
-from tablewright.session import ensure_checkpoint_dir, scratch_path
+from tablewright.session import ensure_checkpoint_dir, scratch_path, staged
 
 WEIGHT = "class_weight"
 
@@ -136,9 +136,7 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
         started = time.monotonic()
         models[name] = fit_model(ready, estimators[name], features)
         seconds = time.monotonic() - started
-        path = scratch_path(train.sparkSession, f"scored-{name}")
-        predict(models[name], held).select("label", "prediction", "score").write.parquet(path)
-        scored = train.sparkSession.read.parquet(path)
+        scored = staged(predict(models[name], held).select("label", "prediction", "score"), "scored")
         figures = binary_metrics(scored).first()
         auc = roc_auc(scored).first().roc_auc
         rows.append((name, rank, *figures, auc, seconds))

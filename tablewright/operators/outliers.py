@@ -17,7 +17,11 @@ from tablewright.operators.quantiles import (
 
 def fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: str = "exact") -> DataFrame:
     """One row: per column a struct of quartiles and fences. Fit once, apply to any table."""
-    quartiles = quantile_row(df, cols, [0.25, 0.5, 0.75], mode)
+    return fences_of(quantile_row(df, cols, [0.25, 0.5, 0.75], mode), cols, k)
+
+
+def fences_of(quartiles: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
+    """The fences from a row of quartile arrays."""
     reach = sql_double(float(k))
     structs = []
     for c in cols:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.cleaning import col_of, to_number
-from tablewright.operators.dedup import duplicate_groups
 from tablewright.operators.projection import column_kind, numeric_columns
 from tablewright.operators.quantiles import (
     measure, measure_sql, quantile_sql, sql_name, sql_text, with_stats,
@@ -43,6 +42,16 @@ def long_rows(df: DataFrame, rows: Sequence[str]) -> DataFrame:
     return df.selectExpr(f"array({', '.join(rows)}) AS r").selectExpr("inline(r)")
 
 
+def one_pass(df: DataFrame, reports: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Several reports from one aggregate: one row with one array of structs per report."""
+    return df.selectExpr(*[f"array({', '.join(rows)}) AS {name}" for name, rows in reports.items()])
+
+
+def report_of(facts: DataFrame, name: str) -> DataFrame:
+    """One report out of a `one_pass` row."""
+    return facts.selectExpr(f"inline({name})")
+
+
 def percent_sql(part: str, whole: str = "count(1)") -> str:
     return f"try_divide({part} * double('100'), {whole})"
 
@@ -53,35 +62,36 @@ def shape(df: DataFrame) -> DataFrame:
                   F.lit(len(df.columns)).cast("bigint").alias("n_columns"))
 
 
-def missing_by_column(df: DataFrame, cols: Sequence[str] | None = None,
-                      only_affected: bool = False) -> DataFrame:
-    """AGG2, AGG12, FLT8: missing cells per column, count and percent of rows."""
+def missing_rows(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
     rows = []
     for c in cols or df.columns:
         n = f"count_if({missing_sql(df, c)})"
         rows.append(row_sql(column=sql_text(c), missing_count=n, missing_pct=percent_sql(n)))
-    out = long_rows(df, rows)
+    return rows
+
+
+def missing_by_column(df: DataFrame, cols: Sequence[str] | None = None,
+                      only_affected: bool = False) -> DataFrame:
+    """AGG2, AGG12, FLT8: missing cells per column, count and percent of rows."""
+    out = long_rows(df, missing_rows(df, cols))
     return out.filter("missing_count > 0") if only_affected else out
 
 
 def missing_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """AGG3: missing cells, columns that have any, and percent of all cells; one row."""
-    cells = missing_by_column(df, cols)
-    n_cols = len(cols or df.columns)
-    per_row = F.sum("missing_pct") / F.lit(float(n_cols))
+    return missing_totals(missing_by_column(df, cols))
+
+
+def missing_totals(cells: DataFrame) -> DataFrame:
+    """AGG3 from the rows of `missing_by_column`."""
     return cells.agg(
         F.sum("missing_count").alias("missing_cells"),
         F.count_if(F.col("missing_count") > 0).alias("columns_affected"),
-        per_row.alias("missing_cell_pct"),
+        F.avg("missing_pct").alias("missing_cell_pct"),
     )
 
 
-def column_profile(df: DataFrame, cols: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """AGG4: per listed column its type, missing cells and a sample value.
-
-    The sample is the mean of a numeric column, else the first value in the given order.
-    A listed column the table lacks yields a row with exists = false.
-    """
+def profile_rows(df: DataFrame, cols: Sequence[str], order_by: Sequence[str]) -> list[str]:
     order = f"struct({', '.join(sql_name(c) for c in order_by)})"
     types = dict(df.dtypes)
     rows = []
@@ -98,12 +108,20 @@ def column_profile(df: DataFrame, cols: Sequence[str], order_by: Sequence[str])
             missing_count=n, missing_pct=percent_sql(n),
             sample_mean=f"avg({measure_sql(df, c)})" if numeric else "CAST(NULL AS DOUBLE)",
             sample_text=text))
-    return long_rows(df, rows)
+    return rows
 
 
-def targeted_summary(df: DataFrame, key: str, price: str, flags: Sequence[str] = (),
-                     scores: Sequence[str] = (), texts: Sequence[str] = ()) -> DataFrame:
-    """AGG5: the figures an analyst looks at first, as (column, metric, value)."""
+def column_profile(df: DataFrame, cols: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """AGG4: per listed column its type, missing cells and a sample value.
+
+    The sample is the mean of a numeric column, else the first value in the given order.
+    A listed column the table lacks yields a row with exists = false.
+    """
+    return long_rows(df, profile_rows(df, cols, order_by))
+
+
+def summary_rows(df: DataFrame, price: str, flags: Sequence[str] = (), scores: Sequence[str] = (),
+                 texts: Sequence[str] = ()) -> list[str]:
     median = quantile_sql(df, [price], [0.5])[price]
     p = measure_sql(df, price)
     missing = {c: f"count_if({missing_sql(df, c)})" for c in [price, *flags, *scores, *texts]}
@@ -118,27 +136,35 @@ def targeted_summary(df: DataFrame, key: str, price: str, flags: Sequence[str] =
     for c in flags:
         present = f"(count(1) - {missing[c]})"
         found += [(c, "present", present), (c, "present_pct", percent_sql(present))]
-    numbers = df.withColumns({f"__number_{c}": to_number(c) for c in scores})
     for c in scores:
-        mean = f"avg({sql_name('__number_' + c)})"
+        mean = f"avg({measure_sql(df, c)})"
         found += [(c, "missing", missing[c]), (c, "mean", mean)]
     found += [(c, "missing", missing[c]) for c in texts]
     rows = [row_sql(column=sql_text(c), metric=sql_text(m), value=f"double({v})")
             for c, m, v in found]
+    return rows
+
+
+def targeted_summary(df: DataFrame, key: str, price: str, flags: Sequence[str] = (),
+                     scores: Sequence[str] = (), texts: Sequence[str] = ()) -> DataFrame:
+    """AGG5: the figures an analyst looks at first, as (column, metric, value)."""
+    scored = df.withColumns({c: to_number(c) for c in scores})
+    return key_counts(df, key).unionByName(
+        long_rows(scored, summary_rows(scored, price, flags, scores, texts)))
+
+
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """AGG5: distinct values of the key, missing ones not counted, and its surplus rows."""
     n = F.col("n")
-    keys = duplicate_groups(df, [key]).agg(F.array(
+    return df.groupBy(col_of(key)).agg(F.count(F.lit(1)).alias("n")).agg(F.array(
         F.struct(F.lit(key).alias("column"), F.lit("unique").alias("metric"),
                  F.count(col_of(key)).cast("double").alias("value")),
         F.struct(F.lit(key).alias("column"), F.lit("duplicates").alias("metric"),
                  F.coalesce(F.sum(n - 1), F.lit(0)).cast("double").alias("value")),
     ).alias("r")).select(F.inline("r"))
-    return keys.unionByName(long_rows(numbers, rows))
 
 
-def numeric_describe(df: DataFrame, cols: Sequence[str] | None = None,
-                     mode: str = "exact") -> DataFrame:
-    """AGG6: count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    cols = list(cols or numeric_columns(df))
+def describe_rows(df: DataFrame, cols: Sequence[str], mode: str = "exact") -> list[str]:
     quartiles = quantile_sql(df, cols, [0.25, 0.5, 0.75], mode)
     rows = []
     for c in cols:
@@ -146,7 +172,13 @@ def numeric_describe(df: DataFrame, cols: Sequence[str] | None = None,
         rows.append(row_sql(
             column=sql_text(c), n=f"count({m})", mean=f"avg({m})", std=f"stddev_samp({m})",
             min=f"min({m})", q25=f"{q}[0]", q50=f"{q}[1]", q75=f"{q}[2]", max=f"max({m})"))
-    return long_rows(df, rows)
+    return rows
+
+
+def numeric_describe(df: DataFrame, cols: Sequence[str] | None = None,
+                     mode: str = "exact") -> DataFrame:
+    """AGG6: count, mean, sample deviation, minimum, quartiles and maximum per column."""
+    return long_rows(df, describe_rows(df, list(cols or numeric_columns(df)), mode))
 
 
 def value_range(df: DataFrame, c: str) -> DataFrame:
@@ -168,9 +200,7 @@ def sample_kurtosis_sql(m: str) -> str:
             f"kurtosis({m}) + 6), ({n} - 2) * ({n} - 3)), double('0')) END")
 
 
-def distribution_moments(df: DataFrame, cols: Sequence[str], mode: str = "exact",
-                         skew_limit: float = 2.0) -> DataFrame:
-    """AGG7: mean, median, deviation, range, skewness and kurtosis; flags a high skew."""
+def moment_rows(df: DataFrame, cols: Sequence[str], mode: str = "exact") -> list[str]:
     medians = quantile_sql(df, cols, [0.5], mode)
     rows = []
     for c in cols:
@@ -179,7 +209,13 @@ def distribution_moments(df: DataFrame, cols: Sequence[str], mode: str = "exact"
             column=sql_text(c), mean=f"avg({m})", median=f"{medians[c]}[0]",
             std=f"stddev_samp({m})", min=f"min({m})", max=f"max({m})",
             skewness=sample_skewness_sql(m), kurtosis=sample_kurtosis_sql(m)))
-    return long_rows(df, rows).withColumn(
+    return rows
+
+
+def distribution_moments(df: DataFrame, cols: Sequence[str], mode: str = "exact",
+                         skew_limit: float = 2.0) -> DataFrame:
+    """AGG7: mean, median, deviation, range, skewness and kurtosis; flags a high skew."""
+    return long_rows(df, moment_rows(df, cols, mode)).withColumn(
         "high_skew", F.coalesce(F.abs("skewness") > F.lit(skew_limit), F.lit(False)))
 
 
@@ -207,7 +243,12 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def category_totals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG9: categories and rows with one, per column."""
-    return value_counts(df, cols).groupBy("column").agg(
+    return totals_of(value_counts(df, cols))
+
+
+def totals_of(counts: DataFrame) -> DataFrame:
+    """AGG9 from the rows of `value_counts`."""
+    return counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("unique_values"), F.sum("n").alias("total"))
 
 
@@ -243,15 +284,19 @@ def describe_columns(df: DataFrame, descriptions: Mapping[str, str] | None = Non
     return long_rows(df, rows)
 
 
-def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
-    """HIS1, HIS2: equal-width bins over each column's range; the last bin is closed.
+def _bin_limits(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
+    """One row: per column its bins' start and width, and what a density needs besides."""
+    structs = []
+    for c in cols:
+        m = measure_sql(df, c)
+        structs.append(row_sql(a=f"min({m})", b=f"max({m})", n=f"count({m})",
+                               std=f"stddev_samp({m})") + f" AS {sql_name(c)}")
+    return df.selectExpr(*structs).select(*[_bin_frame(col_of(c), bins).alias(c) for c in cols])
 
-    A constant column gets a range of one around its value. Empty bins are rows with n = 0.
-    """
-    limits = df.agg(*[
-        F.struct(F.min(measure(df, c)).alias("a"), F.max(measure(df, c)).alias("b")).alias(c)
-        for c in cols
-    ]).select(*[_bin_frame(col_of(c), bins).alias(c) for c in cols])
+
+def _bin_counts(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
+    """Rows per column and bin, and the column's frame; every bin is there."""
+    limits = _bin_limits(df, cols, bins)
     stats = F.col("__stats")
     counts = with_stats(df, limits).select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), _bin_index(measure(df, c), stats.getField(c), bins)
@@ -261,8 +306,16 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
         F.struct(F.lit(c).alias("column"), col_of(c).alias("f")) for c in cols
     ]))).filter("f.low is not null").select(
         "column", "f", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return frame.join(F.broadcast(counts), ["column", "bin"], "left")
+
+
+def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
+    """HIS1, HIS2: equal-width bins over each column's range; the last bin is closed.
+
+    A constant column gets a range of one around its value. Empty bins are rows with n = 0.
+    """
     i = F.col("bin")
-    return frame.join(F.broadcast(counts), ["column", "bin"], "left").select(
+    return _bin_counts(df, cols, bins).select(
         "column", "bin",
         (F.col("f.low") + i * F.col("f.width")).alias("bin_start"),
         (F.col("f.low") + (i + 1) * F.col("f.width")).alias("bin_end"),
@@ -273,7 +326,9 @@ def _bin_frame(limits: Column, bins: int) -> Column:
     a, b = limits.getField("a"), limits.getField("b")
     low = F.when(a == b, a - 0.5).otherwise(a)
     high = F.when(a == b, b + 0.5).otherwise(b)
-    return F.struct(low.alias("low"), ((high - low) / F.lit(float(bins))).alias("width"))
+    return F.struct(low.alias("low"), ((high - low) / F.lit(float(bins))).alias("width"),
+                    a.alias("first"), b.alias("last"), limits.getField("n").alias("total"),
+                    limits.getField("std").alias("std"))
 
 
 def _bin_index(x: Column, frame: Column, bins: int) -> Column:
@@ -291,21 +346,14 @@ def density(df: DataFrame, cols: Sequence[str], points: int = 200, fine: int = 1
     The kernels sit on the centres of fine bins, whose number is fixed, so the sum does not grow
     with the table. Bandwidth: sample deviation times n^(-1/5).
     """
-    cells = histogram(df, cols, fine).filter("n > 0")
-    spread = df.agg(*[
-        F.struct(F.count(measure(df, c)).alias("n"), F.min(measure(df, c)).alias("low"),
-                 F.max(measure(df, c)).alias("high"),
-                 (F.stddev_samp(measure(df, c)) *
-                  F.pow(F.count(measure(df, c)).cast("double"), F.lit(-0.2))).alias("h")).alias(c)
-        for c in cols
-    ])
-    own = F.coalesce(*[F.when(F.col("column") == c, F.col("__stats").getField(c)) for c in cols])
-    grid = with_stats(cells, spread).select(
-        "column", "n", ((F.col("bin_start") + F.col("bin_end")) / 2).alias("centre"),
-        own.alias("s")).filter("s.h > 0").select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")).withColumn(
-        "x", F.col("s.low") + F.col("point") * (F.col("s.high") - F.col("s.low")) / (points - 1))
-    z = (F.col("x") - F.col("centre")) / F.col("s.h")
-    kernel = F.col("n") * F.exp(-z * z / 2) / (F.col("s.n") * F.col("s.h") * F.sqrt(2 * F.pi()))
-    return grid.groupBy("column", "point").agg(
-        F.first("x").alias("x"), F.sum(kernel).alias("density"))
+    f = F.col("f")
+    width = f.getField("std") * F.pow(f.getField("total").cast("double"), F.lit(-0.2))
+    grid = _bin_counts(df, cols, fine).select(
+        "column", "n", (f.getField("low") + (F.col("bin") + 0.5) * f.getField("width")).alias("centre"),
+        F.when(width > 0, width).alias("h"), f.getField("total").alias("total"),
+        f.getField("first").alias("first"), f.getField("last").alias("last"),
+        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    x = F.col("first") + F.col("point") * (F.col("last") - F.col("first")) / (points - 1)
+    z = (x - F.col("centre")) / F.col("h")
+    kernel = F.col("n") * F.exp(-z * z / 2) / (F.col("total") * F.col("h") * F.sqrt(2 * F.pi()))
+    return grid.groupBy("column", "point").agg(F.first(x).alias("x"), F.sum(kernel).alias("density"))

@@ -9,14 +9,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.cleaning import col_of
 from tablewright.operators.dedup import duplicate_counts
-from tablewright.operators.outliers import iqr_outliers
+from tablewright.operators.outliers import fences_of, iqr_outliers
 from tablewright.operators.profile import (
-    category_totals, distribution_moments, kind_counts, long_rows, missing_by_column,
-    missing_summary, row_sql, value_counts,
+    kind_counts, long_rows, missing_rows, missing_summary, missing_totals, moment_rows, report_of,
+    row_sql, totals_of, value_counts,
 )
 from tablewright.operators.projection import numeric_columns
-from tablewright.operators.quantiles import as_scalar, measure_sql, sql_double, sql_text
+from tablewright.operators.quantiles import (
+    as_scalar, measure_sql, quantile_sql, sql_double, sql_name, sql_text,
+)
+from tablewright.session import staged
 
 
 @dataclass(frozen=True)
@@ -53,6 +57,14 @@ class ValidationConfig:
 
 def range_check(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
     """FLT5: per rule the rows outside it and the column's range. Rules on absent columns go."""
+    rows = range_rows(df, rules)
+    if not rows:
+        return df.sparkSession.createDataFrame(
+            [], "column string, check string, invalid_count bigint, min double, max double")
+    return long_rows(df, rows)
+
+
+def range_rows(df: DataFrame, rules: Sequence[RangeRule]) -> list[str]:
     rows = []
     for rule in rules:
         if rule.column not in df.columns:
@@ -67,10 +79,7 @@ def range_check(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
             column=sql_text(rule.column), check=sql_text(rule.text),
             invalid_count=f"count_if({' OR '.join(broken) or 'false'})",
             min=f"min({m})", max=f"max({m})"))
-    if not rows:
-        return df.sparkSession.createDataFrame(
-            [], "column string, check string, invalid_count bigint, min double, max double")
-    return long_rows(df, rows)
+    return rows
 
 
 def quality_score(df: DataFrame, config: ValidationConfig) -> DataFrame:
@@ -79,17 +88,27 @@ def quality_score(df: DataFrame, config: ValidationConfig) -> DataFrame:
     The range penalty counts the checks made ('checks') or the rows that break one
     ('violations').
     """
-    missing = as_scalar(missing_summary(df))
-    duplicates = as_scalar(duplicate_counts(df, config.key))
-    cols = config.outlier_columns or numeric_columns(df, config.exclude)
-    outliers = as_scalar(iqr_outliers(df, cols, config.outlier_k, mode=config.quantile_mode).agg(
-        F.coalesce(F.sum("outlier_pct"), F.lit(0.0)).alias("pct")))
-    present = [r for r in config.rules if r.column in df.columns]
-    ranges = as_scalar(range_check(df, present).agg(
-        F.coalesce(F.sum("invalid_count"), F.lit(0)).alias("bad")))
-    term = F.lit(len(present)) if config.range_penalty == "checks" else ranges.getField("bad")
-
-    facts = df.sparkSession.range(1).select(
+    return score_from(
+        missing_summary(df), duplicate_counts(df, config.key),
+        iqr_outliers(df, _outlier_columns(df, config), config.outlier_k, mode=config.quantile_mode),
+        range_check(df, config.rules), config)
+
+
+def _outlier_columns(df: DataFrame, config: ValidationConfig) -> list[str]:
+    return list(config.outlier_columns or numeric_columns(df, config.exclude))
+
+
+def score_from(missing: DataFrame, duplicates: DataFrame, outliers: DataFrame, ranges: DataFrame,
+               config: ValidationConfig) -> DataFrame:
+    """QLT1 from the reports it rests on."""
+    spark = missing.sparkSession
+    missing, duplicates = as_scalar(missing), as_scalar(duplicates)
+    outliers = as_scalar(outliers.agg(F.coalesce(F.sum("outlier_pct"), F.lit(0.0)).alias("pct")))
+    ranges = as_scalar(ranges.agg(F.count(F.lit(1)).alias("checks"),
+                                  F.coalesce(F.sum("invalid_count"), F.lit(0)).alias("violations")))
+    term = ranges.getField(config.range_penalty)
+
+    facts = spark.range(1).select(
         F.coalesce(missing.getField("missing_cell_pct"), F.lit(0.0)).alias("missing_pct"),
         duplicates.getField("surplus_rows").alias("key_duplicates"),
         outliers.getField("pct").alias("outlier_pct"),
@@ -125,33 +144,47 @@ def _tidy(table: DataFrame, check: str, name: str, metrics: Sequence[str]) -> Da
 def validation_report(df: DataFrame, config: ValidationConfig) -> DataFrame:
     """QLT2: every check in one long table (check, column, metric, value)."""
     whole = F.lit("*").alias("column")
-    cols = config.outlier_columns or numeric_columns(df, config.exclude)
+    cols = _outlier_columns(df, config)
+    quartiles = quantile_sql(df, cols, [0.25, 0.5, 0.75], config.quantile_mode)
+    reports = {"missing": missing_rows(df)}
+    if range_rows(df, config.rules):
+        reports["ranges"] = range_rows(df, config.rules)
+    if config.moments:
+        reports["moments"] = moment_rows(df, [c for c in config.moments if c in df.columns],
+                                         config.quantile_mode)
+    # One pass for all that needs the rows once; the outliers need the quartiles found there.
+    facts = staged(df.selectExpr(
+        *[f"array({', '.join(rows)}) AS {name}" for name, rows in reports.items()],
+        *[f"{q} AS {sql_name('__q_' + c)}" for c, q in quartiles.items()]), "facts")
+    missing = report_of(facts, "missing")
+    ranges = report_of(facts, "ranges") if "ranges" in reports else range_check(df, ())
+    fitted = fences_of(facts.select(*[col_of(f"__q_{c}").alias(c) for c in cols]), cols,
+                       config.outlier_k)
+    outliers = staged(iqr_outliers(df, cols, fitted=fitted), "outliers")
+    keys = staged(duplicate_counts(df, config.key), "keys")
+    quality = score_from(missing_totals(missing), keys, outliers, ranges, config)
     parts = [
-        _tidy(missing_by_column(df, only_affected=True), "missing", "column",
+        _tidy(missing.filter("missing_count > 0"), "missing", "column",
               ["missing_count", "missing_pct"]),
-        _tidy(missing_summary(df).select("*", whole), "missing", "column",
+        _tidy(missing_totals(missing).select("*", whole), "missing", "column",
               ["missing_cells", "columns_affected", "missing_cell_pct"]),
-        _tidy(duplicate_counts(df, config.key).select("*", whole), "key_duplicates", "column",
-              ["surplus_rows"]),
+        _tidy(keys.select("*", whole), "key_duplicates", "column", ["surplus_rows"]),
         _tidy(duplicate_counts(df).select("*", whole), "row_duplicates", "column",
               ["member_rows"]),
         _tidy(kind_counts(df), "types", "kind", ["n_columns"]),
-        _tidy(iqr_outliers(df, cols, config.outlier_k, mode=config.quantile_mode), "outliers",
-              "column", ["outlier_count", "outlier_pct", "lower_bound", "upper_bound"]),
-        _tidy(range_check(df, config.rules), "range", "column", ["invalid_count", "min", "max"]),
-        _tidy(quality_score(df, config).select("*", whole), "quality", "column",
-              ["score", "max_score"]),
+        _tidy(outliers, "outliers", "column",
+              ["outlier_count", "outlier_pct", "lower_bound", "upper_bound"]),
+        _tidy(ranges, "range", "column", ["invalid_count", "min", "max"]),
+        _tidy(quality.select("*", whole), "quality", "column", ["score", "max_score"]),
     ]
     if config.moments:
-        parts.append(_tidy(
-            distribution_moments(df, config.moments, config.quantile_mode), "distribution",
-            "column", ["mean", "median", "std", "min", "max", "skewness", "kurtosis"]))
+        parts.append(_tidy(report_of(facts, "moments"), "distribution", "column",
+                           ["mean", "median", "std", "min", "max", "skewness", "kurtosis"]))
     if config.categories:
-        parts.append(_tidy(category_totals(df, config.categories), "categories", "column",
-                           ["unique_values", "total"]))
-        shares = value_counts(df, config.categories).withColumn(
-            "label", F.concat_ws("=", "column", "category"))
-        parts.append(_tidy(shares, "coverage", "label", ["n", "percentage"]))
+        shares = staged(value_counts(df, config.categories), "shares")
+        parts.append(_tidy(totals_of(shares), "categories", "column", ["unique_values", "total"]))
+        labelled = shares.withColumn("label", F.concat_ws("=", "column", "category"))
+        parts.append(_tidy(labelled, "coverage", "label", ["n", "percentage"]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -85,7 +85,7 @@ def engineer_features(cleaned: DataFrame, as_of: str, fit_on: DataFrame | None =
     featured = row_features(normalize_table(cleaned), as_of, missing_label)
     source = featured if fit_on is None else row_features(
         normalize_table(fit_on), as_of, missing_label)
-    labels = {c: observed_labels(source, c) for c in cat.CATEGORIES}
+    labels = observed_labels(source, cat.CATEGORIES)
     return fitted_features(featured, fit_statistics(source, mode), labels)
 
 

@@ -20,8 +20,8 @@ from tablewright.operators.models import (
 )
 from tablewright.operators.outliers import boxplot_stats, iqr_outliers_text
 from tablewright.operators.profile import (
-    column_profile, describe_columns, histogram, missing_by_column, numeric_describe,
-    observe_flags, targeted_summary, value_range,
+    describe_columns, describe_rows, histogram, key_counts, missing_rows, observe_flags, one_pass,
+    profile_rows, report_of, summary_rows, value_range,
 )
 from tablewright.operators.projection import numeric_columns
 from tablewright.operators.quality import ValidationConfig, report_documents, validation_report
@@ -29,6 +29,7 @@ from tablewright.operators.split import exact_split, hash_split
 from tablewright.plans import catalogue as cat
 from tablewright.plans.cleaning import clean_catalogue, post_clean_check
 from tablewright.plans.engineering import engineer_features, final_table
+from tablewright.session import staged
 from tablewright.sources import readers, writers
 
 
@@ -55,7 +56,7 @@ class PipelineConfig:
 EXPECTED = (
     "cleaned", "engineered", "final", "final_csv", "splits", "groups", "manifest", "summary",
     "reports/exploration", "reports/profile", "reports/numbers", "reports/summary",
-    "reports/post_clean", "reports/dates", "reports/validation",
+    "reports/keys", "reports/post_clean", "reports/dates", "reports/validation",
     "reports/columns", "reports/outliers", "reports/boxplots", "reports/correlations",
     "reports/correlation_histogram", "reports/histograms", "reports/models",
     "reports/importances", "reports/classes", "reports/confusion", "reports/curves",
@@ -66,16 +67,21 @@ EXPECTED = (
 def explore(spark: SparkSession, cfg: PipelineConfig) -> None:
     raw = _raw(spark, cfg, row_order=True)
     typed = raw.withColumns({c: to_number(c) for c in cat.RAW_NUMBERS if c in raw.columns})
-    table = typed.drop(readers.ROW_ORDER)
-    writers.write_csv(missing_by_column(table), cfg.path("reports/exploration"))
-    writers.write_csv(column_profile(typed, cat.RAW_COLUMNS, [readers.ROW_ORDER]),
-                      cfg.path("reports/profile"))
-    writers.write_csv(numeric_describe(table), cfg.path("reports/numbers"))
-    writers.write_csv(
-        targeted_summary(table, cat.KEY[0], "Price", cat.PLATFORMS,
-                         ("Metacritic score", "User score", "Positive", "Negative"),
-                         ("Developers", "Publishers", "Categories", "Genres", "Achievements")),
-        cfg.path("reports/summary"))
+    columns = [c for c in typed.columns if c != readers.ROW_ORDER]
+    reports = {
+        "exploration": missing_rows(typed, columns),
+        "profile": profile_rows(typed, cat.RAW_COLUMNS, [readers.ROW_ORDER]),
+        "numbers": describe_rows(typed, numeric_columns(typed)),
+        "summary": summary_rows(
+            typed, "Price", cat.PLATFORMS,
+            ("Metacritic score", "User score", "Positive", "Negative"),
+            ("Developers", "Publishers", "Categories", "Genres", "Achievements")),
+    }
+    # The raw text is read once for all four reports.
+    facts = staged(one_pass(typed, reports), "exploration")
+    for name in reports:
+        writers.write_csv(report_of(facts, name), cfg.path(f"reports/{name}"))
+    writers.write_csv(key_counts(raw, cat.KEY[0]), cfg.path("reports/keys"))
 
 
 def clean(spark: SparkSession, cfg: PipelineConfig) -> None:

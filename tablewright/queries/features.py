@@ -11,6 +11,7 @@ from tablewright.plans import catalogue as cat
 from tablewright.plans.cleaning import clean_catalogue
 from tablewright.plans.engineering import engineer_features, final_table
 from tablewright.queries.base import query, rounded, rounded_sql, table
+from tablewright.session import staged
 
 AS_OF = "2001-12-31"
 
@@ -107,14 +108,13 @@ def one_hot(spark, sf):
 
 
 @query("list_count", """
-    SELECT doc_id, CASE WHEN lines = '' THEN 0
-        ELSE length(lines) - length(replace(lines, ',', '')) + 1 END::INTEGER AS entries
-    FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '' ELSE replace(text, chr(10), ',') END AS lines
-        FROM documents)""")
+    SELECT doc_id, CASE WHEN listed = '' THEN 0
+        ELSE (length(listed) - length(replace(listed, ', ', ''))) // 2 + 1 END::INTEGER AS entries
+    FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END AS listed FROM documents)""")
 def list_count(spark, sf):
-    listed = F.when(F.col("doc_id") % 10 != 0, F.translate("text", "\n", ","))
+    listed = F.when(F.col("doc_id") % 10 != 0, F.col("text"))
     return table(spark, sf, "documents").select(
-        "doc_id", shaping.list_length(listed).alias("entries"))
+        "doc_id", shaping.list_length(listed, ", ").alias("entries"))
 
 
 @query("log_features", rounded_sql("""
@@ -280,7 +280,7 @@ def engineered_catalogue(spark, sf):
         "Metacritic score_normalized": "meta_z", "Price_Rating_ratio": "price_rating",
         "Rating_Review_score": "rating_review", "Owners_Review_ratio": "owners_review",
     }
-    made = engineer_features(cleaned_catalogue(spark, sf), AS_OF)
+    made = engineer_features(staged(cleaned_catalogue(spark, sf), "cleaned"), AS_OF)
     return rounded(made.select(*[F.col(c).alias(n) for c, n in names.items()]), 9)
 
 
@@ -298,7 +298,7 @@ FINAL_SQL = rounded_sql(f"""{_FEATURED}
 
 @query("final_catalogue", FINAL_SQL)
 def final_catalogue(spark, sf):
-    return rounded(final_table(engineer_features(cleaned_catalogue(spark, sf), AS_OF)))
+    return rounded(final_table(engineer_features(staged(cleaned_catalogue(spark, sf), "cleaned"), AS_OF)))
 
 
 @query("nan_as_missing", """

@@ -11,9 +11,7 @@ from tablewright.plans import catalogue as cat
 from tablewright.plans.engineering import engineer_features, final_table
 from tablewright.queries.base import query, rounded, rounded_sql, table
 from tablewright.queries.features import AS_OF, cleaned_catalogue
-from tablewright.session import scratch_path
-from tablewright.sources.readers import read_stage
-from tablewright.sources.writers import write_parquet
+from tablewright.session import staged
 
 LINES_SCORED = """(SELECT (l_returnflag = 'A')::INTEGER AS label, l_discount * 10 AS score,
     (l_quantity > 25)::INTEGER AS prediction FROM lineitem)"""
@@ -284,9 +282,8 @@ SCENARIO_FEATURES = ["Release_year", "Days_since_release", "Platform_count", "Pr
 
 def _scored_scenarios(spark, sf):
     # Training reads its rows many times: from a written table, not through the whole plan.
-    path = scratch_path(spark, "final")
-    write_parquet(final_table(engineer_features(cleaned_catalogue(spark, sf), AS_OF)), path)
-    final = read_stage(spark, path)
+    cleaned = staged(cleaned_catalogue(spark, sf), "cleaned")
+    final = staged(final_table(engineer_features(cleaned, AS_OF)), "final")
     split = hash_split(final, list(cat.KEY))
     done = models.train_and_compare(
         split.filter("split = 'train'"), split.filter("split = 'val'"), SCENARIO_FEATURES, cat.LABEL,

@@ -10,9 +10,7 @@ from tablewright.operators import correlation, outliers, profile, quality
 from tablewright.operators.dedup import duplicate_counts
 from tablewright.operators.quantiles import quantile_sql, sql_text
 from tablewright.queries.base import query, rounded, rounded_sql, table, union_sql
-from tablewright.session import scratch_path
-from tablewright.sources.readers import read_stage
-from tablewright.sources.writers import write_parquet
+from tablewright.session import staged
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LABELLED = """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
@@ -348,9 +346,8 @@ def histogram(spark, sf):
 @query("corr_histogram", rounded_sql(_histogram_sql("corr", f"({PAIR_SQL})"),
                                      ["bin_start", "bin_end"], 5))
 def corr_histogram(spark, sf):
-    path = scratch_path(spark, "pairs")
-    write_parquet(correlation.correlation_pairs(charged(spark, sf)), path)
-    return rounded(profile.histogram(read_stage(spark, path), ["corr"]), 5)
+    pairs = staged(correlation.correlation_pairs(charged(spark, sf)), "pairs")
+    return rounded(profile.histogram(pairs, ["corr"]), 5)
 
 
 @query("density")

@@ -63,3 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give long iterative fits a checkpoint folder when the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark) or scratch_path(spark, "checkpoints"))
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to a fresh scratch path and read it back.
+
+    For results that several later queries need: they share the work, and the files outlive the
+    executor that made them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
