@@ -49,7 +49,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     wanted = sys.argv[1:] or [*HEADLINE, "full_run"]

@@ -36,13 +36,12 @@ def row_digest(df: DataFrame, cols: Sequence[str]) -> Column:
     """SHA-256 over the columns, each as text behind its length; equal rows have equal digests."""
     parts = []
     for c in cols:
-        value = col_of(c)
+        value = "`" + c.replace("`", "``") + "`"
         if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-            value = value + F.lit(0.0)  # -0.0 equals 0.0
-        text = value.cast("string")
-        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text),
-                                F.lit("-")))
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+            value = f"({value} + double('0'))"  # -0.0 equals 0.0
+        text = f"string({value})"
+        parts.append(f"coalesce(octet_length({text}) || ':' || {text}, '-')")
+    return F.expr(f"unhex(sha2(concat({', '.join(parts)}), 256))")
 
 
 def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

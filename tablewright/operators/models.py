@@ -80,6 +80,16 @@ def define_models(train_rows: int, sizes: ModelSizes = ModelSizes()) -> dict[str
     }
 
 
+def _training_columns(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    return model_input(df, features, label).select(*[col_of(f) for f in features], "label")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A stored table in at least as many partitions as there are cores; larger ones stay."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_model(train: DataFrame, estimator, features: Sequence[str]) -> PipelineModel:
     """Fit one estimator on a table made by `model_input` and `class_weights`.
 
@@ -127,9 +137,10 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
     Choosing on the validation rows leaves the test rows unseen; pass the test rows instead to
     choose the way a two-way split does. The first of equal models wins.
     """
-    ready = class_weights(model_input(train, features, label))
-    held = model_input(select_on, features, label)
-    estimators = define(train.count(), sizes)
+    # The fits read their rows many times: from written tables, not through the plans above them.
+    ready = spread(staged(class_weights(_training_columns(train, features, label)), "train"))
+    held = staged(_training_columns(select_on, features, label), "held")
+    estimators = define(ready.count(), sizes)
     models, rows = {}, []
     for rank, name in enumerate(names or ["logistic_regression", "random_forest",
                                           "gradient_boosting"]):

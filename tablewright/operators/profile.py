@@ -335,7 +335,8 @@ def _bin_index(x: Column, frame: Column, bins: int) -> Column:
     """The bin by division, then moved by one where rounding put it beyond its own edge."""
     low, width = frame.getField("low"), frame.getField("width")
     guess = F.least(F.floor((x - low) / width), F.lit(bins - 1)).cast("int")
-    return (F.when(x < low + guess * width, guess - 1)
+    # `least` passes over NULL, so a missing value is settled first.
+    return (F.when(x.isNull(), F.lit(None)).when(x < low + guess * width, guess - 1)
             .when((guess < bins - 1) & (x >= low + (guess + 1) * width), guess + 1)
             .otherwise(guess))
 

@@ -114,10 +114,10 @@ def render_report(scored: DataFrame, model_name: str) -> DataFrame:
         F.lit("| --- | --- |"),
         line("Price", money_text("Price")),
         line("Free", yes_no("Is_free")),
-        line("Platforms", F.col("Platform_count")),
-        line("Genres", F.col("Genre_count")),
+        line("Platforms", F.col("Platform_count").cast("bigint")),
+        line("Genres", F.col("Genre_count").cast("bigint")),
         line("Achievements", yes_no("Has_achievements")),
-        line("Expected reviews", F.col("Total_reviews")),
+        line("Expected reviews", F.col("Total_reviews").cast("bigint")),
         line("Expected positive share", F.format_string("%.0f%%", F.col("Review_ratio") * 100)),
         line("Expected owners", owners),
         F.lit(""),

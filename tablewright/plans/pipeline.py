@@ -84,12 +84,16 @@ def explore(spark: SparkSession, cfg: PipelineConfig) -> None:
     writers.write_csv(key_counts(raw, cat.KEY[0]), cfg.path("reports/keys"))
 
 
-def clean(spark: SparkSession, cfg: PipelineConfig) -> None:
-    cleaned = clean_catalogue(_raw(spark, cfg, row_order=True), platform_mode=cfg.platform_mode)
+def clean(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    cleaned, seen = observe_flags(
+        clean_catalogue(_raw(spark, cfg, row_order=True), platform_mode=cfg.platform_mode),
+        "cleaned", sums=cat.PLATFORMS, means=["Positive", "Negative", "Achievements",
+                                              "Estimated owners"])
     writers.write_parquet(cleaned, cfg.path("cleaned"))
     stage = readers.read_stage(spark, cfg.path("cleaned"))
     writers.write_csv(post_clean_check(stage), cfg.path("reports/post_clean"))
     writers.write_csv(value_range(stage, "Release date"), cfg.path("reports/dates"))
+    return seen.get
 
 
 def engineer(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -176,27 +180,28 @@ STEPS: Mapping[str, Callable[[SparkSession, PipelineConfig], object]] = {
     "export": export, "profile": profile, "train": train, "evaluate": evaluate,
 }
 
-STATUS_SCHEMA = "step string, status string, seconds double, message string"
+STATUS_SCHEMA = "step string, status string, seconds double, rows bigint, message string"
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig,
                  steps: Mapping[str, Callable] = STEPS) -> DataFrame:
     """LIF1, LIF3: run the steps in order, stop at the first failure, return the status table.
 
-    A step that was not reached is listed as 'skipped'.
+    A step that was not reached is listed as 'skipped'. Steps that return the figures observed
+    while they wrote their table show its number of rows.
     """
     rows, failed = [], False
     for name, step in steps.items():
         if failed:
-            rows.append((name, "skipped", 0.0, None))
+            rows.append((name, "skipped", 0.0, None, None))
             continue
         started = time.monotonic()
         try:
-            step(spark, cfg)
-            rows.append((name, "ok", time.monotonic() - started, None))
+            figures = step(spark, cfg) or {}
+            rows.append((name, "ok", time.monotonic() - started, figures.get("n_rows"), None))
         except Exception as error:  # the status table reports it
             failed = True
-            rows.append((name, "failed", time.monotonic() - started, str(error)[:500]))
+            rows.append((name, "failed", time.monotonic() - started, None, str(error)[:500]))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Above this estimate a table is handled by the distributed form of an operator.
 SMALL_INPUT_CONF = "spark.tablewright.smallInputBytes"
-SMALL_INPUT_DEFAULT = 64 * 1024 * 1024
+SMALL_INPUT_DEFAULT = 32 * 1024 * 1024
 
 
 def build_session(app_name: str = "tablewright", **conf: str) -> SparkSession:
@@ -24,6 +24,7 @@ def build_session(app_name: str = "tablewright", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
