@@ -44,28 +44,26 @@ def row_digest(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.expr(f"unhex(sha2(concat({', '.join(parts)}), 256))")
 
 
-def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None,
+                     digest: bool = False) -> DataFrame:
     """One row per distinct combination of `cols` (all columns by default) with its row count, `n`.
 
-    Wide or long rows are grouped by their digest: what is shuffled is 32 bytes per row left
-    after the partial count, not the row.
+    `digest` suits long texts: what is shuffled is 32 bytes per row left after the partial count,
+    not the text. For rows of numbers and short texts it costs more than it saves.
     """
     cols = list(cols or df.columns)
-    short = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    if len(cols) <= 3 and all(isinstance(df.schema[c].dataType, short) for c in cols):
-        keys = [col_of(c) for c in cols]
-    else:
-        keys = [row_digest(df, cols).alias("digest")]
+    keys = [row_digest(df, cols).alias("digest")] if digest else [col_of(c) for c in cols]
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def duplicate_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def duplicate_counts(df: DataFrame, cols: Sequence[str] | None = None,
+                     digest: bool = False) -> DataFrame:
     """DUP2-DUP4: total rows, distinct groups, surplus rows and rows in groups of two or more.
 
     A missing value equals a missing value.
     """
     n = F.col("n")
-    return duplicate_groups(df, cols).agg(
+    return duplicate_groups(df, cols, digest).agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_groups"),
         F.coalesce(F.sum(n - 1), F.lit(0)).alias("surplus_rows"),

@@ -1,8 +1,9 @@
 """Interpolated quantiles (T1), exact at any size.
 
-`percentile` keeps one map entry per distinct value in a single buffer, which is fine for an
-input of checked size. Larger inputs take a selection in rounds: every round is one aggregate of
-bounded state that counts around the current bracket of each wanted rank and sketches the
+The built-in `percentile` keeps one map entry per distinct value in a single buffer, so it only
+serves columns of few values. Here the rows are counted first. Columns of few enough rows are
+sorted in one aggregate; for longer ones a selection runs in rounds: every round is one aggregate
+of bounded state that counts around the current bracket of each wanted rank and sketches the
 inside, and the next round looks only between two neighbouring sketch points. What reaches the
 driver is a few hundred numbers per quantile and round.
 """
@@ -18,11 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.cleaning import col_of
-from tablewright.session import is_small
 
 GRID = 128
 ACCURACY = 40 * GRID
-FINAL_ROWS = 1_000_000
+#: Values one aggregate may hold, over all columns together.
+HELD_VALUES = 8_000_000
 MAX_ROUNDS = 16
 
 
@@ -64,23 +65,18 @@ def measure(df: DataFrame, name: str) -> Column:
 
 
 def quantile_sql(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 mode: str = "exact", final_rows: int = FINAL_ROWS) -> dict[str, str]:
+                 mode: str = "exact", held: int = HELD_VALUES) -> dict[str, str]:
     """Per column an array<double> of its quantiles as SQL text, for use inside an aggregate.
 
-    Mode 'exact' picks by the checked input size: 'buffered' is the built-in aggregate, 'rounds'
-    the selection described above, whose results come back as constants. Mode 'approx' is the
-    built-in sketch and does not interpolate.
+    Mode 'exact' runs the jobs described above at once, and its results are constants. Mode
+    'approx' is the built-in sketch, lazy and without interpolation.
     """
-    if mode == "exact":
-        mode = "buffered" if is_small(df.select(*[col_of(c) for c in cols])) else "rounds"
-    points = f"array({', '.join(sql_double(float(p)) for p in probs)})"
-    if mode == "buffered":
-        return {c: f"percentile({measure_sql(df, c)}, {points})" for c in cols}
     if mode == "approx":
+        points = f"array({', '.join(sql_double(float(p)) for p in probs)})"
         return {c: f"percentile_approx({measure_sql(df, c)}, {points}, {ACCURACY})" for c in cols}
-    if mode != "rounds":
+    if mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
-    found = _select_by_rounds(df, cols, probs, final_rows)
+    found = exact_quantiles(df, cols, probs, held)
     return {c: f"array({', '.join(sql_double(v) for v in found[c])})" for c in cols}
 
 
@@ -88,8 +84,8 @@ def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                  mode: str = "exact") -> DataFrame:
     """One row with one array<double> column per input column."""
     exprs = quantile_sql(df, cols, probs, mode)
-    return df.agg(F.count(F.lit(1)).alias("__n"), *[
-        F.expr(exprs[c]).alias(c) for c in cols]).drop("__n")
+    named = [f"{exprs[c]} AS {sql_name(c)}" for c in cols]
+    return (df if mode == "approx" else df.sparkSession.range(1)).selectExpr(*named)
 
 
 def as_scalar(row: DataFrame) -> Column:
@@ -130,53 +126,73 @@ class _Target:
         return f"{self.column} > {sql_double(self.lo)} AND {self.column} < {sql_double(self.hi)}"
 
 
-def _select_by_rounds(df, cols, probs, final_rows):
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    held: int = HELD_VALUES) -> dict[str, list[float | None]]:
+    """The quantiles of each column as numbers; None for a column without values."""
     names = {c: f"m{i}" for i, c in enumerate(cols)}
-    data = df.select(*[measure(df, c).alias(names[c]) for c in cols])
+    data = df.selectExpr(*[f"{measure_sql(df, c)} AS {m}" for c, m in names.items()])
     basics = data.selectExpr(*[
         f"struct(count({m}), min({m}), max({m})) AS {m}" for m in names.values()]).first()
 
-    targets, wanted = [], {}
-    for c in cols:
-        count, low, high = basics[names[c]]
+    ranks, short, targets = {}, {}, []
+    for c, m in names.items():
+        count, low, high = basics[m]
+        if not count:
+            continue
         for p in probs:
-            if not count:
-                continue
             position = p * (count - 1)
             below = min(math.floor(position), count - 1)
-            target = _Target(names[c], (below, min(below + 1, count - 1)), low, high)
-            targets.append(target)
-            wanted[c, p] = (target, position - below)
+            ranks[c, p] = (below, min(below + 1, count - 1), position - below)
+        if count <= held // len(cols):
+            short[m] = sorted({r for p in probs for r in ranks[c, p][:2]})
+        else:
+            targets += [_Target(m, ranks[c, p][:2], low, high) for p in probs]
 
+    values = {}
+    if short:
+        row = data.selectExpr(*[f"{_ranked_sql(m, wanted)} AS {m}" for m, wanted in short.items()]).first()
+        values = {(m, r): v for m, wanted in short.items() for r, v in zip(wanted, row[m])}
+    _select_by_rounds(data, targets, max(held // max(len(targets), 1), 1))
+    values |= {(t.column, r): v for t in targets for r, v in t.values.items()}
+
+    def quantile(c: str, p: float) -> float | None:
+        if (c, p) not in ranks:
+            return None
+        below, above, share = ranks[c, p]
+        a, b = values[names[c], below], values[names[c], above]
+        return a if share == 0 or a == b else a + (b - a) * share
+
+    return {c: [quantile(c, p) for p in probs] for c in cols}
+
+
+def _ranked_sql(value: str, ranks: Sequence[int]) -> str:
+    """The values at the given ranks of the sorted column. The lambda has it sorted once."""
+    picked = ", ".join(f"element_at(s, {r + 1})" for r in ranks)
+    return f"transform(array(sort_array(collect_list({value}))), s -> array({picked}))[0]"
+
+
+def _select_by_rounds(data: DataFrame, targets: list[_Target], final_rows: int) -> None:
+    """Fill in the values of the targets' ranks."""
     grid = f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})"
     for _ in range(MAX_ROUNDS):
-        open_targets = [t for t in targets if not t.done and not t.final]
-        if not open_targets:
+        pending = [t for t in targets if not t.done and not t.final]
+        if not pending:
             break
         row = data.selectExpr(*[f"{_round_aggregate(t, grid)} AS t{i}"
-                                for i, t in enumerate(open_targets)]).first()
-        for i, target in enumerate(open_targets):
+                                for i, t in enumerate(pending)]).first()
+        for i, target in enumerate(pending):
             _narrow(target, row[i], final_rows)
 
     last = [t for t in targets if not t.done]
     if not all(t.final for t in last):
         raise ArithmeticError("the brackets did not shrink; the column is not ordered")
     if last:
-        row = data.selectExpr(*[f"{_final_aggregate(t)} AS t{i}" for i, t in enumerate(last)]).first()
+        row = data.selectExpr(*[
+            _ranked_sql(f"CASE WHEN {t.inside()} THEN {t.column} END", [r - t.skip for r in t.open_ranks])
+            + f" AS t{i}" for i, t in enumerate(last)]).first()
         for i, target in enumerate(last):
             target.values.update(zip(target.open_ranks, row[i]))
 
-    out = {c: [] for c in cols}
-    for c in cols:
-        for p in probs:
-            if (c, p) not in wanted:
-                out[c].append(None)
-                continue
-            target, share = wanted[c, p]
-            a, b = (target.values[r] for r in target.ranks)
-            out[c].append(a if share == 0 or a == b else a + (b - a) * share)
-    return out
-
 
 def _round_aggregate(t: _Target, grid: str) -> str:
     c, lo, hi = t.column, sql_double(t.lo), sql_double(t.hi)
@@ -218,9 +234,3 @@ def _pick_cells(t: _Target, grid, first_inside: int, inner: int) -> None:
         t.lo = grid[left]
     if right <= GRID:
         t.hi = grid[right]
-
-
-def _final_aggregate(t: _Target) -> str:
-    """The wanted ranks out of the sorted inside, which holds at most `final_rows` values."""
-    inside = f"sort_array(collect_list(CASE WHEN {t.inside()} THEN {t.column} END))"
-    return f"array({', '.join(f'element_at({inside}, {r - t.skip + 1})' for r in t.open_ranks)})"

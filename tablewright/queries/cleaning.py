@@ -64,7 +64,7 @@ def dup_counts(spark, sf):
              ("quality", labelled, ["quality"])]
     out = None
     for what, df, cols in parts:
-        part = dedup.duplicate_counts(df, cols).select(F.lit(what).alias("what"), "*")
+        part = dedup.duplicate_counts(df, cols, digest=what == "text").select(F.lit(what).alias("what"), "*")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -1,4 +1,4 @@
-"""Session defaults, scratch folders and the size check behind every small-side choice."""
+"""Session defaults, scratch folders and staged tables."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Above this estimate a table is handled by the distributed form of an operator.
-SMALL_INPUT_CONF = "spark.tablewright.smallInputBytes"
-SMALL_INPUT_DEFAULT = 32 * 1024 * 1024
-
-
 def build_session(app_name: str = "tablewright", **conf: str) -> SparkSession:
     """A session with the settings the library is tested under.
 
@@ -31,18 +26,6 @@ def build_session(app_name: str = "tablewright", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan, in bytes. Unknown sizes come out huge."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def is_small(df: DataFrame) -> bool:
-    """True when the estimated input fits the small-input limit of the session."""
-    limit = df.sparkSession.conf.get(SMALL_INPUT_CONF, str(SMALL_INPUT_DEFAULT))
-    return plan_bytes(df) <= int(limit)
-
-
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder all executors can reach, as named by the session, or None if it names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import correlation, dedup, fitted, outliers, profile, quality
-from tablewright.operators.quantiles import _select_by_rounds, quantile_row
+from tablewright.operators.quantiles import HELD_VALUES, exact_quantiles, quantile_row
 
 
 def numbers(spark, values, parts=3):
@@ -51,23 +51,26 @@ def _cases():
 
 
 @pytest.mark.parametrize("name,values", list(_cases()), ids=[c[0] for c in _cases()])
-def test_selection_in_rounds_is_exact(spark, name, values):
+@pytest.mark.parametrize("held", [140, HELD_VALUES])
+def test_quantiles_are_exact(spark, name, values, held):
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.999, 1]
     df = numbers(spark, [*values, None])
-    got = _select_by_rounds(df, ["x"], probs, final_rows=20)["x"]
+    got = exact_quantiles(df, ["x"], probs, held)["x"]
     assert got == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
 
 
 def test_selection_of_an_empty_column(spark):
-    assert _select_by_rounds(numbers(spark, [None]), ["x"], [0.5], 20) == {"x": [None]}
+    assert exact_quantiles(numbers(spark, [None]), ["x"], [0.5], 20) == {"x": [None]}
 
 
-def test_large_inputs_take_the_rounds(spark, monkeypatch):
-    spark.conf.set("spark.tablewright.smallInputBytes", "10")
-    try:
-        rows = outliers.iqr_outliers(numbers(spark, GOLDEN)).collect()
-    finally:
-        spark.conf.unset("spark.tablewright.smallInputBytes")
+def test_quantiles_of_columns_of_different_length(spark):
+    df = spark.range(1000).selectExpr("double(id) AS long", "IF(id < 5, double(id), NULL) AS short")
+    got = exact_quantiles(df, ["long", "short"], [0.25, 0.5], 200)
+    assert got == {"long": [249.75, 499.5], "short": [1, 2]}
+
+
+def test_outliers(spark):
+    rows = outliers.iqr_outliers(numbers(spark, GOLDEN)).collect()
     assert [(r.column, r.outlier_count, r.upper_bound) for r in rows] == [("x", 1, 18.25)]
 
 
@@ -83,6 +86,7 @@ def test_duplicates_with_missing(spark):
 def test_digest_tells_cells_apart_but_not_signs_of_zero(spark):
     df = spark.createDataFrame([("ab", "c", 0.0), ("a", "bc", 0.0), ("a", None, 0.0), ("a", "", 0.0),
                                 ("a", "", -0.0)], "a string, b string, x double")
+    assert dedup.duplicate_counts(df, digest=True).first() == dedup.duplicate_counts(df).first()
     assert dedup.duplicate_counts(df).first().distinct_groups == 4
 
 
