@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import col_of
-from tablewright.operators.ordered import order_buckets, running_sums
+from tablewright.operators.ordered import BUCKET, order_buckets, running_sums
 
 
 def _ratio(a, b):
@@ -92,8 +92,8 @@ def curve_levels(df: DataFrame, label: str = "label", score: str = "score",
     """Distinct scores with `tp` and `fp`: positives and negatives at this score or above."""
     levels = score_levels(df, label, score).withColumn("minus", -F.col("score"))
     kwargs = {} if single_rows is None else {"single_rows": single_rows}
-    return running_sums(order_buckets(levels, "minus", buckets, **kwargs), "__bucket",
-                        [F.col("minus")], {"tp": F.col("pos"), "fp": F.col("neg")})
+    return running_sums(order_buckets(levels, "minus", buckets, **kwargs), [F.col("minus")],
+                        {"tp": F.col("pos"), "fp": F.col("neg")})
 
 
 def _totals(df, label):
@@ -158,11 +158,14 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
 def _with_next_step(levels: DataFrame) -> DataFrame:
     """The counts of the next lower score, looked up across the bucket border where needed."""
     step = F.struct("pos", "neg")
-    inside = Window.partitionBy("__bucket").orderBy("minus")
-    heads = levels.groupBy("__bucket").agg(F.min_by(step, "minus").alias("head"))
-    heads = heads.select("__bucket", F.lead("head").over(Window.orderBy("__bucket")).alias("beyond"))
-    joined = levels.withColumn("near", F.lead(step).over(inside)).join(
-        F.broadcast(heads), "__bucket")
-    following = F.coalesce("near", "beyond")
+    if BUCKET not in levels.columns:
+        joined = levels.withColumn("near", F.lead(step).over(Window.orderBy("minus")))
+        following = F.col("near")
+    else:
+        inside = Window.partitionBy(BUCKET).orderBy("minus")
+        heads = levels.groupBy(BUCKET).agg(F.min_by(step, "minus").alias("head"))
+        heads = heads.select(BUCKET, F.lead("head").over(Window.orderBy(BUCKET)).alias("beyond"))
+        joined = levels.withColumn("near", F.lead(step).over(inside)).join(F.broadcast(heads), BUCKET)
+        following = F.coalesce("near", "beyond")
     return joined.withColumns({"next_pos": following.getField("pos"),
                                "next_neg": following.getField("neg")})

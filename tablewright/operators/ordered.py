@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 4096
-#: Up to this many rows one bucket is enough.
+BUCKET = "__bucket"
+#: Up to this many counted rows no buckets are made.
 SINGLE_BUCKET_ROWS = 200_000
 
 
@@ -21,7 +22,7 @@ def order_buckets(df: DataFrame, order: str, buckets: int | None = None,
                   single_rows: int = SINGLE_BUCKET_ROWS) -> DataFrame:
     """Add `__bucket`, which grows with the numeric column `order`; equal values share one.
 
-    The cut points are a few sketched quantiles, read once, so every use of the result has the
+    A table counted to be small stays without it. The cut points are a few sketched quantiles, read once, so every use of the result has the
     same buckets. A poor sketch makes buckets uneven but never a sum wrong.
     """
     wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -32,30 +33,32 @@ def order_buckets(df: DataFrame, order: str, buckets: int | None = None,
                   ).first()
     cuts = sorted(set(seen.q or []))
     if seen.n <= single_rows or not cuts:
-        return df.withColumn("__bucket", F.lit(0.0))
+        return df
     splitter = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__order",
-                          outputCol="__bucket", handleInvalid="keep")
+                          outputCol=BUCKET, handleInvalid="keep")
     keyed = df.withColumn("__order", F.col(order).cast("double"))
     return splitter.transform(keyed).drop("__order")
 
 
-def running_sums(df: DataFrame, bucket: str, order: Sequence[Column],
-                 sums: dict[str, Column]) -> DataFrame:
-    """Add inclusive running sums over the global order (bucket ascending, then `order`).
+def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Add inclusive running sums over the global order of a table from `order_buckets`.
 
-    `bucket` must follow the order; `sums` maps new columns to the expressions to add up.
+    `sums` maps new columns to the expressions to add up.
     """
+    if BUCKET not in df.columns:
+        whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({name: F.sum(value).over(whole) for name, value in sums.items()})
     parts = {f"__part_{name}": value for name, value in sums.items()}
     keyed = df.withColumns(parts)
-    totals = keyed.groupBy(bucket).agg(*[F.sum(p).alias(p) for p in parts])
-    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(bucket, *[
+    totals = keyed.groupBy(BUCKET).agg(*[F.sum(p).alias(p) for p in parts])
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(BUCKET, *[
         F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"__before_{p}") for p in parts
     ])
-    inside = Window.partitionBy(bucket).orderBy(*order).rowsBetween(
+    inside = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     summed = keyed.withColumns({name: F.sum(f"__part_{name}").over(inside) for name in sums})
-    joined = summed.join(F.broadcast(offsets), bucket)
+    joined = summed.join(F.broadcast(offsets), BUCKET)
     return joined.withColumns({
         name: F.col(name) + F.col(f"__before___part_{name}") for name in sums
     }).drop(*parts, *[f"__before_{p}" for p in parts])

@@ -60,15 +60,14 @@ def read_latest_csv(spark: SparkSession, path: str, pattern: str, skip: Sequence
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> str:
-    """The name of the newest landed snapshot, from the partition values alone."""
-    tables = spark.read.parquet(path).select(F.col("snapshot").cast("string")).agg(F.max("snapshot"))
-    return tables.first()[0]
+    """The name of the newest landed snapshot, from the folder names alone."""
+    return latest_file(spark, path, "snapshot=*").rsplit("=", 1)[1]
 
 
 def read_snapshot(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
-    """SRC1 over landed snapshots: one partition is read, the newest by default."""
+    """SRC1 over landed snapshots: only one is read, the newest by default."""
     wanted = snapshot or latest_snapshot(spark, path)
-    return spark.read.parquet(path).filter(F.col("snapshot").cast("string") == wanted).drop("snapshot")
+    return spark.read.parquet(f"{path.rstrip('/')}/snapshot={wanted}")
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:

@@ -36,10 +36,11 @@ def test_running_sums_over_buckets(spark):
     rng = random.Random(5)
     rows = [(rng.random(), rng.randint(0, 5)) for _ in range(500)]
     df = spark.createDataFrame(rows, "x double, v long").repartition(7)
-    got = running_sums(order_buckets(df, "x", 8, single_rows=10), "__bucket", [F.col("x")],
-                       {"s": F.col("v")}).select("x", "s").orderBy("x").collect()
     want = np.cumsum([v for _, v in sorted(rows)])
-    assert [r.s for r in got] == list(want)
+    for single_rows in (10, 1000):
+        made = running_sums(order_buckets(df, "x", 8, single_rows), [F.col("x")], {"s": F.col("v")})
+        assert [r.s for r in made.select("x", "s").orderBy("x").collect()] == list(want)
+        assert "NestedLoop" not in made._jdf.queryExecution().executedPlan().toString()
 
 
 def scores(spark, pairs):
