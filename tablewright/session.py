@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def build_session(app_name: str = "tablewright", **conf: str) -> SparkSession:
     """A session with the settings the library is tested under.
 
@@ -26,27 +26,23 @@ def build_session(app_name: str = "tablewright", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """The folder all executors can reach, as named by the session, or None if it names none."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors can reach: `spark.checkpoint.dir`, or, where the session names
+    none, a folder in the warehouse, which all executors share as well."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.sparkContext.getConf().get("spark.checkpoint.dir") or None
+    named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables: in the shared folder, or, in a local session without
-    one, in the system's temporary folder."""
-    base = shared_dir(spark)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        return f"{tempfile.mkdtemp(prefix='tablewright-')}/{name}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for an intermediate table in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give long iterative fits a checkpoint folder when the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark) or scratch_path(spark, "checkpoints"))
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
