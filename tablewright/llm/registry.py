@@ -5,16 +5,22 @@ from __future__ import annotations
 import corpus_pipeline
 
 from tablewright.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from tablewright.llm.licenses import op5_license_families
 from tablewright.llm.mixing import op10_pfair_mixing
-from tablewright.llm.packing import op7_mixture_packing
 from tablewright.llm.near_dedup import op3_dart_minhash
+from tablewright.llm.packing import op7_mixture_packing
+from tablewright.llm.secrets import op6_secret_forest
+from tablewright.llm.token_counts import op1_token_counts
 from tablewright.llm.toxicity import op9_toxicity_cnn
+from tablewright.llm.vector_search import OP4_SQL, op4_pivot_top_k
+from tablewright.llm.web_archive import OP2_SQL, op2_arc_to_warc
 
 QUERIES = {q.__name__: q for q in (
-    op3_dart_minhash, op7_mixture_packing, op8_exact_dedup, op9_toxicity_cnn, op10_pfair_mixing,
+    op1_token_counts, op2_arc_to_warc, op3_dart_minhash, op4_pivot_top_k, op5_license_families, op6_secret_forest,
+    op7_mixture_packing, op8_exact_dedup, op9_toxicity_cnn, op10_pfair_mixing,
 )}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL = {"op8_exact_dedup": OP8_SQL}
+SQL = {"op2_arc_to_warc": OP2_SQL, "op4_pivot_top_k": OP4_SQL, "op8_exact_dedup": OP8_SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
