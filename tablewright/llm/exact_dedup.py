@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import ascii_lower, documents, keep_rows, staged, text_of
 
 #: A cut falls behind such a window of characters, once a chunk has its least length.
-WINDOW = r"(?<=[bcdfgmpv][ .,!\n][aeiost][^n])"
-LEAST, MOST = 512, 8192
+WINDOW = r"(?<=[bcdfgmpvt][ .,!\n][aeiost][^n][aeio][cdlmr])"
+LEAST, MOST = 64, 4096
 
 
 def chunks_of(text: Column, least: int = LEAST, most: int = MOST, window: str = WINDOW) -> Column:

@@ -184,8 +184,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     for ring in RINGS:
         kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
         # without k candidates yet, every annulus can matter
-        stop = F.coalesce(F.sqrt(F.greatest(F.col("q2") + norm2 - 2 * F.col("kth"), F.lit(0.0))) * (1 + 1e-9) + 1e-6,
-                          F.lit(float("inf")))
+        away = F.sqrt(F.greatest(F.col("q2") + norm2 - 2 * F.col("kth"), F.lit(0.0))) * (1 + 1e-9) + 1e-6
+        stop = F.when(F.col("kth").isNull(), F.lit(float("inf"))).otherwise(away)
         bounded = asked.join(reached, "query_id").join(kth, "query_id", "left").withColumn("stop", stop * ring)
         lines = bounded.select("query_id", "q", "own", "reached", "stop", F.posexplode("gaps").alias("pivot", "gap"))
         away = F.greatest(F.col("low") - F.col("gap"), F.col("gap") - F.col("high"), F.lit(0.0))
