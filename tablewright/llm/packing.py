@@ -63,6 +63,18 @@ class WordIds:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.words: dict[str, bytes] = {}
 
+        # Words that are split already need no normaliser: a byte-level model takes each word's bytes as
+        # printable characters. The short way is taken where it gives the tokenizer's own ids.
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.shown = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*shown}))}
+        probe = ["the", "'s", "7", "über", "!!¿", "éèêzxqj", "€", "unseenword"]
+        self.direct = self.by_model(probe) == self.encoded(probe)
+
+    def by_model(self, words: list[str]) -> list[bytes]:
+        tokenize, shown = self.tokenizer.model.tokenize, self.shown
+        return [np.asarray([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(shown))],
+                           self.dtype).tobytes() for w in words]
+
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -73,7 +85,7 @@ class WordIds:
         if len(self.words) > HELD_WORDS:
             self.words.clear()
         new = [w for w in set(chain.from_iterable(s for s in split if s)) if w not in self.words]
-        self.words.update(zip(new, self.encoded(new), strict=True))
+        self.words.update(zip(new, self.by_model(new) if self.direct else self.encoded(new), strict=True))
         whole = iter(self.encoded([t for t, p in zip(texts, plain, strict=True) if not p]))
         get = self.words.__getitem__
         return [next(whole) if s is None else b"".join(map(get, s)) for s in split]
