@@ -24,19 +24,26 @@ def above_quantile(df: DataFrame, col: str, out: str, prob: float = 0.75,
         out, flag(measure(df, col) > F.col("__stats").getField(col)[0])).drop("__stats")
 
 
-def observed_labels(df: DataFrame, cols: Sequence[str], limit: int = 1000) -> dict[str, list[str]]:
-    """The sorted labels of category columns, by one job.
-
-    More than `limit` in a column are refused, not cut off.
-    """
+def observed_labels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """The sorted labels of category columns, by one job. Every label becomes a column later, so
+    what the driver holds is as wide as the result."""
     cells = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), col_of(c).cast("string").alias("label")) for c in cols])))
-    found = cells.filter("label is not null").distinct().limit(limit * len(cols) + 1).collect()
-    labels = {c: sorted(r.label for r in found if r.column == c) for c in cols}
-    over = [c for c in cols if len(labels[c]) > limit]
-    if over or len(found) > limit * len(cols):
-        raise ValueError(f"more than {limit} labels, not a category: {', '.join(over or cols)}")
-    return labels
+    found = cells.filter("label is not null").distinct().collect()
+    return {c: sorted(r.label for r in found if r.column == c) for c in cols}
+
+
+def label_columns(col: str, labels: Sequence[str], taken: Sequence[str] = ()) -> dict[str, str]:
+    """A column name per label. Column names ignore case, so a label whose name is taken gets the
+    next free number behind it."""
+    names, used = {}, {t.lower() for t in taken}
+    for label in labels:
+        name, n = f"{col}_{label}", 2
+        while name.lower() in used:
+            name, n = f"{col}_{label}_{n}", n + 1
+        used.add(name.lower())
+        names[label] = name
+    return names
 
 
 def one_hot(df: DataFrame, col: str, labels: Sequence[str] | None = None) -> DataFrame:
@@ -45,7 +52,7 @@ def one_hot(df: DataFrame, col: str, labels: Sequence[str] | None = None) -> Dat
     Without given labels they come from a job over the column.
     """
     labels = observed_labels(df, [col])[col] if labels is None else labels
-    return df.withColumns({f"{col}_{v}": flag(col_of(col) == F.lit(v)) for v in labels})
+    return df.withColumns({name: flag(col_of(col) == F.lit(v)) for v, name in label_columns(col, labels).items()})
 
 
 def scaling_row(df: DataFrame, cols: Sequence[str]) -> DataFrame:

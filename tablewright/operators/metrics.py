@@ -88,11 +88,10 @@ def score_levels(df: DataFrame, label: str = "label", score: str = "score") -> D
 
 
 def curve_levels(df: DataFrame, label: str = "label", score: str = "score",
-                 buckets: int | None = None, single_rows: int | None = None) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Distinct scores with `tp` and `fp`: positives and negatives at this score or above."""
     levels = score_levels(df, label, score).withColumn("minus", -F.col("score"))
-    kwargs = {} if single_rows is None else {"single_rows": single_rows}
-    return running_sums(order_buckets(levels, "minus", buckets, **kwargs), [F.col("minus")],
+    return running_sums(order_buckets(levels, "minus", buckets), [F.col("minus")],
                         {"tp": F.col("pos"), "fp": F.col("neg")})
 
 
@@ -158,14 +157,10 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
 def _with_next_step(levels: DataFrame) -> DataFrame:
     """The counts of the next lower score, looked up across the bucket border where needed."""
     step = F.struct("pos", "neg")
-    if BUCKET not in levels.columns:
-        joined = levels.withColumn("near", F.lead(step).over(Window.orderBy("minus")))
-        following = F.col("near")
-    else:
-        inside = Window.partitionBy(BUCKET).orderBy("minus")
-        heads = levels.groupBy(BUCKET).agg(F.min_by(step, "minus").alias("head"))
-        heads = heads.select(BUCKET, F.lead("head").over(Window.orderBy(BUCKET)).alias("beyond"))
-        joined = levels.withColumn("near", F.lead(step).over(inside)).join(F.broadcast(heads), BUCKET)
-        following = F.coalesce("near", "beyond")
+    inside = Window.partitionBy(BUCKET).orderBy("minus")
+    heads = levels.groupBy(BUCKET).agg(F.min_by(step, "minus").alias("head"))
+    heads = heads.select(BUCKET, F.lead("head").over(Window.orderBy(BUCKET)).alias("beyond"))
+    joined = levels.withColumn("near", F.lead(step).over(inside)).join(F.broadcast(heads), BUCKET)
+    following = F.coalesce("near", "beyond")
     return joined.withColumns({"next_pos": following.getField("pos"),
                                "next_neg": following.getField("neg")})

@@ -1,7 +1,7 @@
 """Running sums over a global order without one global sort.
 
 Rows get a bucket that follows the order. Each bucket is summed on its own, and the totals of
-the buckets before it, a table of at most `MAX_BUCKETS` rows, are added.
+the buckets before it, a table of as many rows as buckets were asked for, are added.
 """
 
 from __future__ import annotations
@@ -12,29 +12,19 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
 BUCKET = "__bucket"
-#: Up to this many counted rows no buckets are made.
-SINGLE_BUCKET_ROWS = 200_000
 
 
-def order_buckets(df: DataFrame, order: str, buckets: int | None = None,
-                  single_rows: int = SINGLE_BUCKET_ROWS) -> DataFrame:
+def order_buckets(df: DataFrame, order: str, buckets: int | None = None) -> DataFrame:
     """Add `__bucket`, which grows with the numeric column `order`; equal values share one.
 
-    A table counted to be small stays without it. The cut points are a few sketched quantiles, read once, so every use of the result has the
-    same buckets. A poor sketch makes buckets uneven but never a sum wrong.
+    The cut points are a few sketched quantiles, read once by a job, so every use of the result has
+    the same buckets. A poor sketch makes buckets uneven but never a sum wrong.
     """
-    wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(2, min(wanted, MAX_BUCKETS))
+    wanted = max(2, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / wanted for i in range(1, wanted)]
-    seen = df.agg(F.count(F.lit(1)).alias("n"),
-                  F.percentile_approx(F.col(order).cast("double"), probs, 10 * wanted).alias("q")
-                  ).first()
-    cuts = sorted(set(seen.q or []))
-    if seen.n <= single_rows or not cuts:
-        return df
-    splitter = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__order",
+    seen = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10 * wanted).alias("q")).first()
+    splitter = Bucketizer(splits=[float("-inf"), *sorted(set(seen.q or [0.0])), float("inf")], inputCol="__order",
                           outputCol=BUCKET, handleInvalid="keep")
     keyed = df.withColumn("__order", F.col(order).cast("double"))
     return splitter.transform(keyed).drop("__order")
@@ -45,9 +35,6 @@ def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column]
 
     `sums` maps new columns to the expressions to add up.
     """
-    if BUCKET not in df.columns:
-        whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({name: F.sum(value).over(whole) for name, value in sums.items()})
     parts = {f"__part_{name}": value for name, value in sums.items()}
     keyed = df.withColumns(parts)
     totals = keyed.groupBy(BUCKET).agg(*[F.sum(p).alias(p) for p in parts])

@@ -91,7 +91,7 @@ def roc_auc(spark, sf):
 @query("roc_auc_bucketed", rounded_sql(_auc_sql(PART_LEVELS), ["roc_auc"]))
 def roc_auc_bucketed(spark, sf):
     """Many distinct scores: running sums over several ordered buckets."""
-    return rounded(metrics.roc_auc(scored_parts(spark, sf), buckets=16, single_rows=100))
+    return rounded(metrics.roc_auc(scored_parts(spark, sf), buckets=16))
 
 
 def _roc_sql(levels: str) -> str:
@@ -108,7 +108,7 @@ def roc_points(spark, sf):
 
 @query("roc_points_bucketed", rounded_sql(_roc_sql(PART_LEVELS), ["fpr", "tpr"]))
 def roc_points_bucketed(spark, sf):
-    points = metrics.roc_points(scored_parts(spark, sf), buckets=16, single_rows=100)
+    points = metrics.roc_points(scored_parts(spark, sf), buckets=16)
     return points.withColumns({c: F.round(c, 6) for c in ("fpr", "tpr")})
 
 
@@ -150,7 +150,7 @@ def _parts(spark, sf):
 
 #: The queries fit smaller forests and fewer rounds than the defaults, to keep a check short; the
 #: rows are all there.
-QUERY_SIZES = models.ModelSizes(lr_iterations=100, trees=20, depth=8, rounds=10)
+QUERY_SIZES = models.ModelSizes()
 
 
 def _train(spark, sf, name):

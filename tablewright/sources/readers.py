@@ -35,21 +35,46 @@ def latest_file(spark: SparkSession, path: str, pattern: str, skip: Sequence[str
     return f"{root}/{found}"
 
 
+def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files under a path by their header line; one file needs no look inside."""
+    files = [r.path for r in list_files(spark, path).filter(~F.col("file_name").rlike("^[._]")).select("path").collect()]
+    if len(files) < 2:
+        return {"": files}
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at")).filter("block = 0")
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for row in heads.orderBy("file").collect():
+        groups.setdefault(row.head, []).append(row.file)
+    return groups
+
+
 def read_csv(spark: SparkSession, path: str, cols: Sequence[str] | None = None,
              multi_line: bool = True, row_order: bool = False) -> DataFrame:
     """A CSV table with header, all text, missing texts as NULL; the cleaning step casts.
 
-    Columns go by header name, so files with more columns or another order work. `multi_line`
-    allows line breaks inside quoted cells but reads a file in one task; turn it off for large
-    files without such cells. `row_order` adds a column that follows the rows of the files (T8):
-    file, start of the split, place within the split.
+    Columns go by header name: files of a folder are read by groups of equal headers, and a column
+    that only some files have is NULL for the others. `multi_line` allows line breaks inside quoted
+    cells but reads a file in one task; turn it off for large files without such cells. `row_order`
+    adds a column that follows the rows of the files (T8): file, start of the split, place within
+    the split.
     """
-    df = spark.read.options(header="true", escape='"', multiLine=str(multi_line).lower()).csv(path)
-    wanted = [col_of(c) for c in (cols or df.columns)]
-    if row_order:
-        wanted.append(F.struct("_metadata.file_path", "_metadata.file_block_start",
-                               F.monotonically_increasing_id().alias("place")).alias(ROW_ORDER))
-    return normalize_table(df.select(*wanted))
+    parts = []
+    groups = header_groups(spark, path)
+    for files in groups.values():
+        part = spark.read.options(header="true", escape='"', multiLine=str(multi_line).lower()).csv(
+            files if len(groups) > 1 else path)
+        names = part.columns
+        if row_order:
+            part = part.withColumn(ROW_ORDER, F.struct("_metadata.file_path", "_metadata.file_block_start",
+                                                       F.monotonically_increasing_id().alias("place")))
+        parts.append((part, names))
+    df, seen = parts[0][0], list(parts[0][1])
+    for part, names in parts[1:]:
+        df = df.unionByName(part, allowMissingColumns=True)
+        seen += [n for n in names if n not in seen]
+    return normalize_table(df.select(*[col_of(c) for c in (cols or seen)], *([ROW_ORDER] if row_order else [])))
 
 
 def read_latest_csv(spark: SparkSession, path: str, pattern: str, skip: Sequence[str] = (),

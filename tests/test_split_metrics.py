@@ -37,8 +37,8 @@ def test_running_sums_over_buckets(spark):
     rows = [(rng.random(), rng.randint(0, 5)) for _ in range(500)]
     df = spark.createDataFrame(rows, "x double, v long").repartition(7)
     want = np.cumsum([v for _, v in sorted(rows)])
-    for single_rows in (10, 1000):
-        made = running_sums(order_buckets(df, "x", 8, single_rows), [F.col("x")], {"s": F.col("v")})
+    for buckets in (2, 8):
+        made = running_sums(order_buckets(df, "x", buckets), [F.col("x")], {"s": F.col("v")})
         assert [r.s for r in made.select("x", "s").orderBy("x").collect()] == list(want)
         assert "NestedLoop" not in made._jdf.queryExecution().executedPlan().toString()
 
@@ -62,7 +62,7 @@ def test_curves_against_brute_force(spark):
     pos = [p for p, y in pairs if y]
     neg = [p for p, y in pairs if not y]
     won = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
-    for how in ({}, {"buckets": 16, "single_rows": 10}):
+    for how in ({}, {"buckets": 16}):
         assert metrics.roc_auc(df, **how).first()[0] == pytest.approx(won)
         flipped = df.withColumn("score", 1 - F.col("score"))
         assert metrics.roc_auc(flipped, **how).first()[0] == pytest.approx(1 - won)
