@@ -203,10 +203,10 @@ def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
      s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(
-               list_transform(q.e, x -> CAST(x AS DOUBLE)), list_transform(c.e, x -> CAST(x AS DOUBLE))) AS BIGINT) AS score
+               list_transform(q.e, lambda x: CAST(x AS DOUBLE)), list_transform(c.e, lambda x: CAST(x AS DOUBLE))) AS BIGINT) AS score
            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20

@@ -267,9 +267,9 @@ def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 # SHA-1 has no base-32 form in the checking engine, so five bits at a time are looked up.
 OP2_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
-     b AS (SELECT page_id, t, list_transform(range(8), i ->
+     b AS (SELECT page_id, t, list_transform(range(8), lambda i:
                CAST('0x' || substr(h, CAST(i * 5 + 1 AS INTEGER), 5) AS BIGINT)) AS w FROM p),
-     d AS (SELECT page_id, t, array_to_string(list_transform(range(32), k ->
+     d AS (SELECT page_id, t, array_to_string(list_transform(range(32), lambda k:
                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                       CAST(((w[CAST(k // 4 + 1 AS INTEGER)] >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), '')
                AS payload_digest FROM b)
