@@ -17,7 +17,8 @@ order of its own, are its heads; heads are compared with the members that are no
 yet and then leave the bucket. Buckets whose members are all in one class are done. The rounds end
 when no bucket is left, so every link of a bucket is either found or lies inside a class; a bucket
 of near copies takes one round whatever its size. Later rounds take more heads, as what is left
-then are small buckets of documents that are not alike.
+then are small buckets of documents that are not alike. Two documents that share several buckets
+are compared in the first of them alone, so no pair is made twice.
 
 Defined cases: a null text counts as empty; a text without words is a class of its own; a text of
 fewer than five words is one shingle. Equal rows are members of one class. Of a class the row with
@@ -234,10 +235,10 @@ def linked(nodes: DataFrame, texts_of, similarity: float = SIMILARITY) -> tuple[
     members = staged(spread.join(shared, "bucket").withColumn("ord", F.xxhash64("node", "bucket"))
                      .withColumn("label", F.col("node")), "members")
     texts = staged(texts_of(members.select("node", "text_digest").distinct()), "texts")
-    members = staged(members.drop("text_digest").join(nodes.select("node", "sketch"), "node"), "members")
+    members = staged(members.drop("text_digest").join(nodes.select("node", "sketch", "bands"), "node"), "members")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
-    seen, count = None, FIRST_HEADS
+    count = FIRST_HEADS
     while True:
         split = (members.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"))
                  .where("l < h").select("bucket"))
@@ -249,23 +250,22 @@ def linked(nodes: DataFrame, texts_of, similarity: float = SIMILARITY) -> tuple[
         heads = staged(live.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= count)
                        .select("bucket", F.col("node").alias("head"), F.col("label").alias("head_label"),
                                F.col("n").alias("head_n"), F.col("ord").alias("head_ord"),
-                               F.col("sketch").alias("head_sketch")), "heads")
-        tried = (live.join(heads, "bucket")
-                 .where((F.col("label") != F.col("head_label")) & (F.col("ord") > F.col("head_ord"))
-                        & (F.least("n", "head_n") >= similarity * F.greatest("n", "head_n"))
-                        & alike("sketch", "head_sketch", MOST_DIFFERENT))
-                 .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
-        if seen is not None:
-            tried = tried.join(seen, ["a", "b"], "left_anti")
-        tried = staged(tried, "tried")
-        seen = tried if seen is None else staged(seen.union(tried), "seen")
+                               F.col("sketch").alias("head_sketch"), F.col("bands").alias("head_bands")), "heads")
+        # bands are in one order everywhere, so the first that two nodes share is the same for both
+        tried = staged(
+            live.join(heads, "bucket")
+            .where((F.col("label") != F.col("head_label")) & (F.col("ord") > F.col("head_ord"))
+                   & (F.least("n", "head_n") >= similarity * F.greatest("n", "head_n"))
+                   & alike("sketch", "head_sketch", MOST_DIFFERENT)
+                   & (F.array_intersect("bands", "head_bands")[0] == F.col("bucket")))
+            .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")), "tried")
         links = staged(links.union(verified(tried, texts, similarity)), "links")
         labels = components(links)
         over = heads.groupBy("bucket").agg(F.max("head_ord").alias("head_ord"))
         members = staged(
             live.join(over, "bucket").where(F.col("ord") > F.col("head_ord"))
-            .select("bucket", "node", "n", "ord", "sketch", F.col("label").alias("old")).join(labels, "node", "left")
-            .select("bucket", "node", "n", "ord", "sketch", F.coalesce("label", "old").alias("label")), "members")
+            .select("bucket", "node", "n", "ord", "sketch", "bands", F.col("label").alias("old")).join(labels, "node", "left")
+            .select("bucket", "node", "n", "ord", "sketch", "bands", F.coalesce("label", "old").alias("label")), "members")
         count = min(count * 8, MOST_HEADS)
 
 
