@@ -1,11 +1,13 @@
 """Interpolated quantiles (T1), exact at any size.
 
 The built-in `percentile` keeps one map entry per distinct value in a single buffer, so it only
-serves columns of few values. Here the rows are counted first. Columns of few enough rows are
-sorted in one aggregate; for longer ones a selection runs in rounds: every round is one aggregate
-of bounded state that counts around the current bracket of each wanted rank and sketches the
-inside, and the next round looks only between two neighbouring sketch points. What reaches the
-driver is a few hundred numbers per quantile and round.
+serves columns of few values. Here one scan counts the rows and sketches a bracket around each wanted
+rank. The next counts below each bracket and inside it; while a bracket holds more than `LAST_VALUES`
+values it is narrowed to two neighbouring points of a sketch of its inside. The last scan takes the
+few values inside the brackets. The plan is the same at every size, every aggregate has bounded
+state, and what reaches the driver is a few thousand numbers per quantile at most.
+
+These jobs run when the function is called and read their input each time: stage a costly input.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ from tablewright.functions.cleaning import col_of
 
 GRID = 128
 ACCURACY = 40 * GRID
-#: Values one aggregate may hold, over all columns together.
-HELD_VALUES = 8_000_000
-MAX_ROUNDS = 16
+#: Values of a bracket that the last aggregate takes; brackets with more are narrowed first.
+LAST_VALUES = 1024
+#: Shares of the rows by which the first brackets reach to both sides; the first that is wide enough
+#: for the sketch's error and both ranks counts.
+MARGINS = (2 / ACCURACY, 1 / 64)
 
 
 def sql_name(name: str) -> str:
@@ -65,7 +69,7 @@ def measure(df: DataFrame, name: str) -> Column:
 
 
 def quantile_sql(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 mode: str = "exact", held: int = HELD_VALUES) -> dict[str, str]:
+                 mode: str = "exact", last: int = LAST_VALUES) -> dict[str, str]:
     """Per column an array<double> of its quantiles as SQL text, for use inside an aggregate.
 
     Mode 'exact' runs the jobs described above at once, and its results are constants. Mode
@@ -76,7 +80,7 @@ def quantile_sql(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return {c: f"percentile_approx({measure_sql(df, c)}, {points}, {ACCURACY})" for c in cols}
     if mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
-    found = exact_quantiles(df, cols, probs, held)
+    found = exact_quantiles(df, cols, probs, last)
     return {c: f"array({', '.join(sql_double(v) for v in found[c])})" for c in cols}
 
 
@@ -127,39 +131,42 @@ class _Target:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    held: int = HELD_VALUES) -> dict[str, list[float | None]]:
+                    last: int = LAST_VALUES) -> dict[str, list[float | None]]:
     """The quantiles of each column as numbers; None for a column without values."""
+    if not cols or not probs:
+        return {c: [] for c in cols}
     names = {c: f"m{i}" for i, c in enumerate(cols)}
     data = df.selectExpr(*[f"{measure_sql(df, c)} AS {m}" for c, m in names.items()])
+    around = [min(max(p + side * d, 0.0), 1.0) for p in probs for d in MARGINS for side in (-1, 1)]
+    points = f"array({', '.join(sql_double(float(p)) for p in around)})"
     basics = data.selectExpr(*[
-        f"struct(count({m}), min({m}), max({m})) AS {m}" for m in names.values()]).first()
+        f"struct(count({m}), min({m}), max({m}), percentile_approx({m}, {points}, {ACCURACY})) AS {m}"
+        for m in names.values()]).first()
 
-    ranks, short, targets = {}, {}, []
+    ranks, targets = {}, {}
     for c, m in names.items():
-        count, low, high = basics[m]
+        count, low, high, brackets = basics[m]
         if not count:
             continue
-        for p in probs:
+        for i, p in enumerate(probs):
             position = p * (count - 1)
             below = min(math.floor(position), count - 1)
             ranks[c, p] = (below, min(below + 1, count - 1), position - below)
-        if count <= held // len(cols):
-            short[m] = sorted({r for p in probs for r in ranks[c, p][:2]})
-        else:
-            targets += [_Target(m, ranks[c, p][:2], low, high) for p in probs]
-
-    values = {}
-    if short:
-        row = data.selectExpr(*[f"{_ranked_sql(m, wanted)} AS {m}" for m, wanted in short.items()]).first()
-        values = {(m, r): v for m, wanted in short.items() for r, v in zip(wanted, row[m])}
-    _select_by_rounds(data, targets, max(held // max(len(targets), 1), 1))
-    values |= {(t.column, r): v for t in targets for r, v in t.values.items()}
+            lo, hi = low, high
+            for j, margin in enumerate(MARGINS):
+                if count * margin >= 8:  # else the bracket may not hold both ranks
+                    at = 2 * (i * len(MARGINS) + j)
+                    lo = brackets[at] if around[at] > 0 else low
+                    hi = brackets[at + 1] if around[at + 1] < 1 else high
+                    break
+            targets[c, p] = _Target(m, ranks[c, p][:2], lo, hi, parent=(low, high))
+    _select_by_rounds(data, list(targets.values()), max(last, 16))
 
     def quantile(c: str, p: float) -> float | None:
         if (c, p) not in ranks:
             return None
         below, above, share = ranks[c, p]
-        a, b = values[names[c], below], values[names[c], above]
+        a, b = (targets[c, p].values[r] for r in (below, above))
         return a if share == 0 or a == b else a + (b - a) * share
 
     return {c: [quantile(c, p) for p in probs] for c in cols}
@@ -171,26 +178,21 @@ def _ranked_sql(value: str, ranks: Sequence[int]) -> str:
     return f"transform(array(sort_array(collect_list({value}))), s -> array({picked}))[0]"
 
 
-def _select_by_rounds(data: DataFrame, targets: list[_Target], final_rows: int) -> None:
-    """Fill in the values of the targets' ranks."""
+def _select_by_rounds(data: DataFrame, targets: list[_Target], last: int) -> None:
+    """Fill in the values of the targets' ranks. A bracket only narrows, or goes back once to a
+    wider one that held the ranks, with more slack; so the rounds end."""
     grid = f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})"
-    for _ in range(MAX_ROUNDS):
-        pending = [t for t in targets if not t.done and not t.final]
-        if not pending:
-            break
+    while pending := [t for t in targets if not t.done and not t.final]:
         row = data.selectExpr(*[f"{_round_aggregate(t, grid)} AS t{i}"
                                 for i, t in enumerate(pending)]).first()
         for i, target in enumerate(pending):
-            _narrow(target, row[i], final_rows)
+            _narrow(target, row[i], last)
 
-    last = [t for t in targets if not t.done]
-    if not all(t.final for t in last):
-        raise ArithmeticError("the brackets did not shrink; the column is not ordered")
-    if last:
+    if rest := [t for t in targets if not t.done]:
         row = data.selectExpr(*[
             _ranked_sql(f"CASE WHEN {t.inside()} THEN {t.column} END", [r - t.skip for r in t.open_ranks])
-            + f" AS t{i}" for i, t in enumerate(last)]).first()
-        for i, target in enumerate(last):
+            + f" AS t{i}" for i, t in enumerate(rest)]).first()
+        for i, target in enumerate(rest):
             target.values.update(zip(target.open_ranks, row[i]))
 
 
@@ -201,12 +203,15 @@ def _round_aggregate(t: _Target, grid: str) -> str:
             f"percentile_approx(CASE WHEN {t.inside()} THEN {c} END, {grid}, {ACCURACY}))")
 
 
-def _narrow(t: _Target, counted, final_rows: int) -> None:
+def _narrow(t: _Target, counted, last: int) -> None:
     """Settle ranks that fall on the bracket's ends, then shrink the bracket or stop."""
     below, at_lo, inner, at_hi, grid = counted
     first_inside, first_hi = below + at_lo, below + at_lo + inner
     end = first_hi + (at_hi if t.hi != t.lo else 0)
     if not all(below <= r < end for r in t.open_ranks):
+        if len(t.parent) == 2:  # the first sketch missed: take the whole column
+            t.lo, t.hi = t.parent
+            return
         # The sketch missed: go back to the wider bracket and take more of its cells.
         t.lo, t.hi, grid, first_inside, inner = t.parent
         t.slack *= 4
@@ -218,7 +223,7 @@ def _narrow(t: _Target, counted, final_rows: int) -> None:
         elif r >= first_hi:
             t.values[r] = t.hi
     t.skip, t.inner = first_inside, inner
-    if t.done or inner <= final_rows:
+    if t.done or inner <= last:
         t.final = True
         return
     t.parent = (t.lo, t.hi, grid, first_inside, inner)

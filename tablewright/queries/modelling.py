@@ -148,8 +148,7 @@ def _parts(spark, sf):
     return {s: lines.filter(F.col("split") == s) for s in ("train", "val", "test")}
 
 
-#: The queries fit smaller forests and fewer rounds than the defaults, to keep a check short; the
-#: rows are all there.
+#: The queries train at the library's default effort.
 QUERY_SIZES = models.ModelSizes()
 
 

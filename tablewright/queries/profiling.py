@@ -113,9 +113,8 @@ def numeric_describe(spark, sf):
         quantile_cont({c}, 0.99) AS q99 FROM lineitem"""
     for c in MEASURES]), ["q10", "q50", "q99"]))
 def exact_quantiles(spark, sf):
-    """With little room for values, so that the selection runs in rounds."""
     lines = table(spark, sf, "lineitem")
-    q = quantile_sql(lines, MEASURES, [0.1, 0.5, 0.99], held=10_000)
+    q = quantile_sql(lines, MEASURES, [0.1, 0.5, 0.99])
     rows = [profile.row_sql(column=sql_text(c), q10=f"{q[c]}[0]", q50=f"{q[c]}[1]", q99=f"{q[c]}[2]")
             for c in MEASURES]
     return rounded(profile.long_rows(spark.range(1), rows))

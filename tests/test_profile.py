@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import correlation, dedup, fitted, outliers, profile, quality
-from tablewright.operators.quantiles import HELD_VALUES, exact_quantiles, quantile_row
+from tablewright.operators.quantiles import LAST_VALUES, exact_quantiles, quantile_row
 
 
 def numbers(spark, values, parts=3):
@@ -51,7 +51,7 @@ def _cases():
 
 
 @pytest.mark.parametrize("name,values", list(_cases()), ids=[c[0] for c in _cases()])
-@pytest.mark.parametrize("held", [140, HELD_VALUES])
+@pytest.mark.parametrize("held", [16, 140, LAST_VALUES])
 def test_quantiles_are_exact(spark, name, values, held):
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.999, 1]
     df = numbers(spark, [*values, None])
@@ -160,10 +160,12 @@ def test_zscores(spark):
     assert out[0] == pytest.approx(0) and out[1] == pytest.approx(1) and out[2] == 0
 
 
-def test_one_hot_refuses_what_is_no_category(spark):
-    df = spark.range(50).selectExpr("string(id) AS s")
-    with pytest.raises(ValueError):
-        fitted.observed_labels(df, ["s"], limit=10)
+def test_one_hot_takes_every_label(spark):
+    many = spark.range(1200).selectExpr("string(id) AS s")
+    assert len(fitted.observed_labels(many, ["s"])["s"]) == 1200
+    cased = fitted.one_hot(spark.createDataFrame([("a",), ("A",)], "s string"), "s")
+    assert cased.columns == ["s", "s_A", "s_a_2"]
+    assert sorted(tuple(r) for r in cased.collect()) == [("A", 1, 0), ("a", 0, 1)]
     three = spark.createDataFrame([("b",), ("a",), (None,)], "s string")
     assert fitted.one_hot(three, "s").columns == ["s", "s_a", "s_b"]
     assert [tuple(r)[1:] for r in fitted.one_hot(three, "s").collect()] == [(0, 1), (1, 0), (0, 0)]
