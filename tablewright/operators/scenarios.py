@@ -20,7 +20,8 @@ NO_WORDS = ("n", "nie", "no")
 
 
 def _text(c: str) -> Column:
-    return F.trim(col_of(c).cast("string"))
+    """The text without white space of any kind at its ends."""
+    return F.regexp_replace(col_of(c).cast("string"), r"(?U)^\s+|\s+$", "")
 
 
 def _number(c: str, kind: str, rule) -> tuple[Column, Column]:
@@ -29,7 +30,8 @@ def _number(c: str, kind: str, rule) -> tuple[Column, Column]:
     text = _text(c)
     blank = text.isNull() | (text == "")
     if kind == "int":
-        parsed = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
+        digits = F.when(text.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(text, F.lit("_"), F.lit("")))
+        parsed = digits.try_cast("bigint")
     else:
         parsed = F.when(~text.rlike(r"(?i)[0-9.][df]$|x"), text.try_cast("double"))
         parsed = F.when(~F.isnan(parsed), parsed)
@@ -45,7 +47,9 @@ def _number(c: str, kind: str, rule) -> tuple[Column, Column]:
 def validate_scenarios(df: DataFrame) -> DataFrame:
     """FLT10: parse the text columns of scenarios, fill blanks, check bounds.
 
-    Adds `errors`, empty for a valid scenario. Columns absent from the table count as blank.
+    Adds `errors`, empty for a valid scenario. Columns absent from the table count as blank. White
+    space of any kind around an input is passed over, and an input of white space alone is blank;
+    whole numbers may have single underscores between digits.
     """
     wanted = ["name", *FLOAT_RULES, *INT_RULES, "achievements"]
     df = df.withColumns({c: F.lit(None).cast("string") for c in wanted if c not in df.columns})

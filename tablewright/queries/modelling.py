@@ -255,10 +255,15 @@ _VALID = """price IS NOT NULL AND platforms BETWEEN 1 AND 3 AND genres BETWEEN 1
 @query("scenario_validation", f"""
     SELECT *, (price IS NULL)::INTEGER + (ratio > 1)::INTEGER
         + (platforms NOT BETWEEN 1 AND 3)::INTEGER + (genres NOT BETWEEN 1 AND 10)::INTEGER
-        + (achievements IS NULL)::INTEGER AS n_errors FROM ({SCENARIO_SQL})""")
+        + (achievements IS NULL)::INTEGER AS n_errors,
+        concat_ws('; ', CASE WHEN price IS NULL THEN 'price: not a number' END,
+            CASE WHEN ratio > 1 THEN 'ratio: must be <= 1.0' END,
+            CASE WHEN platforms < 1 THEN 'platforms: must be >= 1' WHEN platforms > 3 THEN 'platforms: must be <= 3' END,
+            CASE WHEN genres < 1 THEN 'genres: must be >= 1' WHEN genres > 10 THEN 'genres: must be <= 10' END,
+            CASE WHEN achievements IS NULL THEN 'achievements: yes or no' END) AS errors FROM ({SCENARIO_SQL})""")
 def scenario_validation(spark, sf):
     checked = scenarios.validate_scenarios(event_scenarios(spark, sf))
-    return checked.withColumn("n_errors", F.size("errors")).drop("errors")
+    return checked.withColumn("n_errors", F.size("errors")).withColumn("errors", F.concat_ws("; ", "errors"))
 
 
 @query("scenario_features", rounded_sql(f"""

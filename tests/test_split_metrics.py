@@ -162,5 +162,8 @@ def test_scenario_rules(spark):
     assert (first.name, first.price, first.platforms, first.genres, first.reviews, first.ratio,
             first.owners, first.achievements) == ("Projekt_Nieznany", 0, 1, 1, 100, 0.8, 10000, True)
     assert [len(r.errors) for r in rows] == [0, 5, 0, 3]
+    spaced = spark.createDataFrame([("\tN ", "2\t", "1_0", "tak\n")], "name string, platforms string, genres string, achievements string")
+    row = scenarios.validate_scenarios(spaced).first()
+    assert (row.name, row.platforms, row.genres, row.achievements, row.errors) == ("N", 2, 10, True, [])
     made = scenarios.scenario_features(scenarios.validate_scenarios(df).limit(1), "2024-05-01").first()
     assert (made.Release_year, made.Is_free, made.Has_achievements) == (2024, 1, 1)
