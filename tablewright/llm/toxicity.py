@@ -12,8 +12,9 @@ scored in slices of `SLICE` words that overlap by the filter width, so memory do
 its length.
 
 Labels, language, source and key are never inputs of a score. Thresholds per language are fitted on
-the part of the sample held back from training and only steer `flagged`; a language without enough
-labelled rows takes the threshold of all rows.
+all labelled rows that did not train (a fifth at least) and only steer `flagged`: the best F1 among
+the cuts whose expected share of flagged clean rows stays within `FALSE_ALARMS`. A language without
+enough labelled rows for that takes the threshold of all rows.
 
 Defined cases: a null text counts as empty; an empty text has no words, so every maximum is zero
 and it gets the score of the output's bias. Repeated rows get equal scores. Without usable labels
@@ -23,18 +24,19 @@ columns are passed on.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field, replace
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tablewright.llm.common import documents, free_name, text_of
 
@@ -50,6 +52,8 @@ EPOCHS, BATCH = 6, 32
 SLICE = 1 << 16
 HELD_WORDS = 1 << 18
 THRESHOLD = 0.3
+#: Largest expected share of clean rows that a fitted cut may flag; steps of log odds in which scores are counted.
+FALSE_ALARMS, STEPS = 0.02, 64
 
 
 def bucket(word: str, salt: str, buckets: int = BUCKETS) -> int:
@@ -209,63 +213,108 @@ class Toxicity:
         return net.score(top)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, text: str, key: str) -> list[tuple]:
-    """Labelled rows (key, lang, text, label) that may train: bounded in rows and characters, spread
-    by hash. The keys are chosen by the lengths of their texts before any text is moved."""
-    usable = (labels.where(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
-              .groupBy("doc_id").agg(F.max("toxic").alias("_toxic")))
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+def _usable(labels: DataFrame) -> DataFrame:
+    """doc_id, _toxic of the labels that may steer the model, and whether they are kept for the cuts."""
+    return (labels.where(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+            .groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
+            .withColumn("_back", F.pmod(F.xxhash64("doc_id", F.lit("cuts")), F.lit(5)) == 4))
+
+
+def fitting(sized: Iterable[tuple], most: int) -> list:
+    """Those of (key, size) that fit into `most` one after the other; one that does not is left out
+    and takes no room from the next."""
+    out, used = [], 0
+    for name, size in sized:
+        if used + size <= most:
+            out.append(name)
+            used += size
+    return out
+
+
+def _sample(docs: DataFrame, usable: DataFrame, text: str, key: str) -> tuple[list[tuple], DataFrame]:
+    """Rows (key, text, label) that train, bounded in rows and characters and spread by hash, and
+    their keys as a table. The keys are chosen by the lengths of their texts before any text is moved."""
     sizes = (docs.groupBy(F.col(f"`{key}`").alias("doc_id"))
-             .agg(F.max(F.char_length(text_of(text))).alias("_size")))
-    drawn = usable.join(sizes, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
-    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    drawn = (drawn.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))  # TRAIN_ROWS rows
-             .where((F.col("_before") == 0) | (F.col("_before") + F.col("_size") <= TRAIN_CHARS))
-             .select("doc_id", "_toxic"))
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), lang.alias("_lang"), text_of(text).alias("_text"))
-    return [(r[0], r[1] or "", r[2], r[3]) for r in
-            rows.join(F.broadcast(drawn), "doc_id").select("doc_id", "_lang", "_text", "_toxic")
-            .dropDuplicates(["doc_id"]).collect()]
-
-
-def _threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut in the middle between neighbouring scores that gives the best F1."""
-    best, cut = -1.0, THRESHOLD
-    levels = np.unique(scores)
-    for at in np.concatenate([[THRESHOLD], (levels[1:] + levels[:-1]) / 2]):
-        hit = scores >= at
-        both = (hit & (labels == 1)).sum()
-        f1 = 2 * both / max(hit.sum() + (labels == 1).sum(), 1)
-        if f1 > best + 1e-9:
-            best, cut = f1, float(at)
+             .agg(F.max(F.char_length(text_of(text))).alias("_size")).where(F.col("_size") <= TRAIN_CHARS))
+    drawn = (usable.where(~F.col("_back")).join(sizes, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
+             .limit(TRAIN_ROWS).select("doc_id", "_toxic", "_size").collect())
+    chosen = fitting(((tuple(r[:2]), r[2]) for r in drawn), TRAIN_CHARS)
+    keys = docs.sparkSession.createDataFrame(chosen, usable.select("doc_id", "_toxic").schema)
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), text_of(text).alias("_text"))
+    found = rows.join(F.broadcast(keys), "doc_id").select("doc_id", "_text", "_toxic").dropDuplicates(["doc_id"])
+    return [tuple(r) for r in found.collect()], keys.select("doc_id")
+
+
+def _level() -> Column:
+    """The score's log odds from those of `THRESHOLD`, in whole steps."""
+    p = F.least(F.greatest(F.col("score"), F.lit(1e-9)), F.lit(1 - 1e-9))
+    return F.floor((F.log(p / (1 - p)) - F.lit(math.log(THRESHOLD / (1 - THRESHOLD)))) * STEPS).cast("long")
+
+
+def cut_of(levels: list[tuple[int, int, int]]) -> float:
+    """From (level, clean rows, toxic rows) the cut of the best F1 among those that keep the bound on
+    false alarms: with n clean rows seen and f of them at or above the cut, the next one is expected
+    there with a chance of (f + 1) / (n + 1) at most. Too few rows for the bound allow no f at all."""
+    levels = sorted(levels)
+    at = np.asarray([x[0] for x in levels], np.int64)
+    clean, toxic = (np.asarray([x[i] for x in levels], np.int64) for i in (1, 2))
+    if not clean.sum():
+        return THRESHOLD
+    allowed = max(int(FALSE_ALARMS * (clean.sum() + 1) + 1e-9) - 1, 0)
+    best, cut = -1.0, math.inf
+    edges = [0.0, *((at[1:] + at[:-1] + 1) / 2), at[-1] + 1.0]  # in the middle of the empty levels between
+    for edge in edges:
+        above = at >= edge
+        both, false = int(toxic[above].sum()), int(clean[above].sum())
+        f1 = 2 * both / max(both + false + int(toxic.sum()), 1)
+        if false <= allowed and f1 > best + 1e-9:
+            best, odds = f1, edge / STEPS + math.log(THRESHOLD / (1 - THRESHOLD))
+            cut = math.inf if odds > 20.7 else 1 / (1 + math.exp(-odds)) if edge else THRESHOLD
     return cut
 
 
+def _cuts(docs: DataFrame, usable: DataFrame, trained: DataFrame, model: Toxicity, text: str, key: str,
+          least_rows: int) -> Toxicity:
+    """`model` with cuts from every usable labelled row that did not train. Texts are scored where they
+    lie after the join; the driver gets counts by level of score and language."""
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), lang.alias("lang"), text_of(text).alias("text"))
+    rest = usable.join(F.broadcast(trained), "doc_id", "left_anti").select("doc_id", "_toxic")
+    scored = score(rows.join(rest, "doc_id"), model)
+    counts = (scored.groupBy("lang", _level().alias("level"))
+              .agg(F.sum((F.col("_toxic") == 0).cast("long")), F.sum((F.col("_toxic") == 1).cast("long"))).collect())
+    own, every = defaultdict(list), defaultdict(lambda: [0, 0])
+    for name, level, clean, toxic in counts:
+        own[name].append((level, clean, toxic))
+        every[level][0] += clean
+        every[level][1] += toxic
+    if not every:
+        return model
+    by_lang = {}
+    for name, levels in own.items():
+        clean, toxic = (sum(x[i] for x in levels) for i in (1, 2))
+        if name and clean and toxic and clean + toxic >= least_rows and FALSE_ALARMS * (clean + 1) >= 1:
+            by_lang[name] = cut_of(levels)
+    return replace(model, threshold=cut_of([(k, *v) for k, v in every.items()]), by_lang=by_lang)
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
         least_rows: int = 40) -> Toxicity:
-    """Train on labelled rows whose crc32(key) mod 4 is not 2, a fifth of them held back for the
-    thresholds. The bounded sample is the only thing the driver holds."""
-    held, texts, marks, langs = WordRows(), [], [], []
-    for _, lang, body, label in sorted(_sample(docs, labels, text, key), key=lambda r: zlib.crc32(str(r[0]).encode())):
-        rows = np.fromiter(map(held.__getitem__, words_of(body)), np.int64)
-        texts.append(rows)
+    """Train on a bounded sample of the labelled rows whose crc32(key) mod 4 is not 2; a fifth of
+    them by hash, and all that the sample leaves out, give the thresholds. The sample and counts by
+    level of score are the only things the driver holds."""
+    held, texts, marks = WordRows(), [], []
+    usable = _usable(labels)
+    rows, trained = _sample(docs, usable, text, key)
+    for _, body, label in sorted(rows, key=lambda r: zlib.crc32(str(r[0]).encode())):
+        texts.append(np.fromiter(map(held.__getitem__, words_of(body)), np.int64))
         marks.append(label)
-        langs.append(lang)
     y = np.asarray(marks, np.float32)
     if len(set(marks)) < 2:
         return Toxicity(None, float(y.mean()) if len(y) else 0.0, THRESHOLD, {})
     pairs = np.asarray(held.pairs, np.int64).reshape(-1, 2)
-    back = np.arange(len(y)) % 5 == 4
-    fitted = train([t for t, b in zip(texts, back, strict=True) if not b], pairs, y[~back])
-    tables = fitted.word_tables(pairs)
-    top = np.stack([fitted.maxima(tables, t)[0] for t in texts])
-    scores, lang = fitted.score(top)[back], np.asarray(langs)[back]
-    by_lang = {}
-    for name in set(lang.tolist()) - {""}:
-        own = lang == name
-        if own.sum() >= least_rows and 0 < y[back][own].sum() < own.sum():
-            by_lang[name] = _threshold(scores[own], y[back][own])
-    return Toxicity(fitted, float(y.mean()), _threshold(scores, y[back]), by_lang)
+    model = Toxicity(train(texts, pairs, y), float(y.mean()), THRESHOLD, {})
+    return _cuts(docs, usable, trained, model, text, key, least_rows)
 
 
 def score(docs: DataFrame, model: Toxicity, text: str = "text", out: str = "score",

@@ -203,6 +203,31 @@ def test_toxicity(docs, empty, spark):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_cuts_use_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 400)
+    rng, rows, labels = random.Random(3), [], []
+    for i in range(4000):
+        bad = i % 10 == 0
+        words = prose(5000 + i, 20).split()
+        if bad or i % 25 == 7:  # the word alone does not tell
+            words[rng.randrange(20)] = "moronic"
+        if bad and i % 3:
+            words[rng.randrange(20)] = "idiotic"
+        rows.append((i, " ".join(words), "fr" if rng.random() < 0.04 else "en"))
+        labels.append((i, int(bad)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(table, marks)
+    assert set(model.by_lang) == {"en", "fr"}  # 4 % of the labelled rows are French
+    clean = marks.where("toxic = 0").select("doc_id")
+    kept = toxicity.keep_clean(table, marks).join(clean, "doc_id").count()
+    assert kept > 0.965 * clean.count()
+    # 0.3 would flag half of the clean rows; the best F1 within the bound flags one of 100
+    assert 0.3 < toxicity.cut_of([(0, 50, 5), (10, 49, 5), (20, 1, 5)]) < 1
+    assert toxicity.cut_of([(0, 20, 2), (3, 1, 9)]) > 1 / (1 + math.exp(-3 / 64) * 7 / 3)  # too few rows for the bound
+    assert toxicity.fitting([("a", 5), ("b", 90), ("c", 4)], 10) == ["a", "c"]
+
+
 def test_token_counts(docs, empty):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
