@@ -9,7 +9,9 @@ of its best template's word 2-grams that the paragraph holds.
 Positive examples are variants of the families' notices (case, punctuation, lost and added words);
 examples of the unknown class are a bounded sample of the corpus's own paragraphs
 (`SAMPLE` documents, the smallest by a hash of their key), less those near a template. Scoring
-covers every paragraph of every text. A paragraph is a line.
+covers every line of every text, and every stretch of a paragraph, however its lines are wrapped and
+commented, that holds `LEAST_SHARE` of a template's word pairs. A paragraph ends at a line without
+words. A stretch gives no row of its own where a line has been confirmed for the same statement.
 
 Defined cases: a null text counts as empty; an empty text has no paragraphs and no rows; repeated
 rows are scanned each; paragraphs may be of any length; without corpus examples the unknown class
@@ -20,6 +22,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect, insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -52,6 +56,8 @@ TEMPLATES = {
 FAMILIES = sorted(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 WORD = re.compile(r"\w+")
+#: Comment marks that are words; all others are no part of a word.
+MARK = re.compile(r"\s*(?:dnl|rem)\b", re.I)
 BUCKETS, ORDERS = 1 << 16, 3
 VARIANTS, SAMPLE, EPOCHS = 150, 500, 30
 LEAST_PROBABILITY, LEAST_SHARE = 0.8, 0.6
@@ -100,6 +106,9 @@ def pair_set(words: list[str]) -> set:
 
 
 TEMPLATE_PAIRS = {f: [pair_set(words_of(t)) for t in texts] for f, texts in TEMPLATES.items()}
+#: Every template's pairs and the most words that a stretch with its notice spans.
+SPANS = [(pair_set(w), 2 * len(w) + 8) for texts in TEMPLATES.values() for w in map(words_of, texts)]
+ALL_PAIRS = frozenset(chain.from_iterable(t for t, _ in SPANS))
 
 
 def share_of(words: list[str], family: str) -> float:
@@ -108,6 +117,78 @@ def share_of(words: list[str], family: str) -> float:
     return max(len(own & t) / len(t) for t in TEMPLATE_PAIRS[family])
 
 
+def unmarked(line: str) -> str:
+    """The line with a leading comment mark that is a word blanked out; no character moves."""
+    mark = MARK.match(line)
+    return " " * mark.end() + line[mark.end():] if mark else line
+
+
+def stretches(words: list[str]) -> set[tuple[int, int]]:
+    """(first word, end) of the tightest stretches that hold `LEAST_SHARE` of a template's pairs."""
+    pairs = list(zip(words, words[1:], strict=False))
+    present, out = ALL_PAIRS.intersection(pairs), set()
+    for template, most in SPANS if present else []:
+        if len(present & template) < LEAST_SHARE * len(template):
+            continue
+        hits = [i for i, p in enumerate(pairs) if p in template]
+        held, left, spans = Counter(), 0, []
+        for i in hits:
+            held[pairs[i]] += 1
+            while i + 2 - hits[left] > most or held[pairs[hits[left]]] > 1:
+                first = pairs[hits[left]]
+                held[first] -= 1
+                if not held[first]:
+                    del held[first]
+                left += 1
+            if len(held) >= LEAST_SHARE * len(template):
+                spans.append((-len(held), i + 2 - hits[left], hits[left]))
+        taken = []
+        for _, size, first in sorted(spans):
+            at = bisect(taken, (first, first + size))
+            if (not at or taken[at - 1][1] <= first) and (at == len(taken) or first + size <= taken[at][0]):
+                insort(taken, (first, first + size))
+        out.update(taken)
+    return out
+
+
+def passages(body: str) -> Iterator[tuple[int, int, list[str], bool]]:
+    """(start, length, words, whether it is a line) of every line with words, and of every stretch of
+    a paragraph that holds a template's notice."""
+    start, block, words = 0, 0, []
+    for line in [*body.split("\n"), ""]:
+        own = words_of(line)
+        if own:
+            yield start, len(line), own, True
+        own = words_of(unmarked(line))
+        if not own:
+            if not ALL_PAIRS.isdisjoint(zip(words, words[1:], strict=False)):
+                # lower case may have other places, so words are found anew with theirs
+                text = "\n".join(map(unmarked, body[block:start].split("\n")))
+                found = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(text)]
+                for first, end in sorted(stretches([w for *_, w in found])):
+                    yield block + found[first][0], found[end - 1][1] - found[first][0], [w for *_, w in found[first:end]], False
+            words, block = [], start + len(line) + 1
+        words += own
+        start += len(line) + 1
+
+
+def kept_statements(found: list[tuple]) -> list[tuple]:
+    """Of the (start, length, family, probability, share, confirmed, words, whether it is a line) of a
+    text, each statement once: as its line if that is confirmed, else as the stretch of the best share."""
+    out, confirmed = [f for f in found if f[-1] and f[5]], []
+    best = sorted((f for f in found if not f[-1] and f[5]), key=lambda f: (-f[4], f[1], f[0]))
+
+    def meets(a: tuple, b: tuple) -> bool:
+        return a[0] < b[0] + b[1] and b[0] < a[0] + a[1]
+
+    for f in best:
+        if not any(meets(f, k) and (k[2] == f[2] or share_of(f[6], k[2]) >= LEAST_SHARE) for k in out):
+            out.append(f)
+            confirmed.append(f)
+    out += [f for f in found if f[-1] and not f[5] and not any(meets(f, k) and k[2] == f[2] for k in confirmed)]
+    return sorted(out, key=lambda f: f[:2])
+
+
 @dataclass
 class Classifier:
     weights: np.ndarray
@@ -189,7 +270,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
 
 
 def scan(docs: DataFrame, model: Classifier, text: str = "text", key: str = "doc_id", rows_at_once: int = 128) -> DataFrame:
-    """One row per paragraph that states a family: key, start (character), length, family, probability, share, confirmed."""
+    """One row per line or stretch that states a family: key, start (character), length, family, probability, share, confirmed."""
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), text_of(text).alias("text"))
     names = ["doc_id", "start", "length", "family", "probability", "share", "confirmed"]
 
@@ -200,19 +281,16 @@ def scan(docs: DataFrame, model: Classifier, text: str = "text", key: str = "doc
                 part = batch.slice(at, rows_at_once)
                 place, found = [], []
                 for row, body in enumerate(part.column(1).to_pylist()):
-                    start = 0
-                    for line in body.split("\n"):
-                        words = words_of(line)
-                        if words:
-                            place.append((row, start, len(line)))
-                            found.append(words)
-                        start += len(line) + 1
+                    for start, length, words, line in passages(body):
+                        place.append((row, start, length, line))
+                        found.append(words)
                 p = model.probabilities(model.logits(*grams.of(found), len(found))) if found else np.zeros((0, UNKNOWN + 1))
-                best, out = p.argmax(1), []
+                best, stated = p.argmax(1), defaultdict(list)
                 for i in np.flatnonzero((best != UNKNOWN) & (p.max(1, initial=0) >= LEAST_PROBABILITY)):
-                    family = FAMILIES[best[i]]
+                    family, (row, start, length, line) = FAMILIES[best[i]], place[i]
                     share = share_of(found[i], family)
-                    out.append((*place[i], family, float(p[i, best[i]]), share, share >= LEAST_SHARE))
+                    stated[row].append((start, length, family, float(p[i, best[i]]), share, share >= LEAST_SHARE, found[i], line))
+                out = [(row, *f[:6]) for row, some in stated.items() for f in kept_statements(some)]
                 cols = list(zip(*out, strict=True)) or [[]] * 7
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -300,6 +301,21 @@ def test_licenses(docs, empty, spark):
     assert licenses.scan(empty, licenses.fit(empty)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    mit, bsd, gpl = licenses.TEMPLATES["MIT"][1], licenses.TEMPLATES["BSD-3-Clause"][0], licenses.TEMPLATES["GPL-3.0"][1]
+    bodies = {"MIT": "\n".join(textwrap.wrap(mit, 60)), "BSD-3-Clause": "/*\n * " + "\n * ".join(textwrap.wrap(bsd, 50)) + "\n */",
+              "GPL-3.0": "dnl " + "\ndnl ".join(textwrap.wrap(gpl, 66))}
+    rows = [(i, f"{prose(i, 60)}\n\n{body}\n\n{prose(i + 50, 20)}") for i, body in enumerate(bodies.values())]
+    rows += [(3, f"{prose(7, 200)} {mit} {prose(8, 300)}"), (4, prose(9, 60) + "\n" + bodies["MIT"] + "\n" + prose(10, 60)),
+             (5, "\n\n".join(textwrap.wrap(mit, 40)))]  # a blank line after each line: no paragraph holds the notice
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.scan(table, licenses.fit(table)).where("confirmed").collect()
+    assert sorted((r.doc_id, r.family) for r in found) == [(0, "MIT"), (1, "BSD-3-Clause"), (2, "GPL-3.0"), (3, "MIT"), (4, "MIT")]
+    for r in found:
+        words = licenses.words_of(rows[r.doc_id][1][r.start:r.start + r.length].replace("dnl", ""))
+        assert r.share == 1 and words == licenses.words_of({"MIT": mit, "BSD-3-Clause": bsd, "GPL-3.0": gpl}[r.family])
+
+
 def test_secrets(docs, empty, spark):
     key = hashlib.sha1(b"k").hexdigest()
     rows = [(1, f'the token = "{key}" of', "s"), (2, "AKIA" + "QX7TZ4LMP2VN8RWK", "s"), (3, "commit " + key + " of", "s"),
