@@ -48,7 +48,7 @@ HELD_WORDS = 1 << 18
 #: Letters of the two Latin blocks, without those whose lower case is not one letter.
 LETTERS = "a-zªµºß-öø-ÿĀ-įı-ſ"
 #: Texts of these characters alone are split into words here.
-PLAIN = re.compile("[\\t-\\r -~¡-±´-»¿-įı-ſ‐-‧‰-⁞€]*")
+PLAIN = re.compile("[\\t-\\r -~¡-±´-¸º»¿-įı-ſ‐-‧‰-⁞€]*")
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
 
 

@@ -170,6 +170,15 @@ def test_packing_against_the_tokenizer(docs, empty, spark):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_short_way_equals_the_tokenizer():
+    ids = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    assert ids.direct
+    chars = [c for c in map(chr, range(0x10FFFF)) if not 0xD800 <= ord(c) < 0xE000 and packing.PLAIN.fullmatch(c)]
+    texts = [*chars, *(a + b for a in [*chars, "¹"] for b in [*chars, "¹"]), "end.¹", "¹¹", "word¹ 2¹"]
+    texts += [f"{a}{c}{b}" for c in chars for a in ".a1 '" for b in ".a1 '"]
+    assert [t for t, got, want in zip(texts, ids.of(texts), ids.encoded(texts), strict=True) if got != want] == []
+
+
 def test_packing_windows_hold_the_target_mix(spark):
     rows = [(i, prose(i, 100), f"s{i % 3}") for i in range(300)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
