@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.exact_dedup import drop_copies
-from tablewright.llm.mixing import mixed
+from tablewright.llm.mixing import TEMPER, mixed
 from tablewright.llm.near_dedup import drop_near_copies
 from tablewright.llm.packing import pack
 from tablewright.llm.toxicity import keep_clean
@@ -34,9 +34,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of a mix with equal weights for all sources."""
-    names = [r[0] for r in docs.select("source").distinct().collect()]
-    return mixed(docs, dict.fromkeys(names, 1.0))
+    """All documents, in the order of a mix in which a source's weight is its share of all characters
+    to the power `TEMPER`."""
+    return mixed(docs, temper=TEMPER)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,6 +139,32 @@ def test_pfair_pattern_stays_within_a_block():
             assert np.abs(got - np.arange(1, frame + 1) * shares[s] / frame).max() < 1
 
 
+def test_pfair_keeps_to_uneven_weights_over_many_frames(spark):
+    weights = {f"s{i:02}": (i + 1) ** 0.7 / 3 for i in range(20)} | {"rare": 1e-4}
+    total = sum(weights.values())
+    phases = mixing.phases_of(dict.fromkeys(weights, 1200), weights, frame=64)
+    phase, most = phases[0], phases[1].first
+    assert most > 10_000 and len(phases) <= len(weights)
+    got, slot = dict.fromkeys(weights, 0), 0
+    for nth in range(-(-most // 64)):
+        for s, j in phase.slots_of(nth):
+            assert j == got[s]
+            got[s] += 1
+            slot += 1
+            if slot % 7 == 0:
+                assert all(abs(n - weights[x] / total * slot) < 1 + 1e-6 for x, n in got.items())
+    rows = [(i, "x" * 8, f"s{i % 3}") for i in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    uneven = {"s0": 0.61, "s1": 0.29, "s2": 0.1}
+    plan = mixing.pfair_schedule(table, uneven, block_chars=8, frame=16).toPandas().sort_values("slot")
+    assert plan.slot.tolist() == list(range(6000))
+    first = plan.head(3000)
+    assert ((first.release <= first.slot) & (first.slot < first.deadline)).all()
+    names = first.row.map(lambda r: r["source"])
+    for s, w in uneven.items():
+        assert np.abs((names == s).cumsum() - w * np.arange(1, 3001)).max() < 1 + 1e-6
+
+
 def test_mixing_keeps_every_row(docs, empty):
     plan = mixing.pfair_schedule(docs, {"s0": 3.0, "s1": 1.0}, block_chars=64, frame=16)
     assert plan.count() == docs.count()
