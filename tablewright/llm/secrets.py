@@ -1,6 +1,8 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least `LEAST` characters as they occur in keys, with the words around it.
+A candidate is a run of at least `LEAST` characters as they occur in keys, with the words around it, or
+what stands after an assignment, a word of `NEAR_SECRET` or the user of an address: any characters
+but blanks and quotes, in any number, less closing marks of the sentence. What is such a run as a whole counts once.
 Its features are its length, the transitions between kinds of characters, the share that dictionary
 words and syllables cover, its path (the source, and what it looks like itself: address, host, file) and
 the neighbouring words. A random forest of `pyspark.ml`, trained on labelled findings, gives the
@@ -41,6 +43,9 @@ DICTIONARY = ["tion", "ment", "that", "this", "with", "from", "have", "keit", "l
               "les", "eau", "oui", "los", "las", "ing", "the", "and", "for", "are", "her", "ent", "ver", "ich", "ada", "ado", "est", "ion",
               "config", "default", "example", "sample", "test", "user", "name", "file", "path", "page", "mail", "http", "www", "com", "org"]
 
+#: A name, what makes the next a value (an assignment, or the name's own meaning and maybe `is`), the value, and an address's rest.
+VALUE = (r"(?<![^\s&?,;{(])(\S+?(?:\s{0,2}(?::=|=>|==?|:(?!//))\s{0,2}|(?=[\"')]?\s)(?<=(?i:" + "|".join(NEAR_SECRET) + r"))[\"')]?\s{1,2}(?:is\s{1,2})?)[\"'`]?)"
+         r"((?<=://[^\s/:]{0,64}:)[^\s\"'`/]+(?=@[\w.\-])|[^\s\"'`]+?(?=[&;,][\w.\-]+=)|[^\s\"'`]*[^\s\"'`.,;)\]}>])(@\S*)?")
 
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str = "source") -> DataFrame:
     """doc_id, nth, path, before, candidate, after."""
@@ -49,9 +54,14 @@ def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: s
                         F.posexplode(F.regexp_extract_all(text_of(text), F.lit(AROUND), F.lit(0))).alias("nth", "passage"))
     runs = found.select("doc_id", "nth", "path", "passage",
                         F.explode(F.regexp_extract_all("passage", F.lit(RUN), F.lit(0))).alias("candidate"))
-    return runs.select(
+    runs = runs.select(
         "doc_id", "nth", "path", F.expr("substring(passage, 1, instr(passage, candidate) - 1)").alias("before"),
         "candidate", F.expr("substring(passage, instr(passage, candidate) + length(candidate))").alias("after"))
+    given = docs.select(F.col(f"`{key}`").alias("doc_id"), source.alias("path"),
+                        F.posexplode(F.regexp_extract_all(text_of(text), F.lit(VALUE), F.lit(0))).alias("nth", "passage"))
+    given = given.select("doc_id", "nth", "path", *(F.regexp_extract("passage", VALUE, i).alias(n) for i, n in
+                                                    enumerate(("before", "candidate", "after"), 1)))
+    return runs.unionByName(given.where(~F.col("candidate").rlike(f"^{RUN}$") & (F.col("candidate") != "")))
 
 
 def _one_of(words: list[str], column: str) -> Column:
@@ -71,6 +81,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "digit_letter": share("[0-9](?=[A-Za-z])"), "letter_digit": share("[A-Za-z](?=[0-9])"),
         "lower_upper": share("[a-z](?=[A-Z])"), "upper_lower": share("[A-Z](?=[a-z])"),
         "same": share(r"(.)(?=\1)"), "vowels": share("(?i)[aeiou]"), "marks": share("[-_/+=]"),
+        "special": share(r"[^\sA-Za-z0-9]"), "login": F.col("before").rlike(r"://[^\s/]*:$").cast("double"),
         "uncovered": F.char_length(covered) / size,
         "hex": c.rlike("^(?i)[0-9a-f]+$").cast("double"), "uuid": c.rlike("^(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").cast("double"),
         "prefix": c.rlike("^(AKIA|ASIA|gh[pousr]_|sk_|pk_|xox|AIza|eyJ)").cast("double"),
@@ -97,7 +108,23 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         return F.element_at(F.array(*map(F.lit, words)), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(words))) + 1).cast("int"))
 
     cut = (F.pmod(F.xxhash64("id", F.lit(77)), F.lit(28)) + 20).cast("int")
+    made = spark.range(rows).select("id", *(x.alias(f"h{i}") for i, x in enumerate(h)), base[0].alias("base"), mixed.alias("mixed"), joined.alias("joined"))
+    h, base, mixed, joined = [F.col(f"h{i}") for i in range(3)], [F.col("base")], F.col("mixed"), F.col("joined")
+    few = (F.pmod(F.xxhash64("id", F.lit(78)), F.lit(9)) + 6).cast("int")
+    number = F.pmod(F.xxhash64("id", F.lit(79)), F.lit(9999)).cast("string")
+    word = F.substring(joined, 1, few)
+    phrase = F.concat(word, number, F.substring(F.reverse(joined), 1, F.pmod(few, F.lit(7))))
+    signed = F.substring(F.regexp_replace(F.regexp_replace(base[0], "[aeiouA-C]", "!"), "[+/=x-z]", "#"), 1, few)
+    given = F.concat(pick(NEAR_SECRET, 21), pick([" = ", ": ", "=", " = \"", " ", " is "], 22))
+    plain = F.concat(pick(["name", "title", "note", "path", "size", "lang", "port", "time", "host", "version", "see"], 23), pick([": ", "=", " = "], 24))
     kinds = [  # label, before, candidate, after
+        (1, given, phrase, F.lit("")), (1, given, signed, F.lit("")), (1, given, F.substring(mixed, 1, few), F.lit("")),
+        (1, F.concat(pick(["postgres", "mysql", "amqp", "https", "redis"], 25), F.lit("://"), word, F.lit(":")),
+         F.when(F.pmod("id", F.lit(2)) == 0, phrase).otherwise(signed), F.concat(F.lit("@db."), word, F.lit(".com/x"))),
+        (0, plain, word, F.lit("")), (0, plain, number, F.lit("")), (0, plain, F.concat(F.lit("/"), word, F.lit("/"), word), F.lit("")),
+        (0, F.concat(pick(NEAR_SECRET, 26), pick([" ", ": "], 27)), F.substring(joined, 1, F.pmod(few, F.lit(6)) + 3), F.lit("")),
+        (0, plain, F.concat(F.lit("("), word, F.lit("-"), number), F.lit("")),
+        (0, plain, F.concat(word, F.lit("@"), word, F.lit(".com")), F.lit("")),
         (1, F.concat(pick(NEAR_SECRET, 11), pick([" = \"", ": ", "=", " "], 12)), F.substring(h[0], 1, 40), F.lit('"')),
         (1, F.concat(pick(NEAR_SECRET, 13), F.lit(" = \"")), F.upper(F.substring(h[0], 1, 40)), F.lit('"')),
         (1, F.concat(pick(NEAR_SECRET, 14), F.lit("=")), F.substring(mixed, 1, 40), F.lit("")),
@@ -122,7 +149,7 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         return out
 
     label = F.array(*(F.lit(float(k[0])) for k in kinds))
-    return spark.range(rows).select(F.lit("").alias("path"), choose(1).alias("before"), choose(2).alias("candidate"),
+    return made.select(F.lit("").alias("path"), choose(1).alias("before"), choose(2).alias("candidate"),
                                     choose(3).alias("after"), F.element_at(label, (kind + 1).cast("int")).alias("label"))
 
 

@@ -363,3 +363,15 @@ def test_secrets(docs, empty, spark):
     train, test = secrets.labelled_findings(spark).randomSplit([0.7, 0.3], 4)
     scored = secrets.fit(train).transform(secrets.with_features(test))
     assert scored.where("prediction = label").count() > 0.95 * scored.count()
+
+
+def test_secrets_of_any_length_and_marks(spark):
+    rows = [(1, "the password = hunter2secret here"), (2, "password: Xk9!vT#q2Lm@8zR."), (3, "at postgres://admin:s3cr3t!x9@db.host.com/a now"),
+            (4, "the token q7!Zp3 of"), (5, "user=bob&password=aX3#9q&n=1"), (6, "title: garden"), (7, "no value here")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.scan(table, secrets.fit(secrets.labelled_findings(spark))).collect()
+    wanted = {(1, "hunter2secret"), (2, "Xk9!vT#q2Lm@8zR"), (3, "s3cr3t!x9"), (4, "q7!Zp3"), (5, "aX3#9q")}
+    assert {(r.doc_id, r.candidate) for r in found if r.secret} == wanted
+    assert {r.candidate for r in found if r.doc_id == 6} == {"garden"} and not [r for r in found if r.doc_id == 7]
+    twice = spark.createDataFrame([(1, "token = " + "aB3" * 9)], "doc_id long, text string")
+    assert secrets.candidates(twice).count() == 1
