@@ -149,7 +149,11 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         return out
 
     label = F.array(*(F.lit(float(k[0])) for k in kinds))
-    return made.select(F.lit("").alias("path"), choose(1).alias("before"), choose(2).alias("candidate"),
+    # half have no path; of the others 3 in 4 secrets lie in configuration and code, 3 in 4 others in tests and documentation
+    draw, secret = F.pmod(F.xxhash64("id", F.lit(80)), F.lit(8)), F.element_at(label, (kind + 1).cast("int")) == 1
+    path = (F.when(draw < 4, "").when(secret == (draw < 7), pick(["config/app.yml", "src/main.py", "deploy/.env", "settings.ini"], 81))
+            .otherwise(pick(["tests/test_app.py", "examples/run.sh", "docs/guide.md", "samples/app.yml"], 82)))
+    return made.select(path.alias("path"), choose(1).alias("before"), choose(2).alias("candidate"),
                                     choose(3).alias("after"), F.element_at(label, (kind + 1).cast("int")).alias("label"))
 
 

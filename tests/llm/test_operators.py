@@ -375,3 +375,12 @@ def test_secrets_of_any_length_and_marks(spark):
     assert {r.candidate for r in found if r.doc_id == 6} == {"garden"} and not [r for r in found if r.doc_id == 7]
     twice = spark.createDataFrame([(1, "token = " + "aB3" * 9)], "doc_id long, text string")
     assert secrets.candidates(twice).count() == 1
+
+
+def test_secret_path_changes_a_score(spark):
+    texts = ["key = garden7", "password: ada12ent", "token = 4821", "auth stone9"]
+    rows = [(i, t, p) for i, t in enumerate(texts) for p in ("src/main.py", "tests/test_app.py")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    model = secrets.fit(secrets.labelled_findings(spark))
+    scored = secrets.scan(table, model).groupBy("doc_id").agg(F.max("probability") - F.min("probability"))
+    assert any(r[1] > 0.001 for r in scored.collect())
