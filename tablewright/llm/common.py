@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from tablewright.session import staged
 
-__all__ = ["ascii_lower", "documents", "free_name", "keep_rows", "queue_offsets", "staged", "text_of"]
+__all__ = ["ascii_lower", "documents", "free_name", "keep_rows", "queue_offsets", "ranked", "staged", "text_of"]
 
 #: Slices of a queue. Sums of slices are prefixed, and rows are only ordered inside a slice, so a
 #: source with a third of all rows is spread over this many groups.
@@ -68,6 +68,29 @@ def queue_offsets(df: DataFrame, source: str, size: str, order: Iterable[str | C
             .drop("_source", "_held", "_base", "_inside", hold))
 
 
+def ranked(rows: DataFrame, group: str, order: Iterable[str]) -> DataFrame:
+    """Add `rank` (from 0, in the given order, nulls first) within the group, and `total`, its rows.
+
+    Rows are range-sorted by (group, order), so a group of any size lies in as many partitions as it
+    needs; a row's rank is its place in its partition plus the group's rows in earlier ones, a table
+    of one row per partition and group. `order` must tell all rows apart, as a number given to staged
+    rows does, for equal rows to be spread too. The result is staged.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (group, *order)]
+    placed = staged(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                    .withColumn("_place", F.monotonically_increasing_id())
+                    .withColumn("_part", F.shiftright("_place", 33)), "placed")
+    whole = Window.partitionBy("_group")
+    earlier = whole.orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (placed.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_in"))
+              .agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+              .select("_group", "_in", F.sum("_n").over(whole).alias("total"),
+                      (F.col("_first") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_shift")))
+    joined = placed.join(shifts, (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_in")))
+    return staged(joined.withColumn("rank", F.col("_place") - F.col("_shift"))
+                  .drop("_place", "_part", "_group", "_in", "_shift"), "ranked")
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame, key: str, digest: Column) -> DataFrame:
     """The rows of `docs` that `decided` (doc_id, digest, kept) keeps, in their columns.
 

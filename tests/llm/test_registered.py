@@ -15,7 +15,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(contract.queries()) and "pipeline" in QUERIES
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir, tmp_path):
