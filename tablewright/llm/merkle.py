@@ -218,7 +218,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, key: str = "doc_id
     for more in ends[1:]:
         subroots = subroots.unionByName(more)
     crown = grow(ranked(subroots.withColumn("tree", F.lit("")), "tree", ["name"]), fan, height)
-    top = crown[-1][1].select(F.lit("").alias("tree"), F.expr(f"cast(array() as {PATH})").alias("path"),
+    top = crown[-1][1].select("tree", F.expr(f"cast(array() as {PATH})").alias("path"),
                               F.lower(F.hex("digest")).alias("subroot"), F.lower(F.hex("digest")).alias("root"))
     crowns = staged(descend(crown[0][0], _crowned(crown, top, fan, height), ["name"], fan, height).select(
         F.col("name").alias("tree"), "path", F.col("node").alias("subroot"), "root"), "crowns")
