@@ -3,54 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.profile import long_rows, row_sql
+from tablewright.operators.gram import pair_moments
 from tablewright.operators.projection import numeric_columns
-from tablewright.operators.quantiles import measure_sql, sql_text
 
-#: Pairs per aggregate; more would outgrow one generated method.
-PAIRS_PER_PASS = 120
 
-
-def _complete(data: DataFrame, names: Sequence[str]) -> set[str]:
-    """The columns without missing values: one count per column, one row back."""
-    gaps = data.selectExpr(*[f"count(1) - count({m}) AS {m}" for m in names]).first()
-    return {m for m in names if gaps[m] == 0}
+def _correlations(df: DataFrame, cols: Sequence[str] | None) -> DataFrame:
+    """a, b, col_a, col_b, corr of all pairs a <= b whose correlation is defined."""
+    cols = list(cols or numeric_columns(df))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "a int, b int, col_a string, col_b string, corr double")
+    names = F.array(*[F.lit(c) for c in cols])
+    spread = F.sqrt("square_a") * F.sqrt("square_b")
+    ratio = F.try_divide("product", spread)
+    corr = (F.when(ratio.isNull() | F.isnan(ratio), None).when(F.col("a") == F.col("b"), 1.0)
+            .otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio))))
+    return pair_moments(df, cols).select(
+        "a", "b", names[F.col("a")].alias("col_a"), names[F.col("b")].alias("col_b"),
+        corr.alias("corr")).filter("corr is not null")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """COR2: every unordered pair of columns once; undefined correlations are left out.
 
-    A pair uses the rows that have both values (T13), and is undefined when either side is
-    constant there. Columns found complete share one deviation over all their pairs.
+    A pair uses the rows that have both values (T13), and is undefined when either side is constant
+    there or infinite in one of them. The table is read once, however many columns there are.
     """
-    cols = list(cols or numeric_columns(df))
-    names = {c: f"m{i}" for i, c in enumerate(cols)}
-    data = df.selectExpr(*[f"{measure_sql(df, c)} AS {m}" for c, m in names.items()])
-    complete = _complete(data, list(names.values()))
-
-    def spread(a: str, b: str) -> str:
-        return f"stddev_pop({a})" if b in complete else (
-            f"stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END)")
-
-    pairs = list(combinations(cols, 2))
-    passes = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        rows = []
-        for left, right in pairs[start:start + PAIRS_PER_PASS]:
-            a, b = names[left], names[right]
-            rows.append(row_sql(
-                col_a=sql_text(left), col_b=sql_text(right),
-                corr=f"try_divide(covar_pop({a}, {b}), {spread(a, b)} * {spread(b, a)})"))
-        passes.append(long_rows(data, rows))
-    if not passes:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    return reduce(DataFrame.unionByName, passes).filter("corr is not null")
+    return _correlations(df, cols).filter("a < b").select("col_a", "col_b", "corr")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -58,15 +40,10 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
     Undefined cells are absent; a constant column has no diagonal cell either.
     """
-    cols = list(cols or numeric_columns(df))
-    both = F.array(F.struct("col_a", "col_b"),
-                   F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b")))
-    off = correlation_pairs(df, cols).select("corr", F.inline(both)).select("col_a", "col_b", "corr")
-    diagonal = long_rows(df, [
-        row_sql(col_a=sql_text(c), col_b=sql_text(c),
-                corr=f"CASE WHEN min({m}) < max({m}) THEN double('1') END")
-        for c, m in ((c, measure_sql(df, c)) for c in cols)]).filter("corr is not null")
-    return off.unionByName(diagonal)
+    there = F.struct("col_a", "col_b")
+    back = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"))
+    cells = F.when(F.col("a") == F.col("b"), F.array(there)).otherwise(F.array(there, back))
+    return _correlations(df, cols).select("corr", F.inline(cells)).select("col_a", "col_b", "corr")
 
 
 def significant_pairs(df: DataFrame, cols: Sequence[str] | None = None,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.cleaning import col_of, to_number
+from tablewright.operators.dedup import distinct_counts
 from tablewright.operators.projection import column_kind, numeric_columns
 from tablewright.operators.quantiles import (
     measure, measure_sql, quantile_sql, sql_name, sql_text, with_stats,
@@ -271,17 +272,17 @@ def drop_missing(df: DataFrame, col: str, name: str = "drop_missing") -> tuple[D
 
 def describe_columns(df: DataFrame, descriptions: Mapping[str, str] | None = None,
                      mode: str = "exact") -> DataFrame:
-    """SNK7: the documentation table: name, type, description, missing and distinct values."""
+    """SNK7: the documentation table: name, type, description, missing and distinct values.
+
+    One aggregate counts missing cells, `distinct_counts` the values: two scans, and of the values
+    only digests are shuffled."""
     notes = descriptions or {}
-    count = {"exact": "count(DISTINCT {})", "approx": "approx_count_distinct({})"}[mode]
-    rows = []
-    for name, data_type in df.dtypes:
-        gone = missing_sql(df, name)
-        rows.append(row_sql(
-            column_name=sql_text(name), data_type=sql_text(data_type),
-            description=sql_text(notes.get(name, "")), missing_count=f"count_if({gone})",
-            unique_values=count.format(f"CASE WHEN NOT {gone} THEN {sql_name(name)} END")))
-    return long_rows(df, rows)
+    rows = [row_sql(column_name=sql_text(name), data_type=sql_text(data_type),
+                    description=sql_text(notes.get(name, "")), missing_count=f"count_if({missing_sql(df, name)})")
+            for name, data_type in df.dtypes]
+    counts = distinct_counts(df, mode=mode).withColumnRenamed("column", "column_name")
+    return long_rows(df, rows).join(counts, "column_name", "left").withColumn(
+        "unique_values", F.coalesce("unique_values", F.lit(0)).cast("bigint"))
 
 
 def _bin_limits(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:

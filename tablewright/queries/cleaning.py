@@ -80,6 +80,17 @@ def distinct_counts(spark, sf):
     return dedup.distinct_counts(table(spark, sf, "orders"))
 
 
+@query("distinct_sketches", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", true AS close FROM orders HAVING count(*) > 0" for c in ORDER_COLUMNS))
+def distinct_sketches(spark, sf):
+    """Estimates merged from the sketches of two drops, the even and the odd years, beside the exact counts."""
+    orders = table(spark, sf, "orders")
+    drops = [dedup.distinct_sketches(orders.where(F.year("o_orderdate") % 2 == i)) for i in range(2)]
+    found = dedup.estimated_counts(dedup.merge_sketches(drops)).withColumnRenamed("unique_values", "estimate")
+    return dedup.distinct_counts(orders).join(found, "column").select(
+        "column", (F.abs(F.col("estimate") - F.col("unique_values")) <= 0.03 * F.col("unique_values")).alias("close"))
+
+
 @query("select_strict", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
 def select_strict(spark, sf):
     return projection.select_strict(table(spark, sf, "orders"),

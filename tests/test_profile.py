@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,33 @@ def test_outliers(spark):
     assert [(r.column, r.outlier_count, r.upper_bound) for r in rows] == [("x", 1, 18.25)]
 
 
+def test_distinct_counts_move_digests_only(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "x" * 3000, "ab", "a", "", "b"]), rng.choice([0.0, -0.0, 1.5, float("nan"), None]),
+             rng.randint(1, 40) if i % 3 else 7, i % 2 == 0, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "text string, x double, k int, flag boolean, id long").repartition(5)
+    made = dedup.distinct_counts(df)
+    plan = plan_of(made)  # before it runs
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "Expand" not in plan and sum("digest" in line for line in moved) == 1
+    assert not [line for line in moved if "text" in line]
+    assert {r.column: r.unique_values for r in made.collect()} == {"text": 5, "x": 2, "k": 40, "flag": 2, "id": 900}
+    documented = {r.column_name: (r.missing_count, r.unique_values) for r in profile.describe_columns(df).collect()}
+    assert documented["text"] == (sum(r[0] is None for r in rows), 5)
+    assert documented["x"] == (sum(r[1] is None or math.isnan(r[1]) for r in rows), 2)
+    none = {r.column: r.unique_values for r in dedup.distinct_counts(df.limit(0)).collect()}
+    assert none == dict.fromkeys(df.columns, 0)
+
+
+def test_distinct_sketches_merge(spark):
+    df = spark.range(60_000).selectExpr("id % 30000 AS k", "string(id % 7) AS s", "IF(id < 5, id, NULL) AS few")
+    parts = [dedup.distinct_sketches(df.where(f"id % 3 = {i}")) for i in range(3)]
+    got = {r.column: r.unique_values for r in dedup.estimated_counts(dedup.merge_sketches(parts)).collect()}
+    assert got["k"] == pytest.approx(30_000, rel=0.03) and (got["s"], got["few"]) == (7, 5)
+    whole = {r.column: r.unique_values for r in dedup.distinct_counts(df, mode="approx").collect()}
+    assert whole == got  # a merged sketch is that of all rows
+
+
 def test_duplicates_with_missing(spark):
     rows = [(1, "x"), (1, "x"), (None, None), (None, None), (2, "y")]
     df = spark.createDataFrame(rows, "k long, v string")
@@ -112,14 +140,42 @@ def test_correlation_uses_complete_pairs(spark):
         ("y", "y"), ("z", "z"), ("y", "z"), ("z", "y")}
 
 
-def test_correlation_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", 4)
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_correlation_of_many_columns_in_one_scan(spark, tmp_path):
     rng = np.random.default_rng(0)
-    data = rng.normal(size=(200, 6))
-    df = spark.createDataFrame([tuple(map(float, r)) for r in data], [f"c{i}" for i in range(6)])
-    want = np.corrcoef(data.T)
-    for r in correlation.correlation_pairs(df).collect():
-        assert r.corr == pytest.approx(want[int(r.col_a[1]), int(r.col_b[1])])
+    data = rng.normal(size=(700, 100)) @ rng.normal(size=(100, 100)) + 1e7 * rng.random(100)
+    data[rng.random(data.shape) < 0.3] = np.nan  # gaps in every column
+    data[:, 3], data[::7, 4] = 0.1, np.nan  # a constant
+    table = pd.DataFrame(data, columns=[f"c{i:02}" for i in range(100)])
+    spark.createDataFrame(table).repartition(5).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    pairs = correlation.correlation_pairs(df)
+    assert plan_of(pairs).count("FileScan") == 1 and plan_of(correlation.correlation_matrix(df)).count("FileScan") == 1
+    want, got = table.corr(), {(r.col_a, r.col_b): r.corr for r in pairs.collect()}
+    assert len(got) == 99 * 98 / 2
+    assert all(r == pytest.approx(want.loc[a, b], rel=1e-9, abs=1e-9) for (a, b), r in got.items())
+    assert correlation.correlation_matrix(df).count() == 99 * 99
+
+
+def test_correlation_of_awkward_pairs(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(6000):  # more than one block a task
+        x = rng.random()
+        gap = i % 3 == 0
+        # b is constant where c is there; d stands far from zero; e holds an infinite value where f is missing
+        rows.append((x, 0.1 if gap else rng.random(), x if gap else None, 1e12 + x, math.inf if i == 5 else x,
+                     None if i == 5 else 1 - x, None))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double, g double")
+    got = {(r.col_a, r.col_b): r.corr for r in correlation.correlation_pairs(df.repartition(3)).collect()}
+    assert ("b", "c") not in got and got["a", "c"] == pytest.approx(1)
+    assert got["a", "d"] == pytest.approx(np.corrcoef([r[0] for r in rows], [r[3] - 1e12 for r in rows])[0, 1], abs=1e-7)
+    assert got["e", "f"] == pytest.approx(-1) and ("a", "e") not in got
+    assert not [p for p in got if "g" in p] and all(-1 <= r <= 1 for r in got.values())
+    assert correlation.correlation_pairs(df.limit(0)).count() == correlation.correlation_matrix(df.limit(1)).count() == 0
 
 
 def test_histogram_matches_numpy(spark):
