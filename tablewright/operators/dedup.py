@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,14 +14,23 @@ from tablewright.functions.cleaning import col_of
 from tablewright.operators.quantiles import sql_name
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
+               place: str | None = None) -> DataFrame:
     """DUP1: the first row of each key in the given order; missing keys form one group.
 
     An aggregate, not a window: every task first reduces its own rows to one per key, so a key
     that holds a large share of the table ships one row per task and never meets in one sort.
     The minimum is taken over (order columns, other columns), which settles ties of the order
     the same way in every run.
+
+    With `place`, a column that tells all rows apart as a row's place in its file does, wide columns
+    come late: only (key, order, place) is sorted and shuffled, to find the first row of each key that
+    has several. Rows then pass or fail where they lie if these keys are few enough to be broadcast,
+    which Spark decides by their size; else they are joined by key, and a hot key's rows are split,
+    as the other side has one row per key. Ties of the order go by place.
     """
+    if place is not None:
+        return _keep_first_late(df, keys, [*order_by, place])
     rest = [c for c in df.columns if c not in keys]
     ranked = [c for c in order_by if c not in keys]
     ranked += [c for c in rest if c not in ranked]
@@ -34,6 +44,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     ])
 
 
+def _keep_first_late(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    at = F.struct(*[col_of(c).alias(f"o{i}") for i, c in enumerate(order)])
+    names = [f"__key{i}" for i in range(len(keys))]
+    firsts = (df.select(*[col_of(k).alias(n) for k, n in zip(keys, names)], at.alias("__at"))
+              .groupBy(*names).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+              .filter("__rows > 1").drop("__rows"))
+    same = reduce(and_, [col_of(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return df.join(firsts, same, "left").filter(F.col("__first").isNull() | (at == F.col("__first"))).select(
+        *[col_of(c) for c in df.columns])
+
+
 def row_digest(df: DataFrame, cols: Sequence[str]) -> Column:
     """SHA-256 over the columns, each as text behind its length; equal rows have equal digests."""
     parts = []

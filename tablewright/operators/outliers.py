@@ -61,9 +61,10 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
 
 
 def iqr_outliers_text(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
-                      exclude: Iterable[str] = (), mode: str = "exact") -> DataFrame:
+                      exclude: Iterable[str] = (), fitted: DataFrame | None = None,
+                      mode: str = "exact") -> DataFrame:
     """OUT2: the same report with the percent as text."""
-    return iqr_outliers(df, cols, k, exclude, mode=mode).withColumn(
+    return iqr_outliers(df, cols, k, exclude, fitted, mode).withColumn(
         "outlier_pct", percent_text("outlier_pct"))
 
 
@@ -75,9 +76,10 @@ def outlier_rows(df: DataFrame, col: str, k: float = 1.5, fitted: DataFrame | No
 
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
-                  mode: str = "exact") -> DataFrame:
+                  fitted: DataFrame | None = None, mode: str = "exact") -> DataFrame:
     """OUT3: quartiles, whiskers (extremes inside the fences) and number of outliers."""
     cols = list(cols or numeric_columns(df))
+    fitted = fences(df, cols, k, mode) if fitted is None else fitted
     rows = []
     for c in cols:
         outside = outside_sql(df, c)
@@ -87,4 +89,4 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1
             **{f: f"first({_fence(c, f)})" for f in ("q1", "median", "q3")},
             whisker_low=f"min({inside})", whisker_high=f"max({inside})",
             outlier_count=f"count_if({outside})"))
-    return long_rows(with_stats(df, fences(df, cols, k, mode)), rows)
+    return long_rows(with_stats(df, fitted), rows)

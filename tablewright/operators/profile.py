@@ -16,9 +16,12 @@ from tablewright.functions.cleaning import col_of, to_number
 from tablewright.operators.dedup import distinct_counts
 from tablewright.operators.projection import column_kind, numeric_columns
 from tablewright.operators.quantiles import (
-    measure, measure_sql, quantile_sql, sql_name, sql_text, with_stats,
+    Found, measure, measure_sql, quantile_sql, sql_name, sql_text, with_stats,
 )
 
+#: What reports want of a column.
+MEDIAN, QUARTILES = (0.5,), (0.25, 0.5, 0.75)
+
 
 def missing_sql(df: DataFrame, name: str) -> str:
     """NULL, or NaN in a floating column, as SQL text."""
@@ -122,8 +125,8 @@ def column_profile(df: DataFrame, cols: Sequence[str], order_by: Sequence[str])
 
 
 def summary_rows(df: DataFrame, price: str, flags: Sequence[str] = (), scores: Sequence[str] = (),
-                 texts: Sequence[str] = ()) -> list[str]:
-    median = quantile_sql(df, [price], [0.5])[price]
+                 texts: Sequence[str] = (), found: Found | None = None) -> list[str]:
+    median = quantile_sql(df, [price], MEDIAN, found=found)[price]
     p = measure_sql(df, price)
     missing = {c: f"count_if({missing_sql(df, c)})" for c in [price, *flags, *scores, *texts]}
     found = [
@@ -165,8 +168,9 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     ).alias("r")).select(F.inline("r"))
 
 
-def describe_rows(df: DataFrame, cols: Sequence[str], mode: str = "exact") -> list[str]:
-    quartiles = quantile_sql(df, cols, [0.25, 0.5, 0.75], mode)
+def describe_rows(df: DataFrame, cols: Sequence[str], mode: str = "exact",
+                  found: Found | None = None) -> list[str]:
+    quartiles = quantile_sql(df, cols, QUARTILES, mode, found=found)
     rows = []
     for c in cols:
         m, q = measure_sql(df, c), quartiles[c]
@@ -201,8 +205,9 @@ def sample_kurtosis_sql(m: str) -> str:
             f"kurtosis({m}) + 6), ({n} - 2) * ({n} - 3)), double('0')) END")
 
 
-def moment_rows(df: DataFrame, cols: Sequence[str], mode: str = "exact") -> list[str]:
-    medians = quantile_sql(df, cols, [0.5], mode)
+def moment_rows(df: DataFrame, cols: Sequence[str], mode: str = "exact",
+                found: Found | None = None) -> list[str]:
+    medians = quantile_sql(df, cols, MEDIAN, mode, found=found)
     rows = []
     for c in cols:
         m = measure_sql(df, c)

@@ -13,12 +13,12 @@ from tablewright.functions.cleaning import col_of
 from tablewright.operators.dedup import duplicate_counts
 from tablewright.operators.outliers import fences_of, iqr_outliers
 from tablewright.operators.profile import (
-    kind_counts, long_rows, missing_rows, missing_summary, missing_totals, moment_rows, report_of,
+    MEDIAN, QUARTILES, kind_counts, long_rows, missing_rows, missing_summary, missing_totals, moment_rows, report_of,
     row_sql, totals_of, value_counts,
 )
 from tablewright.operators.projection import numeric_columns
 from tablewright.operators.quantiles import (
-    as_scalar, measure_sql, quantile_sql, sql_double, sql_name, sql_text,
+    all_wishes, as_scalar, measure_sql, quantile_sql, search_quantiles, sql_double, sql_name, sql_text,
 )
 from tablewright.session import staged
 
@@ -145,14 +145,17 @@ def validation_report(df: DataFrame, config: ValidationConfig) -> DataFrame:
     """QLT2: every check in one long table (check, column, metric, value)."""
     whole = F.lit("*").alias("column")
     cols = _outlier_columns(df, config)
-    quartiles = quantile_sql(df, cols, [0.25, 0.5, 0.75], config.quantile_mode)
+    moments = [c for c in config.moments if c in df.columns]
+    found = None
+    if config.quantile_mode == "exact":  # one search for the fences and the medians
+        found = search_quantiles(df, all_wishes(dict.fromkeys(cols, QUARTILES), dict.fromkeys(moments, MEDIAN)))
+    quartiles = quantile_sql(df, cols, QUARTILES, config.quantile_mode, found=found)
     reports = {"missing": missing_rows(df)}
     if range_rows(df, config.rules):
         reports["ranges"] = range_rows(df, config.rules)
     if config.moments:
-        reports["moments"] = moment_rows(df, [c for c in config.moments if c in df.columns],
-                                         config.quantile_mode)
-    # One pass for all that needs the rows once; the outliers need the quartiles found there.
+        reports["moments"] = moment_rows(df, moments, config.quantile_mode, found)
+    # One pass for all that needs the rows once, after the search; the outliers need the quartiles.
     facts = staged(df.selectExpr(
         *[f"array({', '.join(rows)}) AS {name}" for name, rows in reports.items()],
         *[f"{q} AS {sql_name('__q_' + c)}" for c, q in quartiles.items()]), "facts")

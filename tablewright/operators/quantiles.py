@@ -7,13 +7,15 @@ values it is narrowed to two neighbouring points of a sketch of its inside. The
 few values inside the brackets. The plan is the same at every size, every aggregate has bounded
 state, and what reaches the driver is a few thousand numbers per quantile at most.
 
-These jobs run when the function is called and read their input each time: stage a costly input.
+These jobs run when the function is called and read their input each time: stage a costly input. The
+quantiles that several reports of a step want are wished for first and searched for together. Where
+sketches of the table are at hand (`operators.sketches`), they take the place of the first scan.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -68,26 +70,42 @@ def measure(df: DataFrame, name: str) -> Column:
     return F.expr(measure_sql(df, name))
 
 
-def quantile_sql(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 mode: str = "exact", last: int = LAST_VALUES) -> dict[str, str]:
+#: Wanted quantiles by column, and found ones by (column, share).
+Wishes = Mapping[str, Iterable[float]]
+Found = Mapping[tuple[str, float], float | None]
+
+
+def all_wishes(*parts: Wishes) -> dict[str, list[float]]:
+    """The wishes of several reports together."""
+    out: dict[str, set[float]] = {}
+    for part in parts:
+        for column, probs in part.items():
+            out.setdefault(column, set()).update(float(p) for p in probs)
+    return {c: sorted(probs) for c, probs in out.items()}
+
+
+def quantile_sql(df: DataFrame, cols: Sequence[str], probs: Sequence[float], mode: str = "exact",
+                 last: int = LAST_VALUES, found: Found | None = None) -> dict[str, str]:
     """Per column an array<double> of its quantiles as SQL text, for use inside an aggregate.
 
-    Mode 'exact' runs the jobs described above at once, and its results are constants. Mode
-    'approx' is the built-in sketch, lazy and without interpolation.
+    Mode 'exact' runs the jobs described above at once, unless the quantiles are among those `found`
+    before, and its results are constants. Mode 'approx' is the built-in sketch, lazy and without
+    interpolation.
     """
     if mode == "approx":
         points = f"array({', '.join(sql_double(float(p)) for p in probs)})"
         return {c: f"percentile_approx({measure_sql(df, c)}, {points}, {ACCURACY})" for c in cols}
     if mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
-    found = exact_quantiles(df, cols, probs, last)
-    return {c: f"array({', '.join(sql_double(v) for v in found[c])})" for c in cols}
+    if found is None:
+        found = search_quantiles(df, dict.fromkeys(cols, probs), last)
+    return {c: f"array({', '.join(sql_double(found[c, float(p)]) for p in probs)})" for c in cols}
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 mode: str = "exact") -> DataFrame:
+                 mode: str = "exact", found: Found | None = None) -> DataFrame:
     """One row with one array<double> column per input column."""
-    exprs = quantile_sql(df, cols, probs, mode)
+    exprs = quantile_sql(df, cols, probs, mode, found=found)
     named = [f"{exprs[c]} AS {sql_name(c)}" for c in cols]
     return (df if mode == "approx" else df.sparkSession.range(1)).selectExpr(*named)
 
@@ -133,33 +151,65 @@ class _Target:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     last: int = LAST_VALUES) -> dict[str, list[float | None]]:
     """The quantiles of each column as numbers; None for a column without values."""
-    if not cols or not probs:
-        return {c: [] for c in cols}
-    names = {c: f"m{i}" for i, c in enumerate(cols)}
-    data = df.selectExpr(*[f"{measure_sql(df, c)} AS {m}" for c, m in names.items()])
-    around = [min(max(p + side * d, 0.0), 1.0) for p in probs for d in MARGINS for side in (-1, 1)]
-    points = f"array({', '.join(sql_double(float(p)) for p in around)})"
-    basics = data.selectExpr(*[
-        f"struct(count({m}), min({m}), max({m}), percentile_approx({m}, {points}, {ACCURACY})) AS {m}"
-        for m in names.values()]).first()
+    found = search_quantiles(df, dict.fromkeys(cols, probs), last)
+    return {c: [found[c, float(p)] for p in probs] for c in cols}
 
-    ranks, targets = {}, {}
+
+@dataclass(frozen=True)
+class ColumnStart:
+    """What a search starts from: the number of values, their ends, and a bracket for each share."""
+
+    count: int
+    low: float | None
+    high: float | None
+    brackets: Mapping[float, tuple[float, float]]
+
+
+def _first_scan(data: DataFrame, names: Mapping[str, str], wishes: Mapping[str, list[float]]) -> dict[str, ColumnStart]:
+    def around(probs: list[float]) -> list[float]:
+        return [min(max(p + side * d, 0.0), 1.0) for p in probs for d in MARGINS for side in (-1, 1)]
+
+    basics = data.selectExpr(*[
+        f"struct(count({m}), min({m}), max({m}), percentile_approx({m}, "
+        f"array({', '.join(map(sql_double, around(wishes[c])))}), {ACCURACY})) AS {m}"
+        for c, m in names.items()]).first()
+    starts = {}
     for c, m in names.items():
-        count, low, high, brackets = basics[m]
-        if not count:
-            continue
-        for i, p in enumerate(probs):
-            position = p * (count - 1)
-            below = min(math.floor(position), count - 1)
-            ranks[c, p] = (below, min(below + 1, count - 1), position - below)
-            lo, hi = low, high
+        count, low, high, points = basics[m]
+        brackets, ends = {}, around(wishes[c])
+        for i, p in enumerate(wishes[c]):
             for j, margin in enumerate(MARGINS):
                 if count * margin >= 8:  # else the bracket may not hold both ranks
                     at = 2 * (i * len(MARGINS) + j)
-                    lo = brackets[at] if around[at] > 0 else low
-                    hi = brackets[at + 1] if around[at + 1] < 1 else high
+                    brackets[p] = (points[at] if ends[at] > 0 else low, points[at + 1] if ends[at + 1] < 1 else high)
                     break
-            targets[c, p] = _Target(m, ranks[c, p][:2], lo, hi, parent=(low, high))
+        starts[c] = ColumnStart(count, low, high, brackets)
+    return starts
+
+
+def search_quantiles(df: DataFrame, wishes: Wishes, last: int = LAST_VALUES,
+                     starts: Mapping[str, ColumnStart] | None = None) -> dict[tuple[str, float], float | None]:
+    """All wanted quantiles, by (column, share), in one search; None for a column without values.
+
+    `starts`, from sketches of exactly these rows, saves the first scan."""
+    wishes = {c: probs for c, probs in all_wishes(wishes).items() if probs}
+    if not wishes:
+        return {}
+    names = {c: f"m{i}" for i, c in enumerate(wishes)}
+    data = df.selectExpr(*[f"{measure_sql(df, c)} AS {m}" for c, m in names.items()])
+    if starts is None:
+        starts = _first_scan(data, names, wishes)
+    ranks, targets = {}, {}
+    for c, m in names.items():
+        start = starts[c]
+        if not start.count:
+            continue
+        for p in wishes[c]:
+            position = p * (start.count - 1)
+            below = min(math.floor(position), start.count - 1)
+            ranks[c, p] = (below, min(below + 1, start.count - 1), position - below)
+            lo, hi = start.brackets.get(p, (start.low, start.high))
+            targets[c, p] = _Target(m, ranks[c, p][:2], lo, hi, parent=(start.low, start.high))
     _select_by_rounds(data, list(targets.values()), max(last, 16))
 
     def quantile(c: str, p: float) -> float | None:
@@ -169,7 +219,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         a, b = (targets[c, p].values[r] for r in (below, above))
         return a if share == 0 or a == b else a + (b - a) * share
 
-    return {c: [quantile(c, p) for p in probs] for c in cols}
+    return {(c, p): quantile(c, p) for c, probs in wishes.items() for p in probs}
 
 
 def _ranked_sql(value: str, ranks: Sequence[int]) -> str:

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import col_of
-from tablewright.operators.quantiles import as_scalar
+from tablewright.session import staged
 
 #: Hash digits used (60 bits) and the share of them that forms a bucket (20 bits).
 HASH_DIGITS = 15
 BUCKET_SHIFT = 40
+#: Share of the hashes on each side of a cut's share whose keys are counted at once: four standard
+#: deviations of the cut's place from some million rows on.
+NEAR = 2 ** -9
 
 
 def key_hash(keys: Sequence[str], seed: int = 42) -> Column:
@@ -40,48 +44,54 @@ def hash_split(df: DataFrame, keys: Sequence[str], train: float = 0.7, val: floa
 
 
 def exact_split(df: DataFrame, keys: Sequence[str], train: float = 0.7, val: float = 0.15,
-                seed: int = 42) -> DataFrame:
+                seed: int = 42, near: float = NEAR) -> DataFrame:
     """SPL1 with the sizes int(n * train), int(n * val) and the rest.
 
-    Rows are cut in hash order. Counts per hash bucket (2^20 at most) tell in which bucket each
-    cut falls; only that bucket's keys are ranked, and all other rows are placed by comparison.
-    Copies of one key stay together, so sizes are exact when the keys are unique.
+    Rows are cut in hash order. One scan counts the rows per hash bucket (2^20 at most) and, within
+    `near` of the shares where the cuts are due, per key; both cuts are solved from that staged table.
+    Hashes spread evenly, so a cut lies near its share unless the table is small or its keys repeat a
+    lot; then another scan counts the keys of the bucket it lies in. These jobs run at once; the result
+    places every row by comparison with the two cuts. Copies of one key stay together, so sizes are
+    exact when the keys are unique.
     """
-    h = key_hash(keys, seed)
-    bucket = F.shiftright(h, BUCKET_SHIFT)
-    key_text = F.to_json(F.struct(*[col_of(k) for k in keys]))
-    per_bucket = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    h, u = key_hash(keys, seed), unit_hash(keys, seed)
+    key = F.struct(h.alias("h"), F.to_json(F.struct(*[col_of(k) for k in keys])).alias("k"))
+    rows = df.select(F.shiftright(h, BUCKET_SHIFT).alias("bucket"), key.alias("key"), u.alias("u"))
+    due = [train, train + val]
+    close = F.greatest(*[F.when(F.abs(F.col("u") - F.lit(d)) <= near, 1).otherwise(0) for d in due]) == 1
+    counts = staged(rows.groupBy("bucket", F.when(close, F.col("key")).alias("key"))
+                    .agg(F.count(F.lit(1)).alias("n")), "hashes")
+    n = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    train_rows = math.floor(n * train)
+    cuts = [_cut_place(counts, wanted) for wanted in (train_rows, train_rows + math.floor(n * val))]
+
+    whole = 1 << HASH_DIGITS * 4 - BUCKET_SHIFT
+    counted = [min(b / whole - d + near, d + near - (b + 1) / whole) > 0 if rank else True
+               for d, (b, rank) in zip(due, cuts)]
+    missed = sorted({b for (b, _), known in zip(cuts, counted) if not known})
+    of_missed = staged(rows.filter(F.col("bucket").isin(missed)).groupBy("bucket", "key").agg(
+        F.count(F.lit(1)).alias("n")), "bucket_keys") if missed else None
+    last = [_last_key(counts if known else of_missed, b, rank) for (b, rank), known in zip(cuts, counted)]
+    first, second = (F.struct(F.lit(a).cast("bigint").alias("h"), F.lit(k).alias("k")) for a, k in last)
+    return df.withColumn("split", F.when(key <= first, "train").when(key <= second, "val").otherwise("test"))
+
+
+def _cut_place(counts: DataFrame, wanted: int) -> tuple[int, int]:
+    """The bucket in which the wanted number of rows is reached, and how many of its rows that takes."""
     up_to = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cumulative = per_bucket.withColumn("upto", F.sum("n").over(up_to))
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-
-    def cut_after(wanted: Column) -> Column:
-        """The (hash, key) of the last row on the near side of the cut."""
-        place = cumulative.withColumn("wanted", wanted).filter("upto >= wanted").agg(
-            F.min_by(F.struct("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("rank")),
-                     "bucket").alias("p")).select("p.bucket", "p.rank")
-        p = as_scalar(place)
-        near = df.filter(bucket == p.getField("bucket")).groupBy(
-            h.alias("h"), key_text.alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        ranked = near.withColumn("upto", F.sum("n").over(
-            Window.orderBy("h", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        last = ranked.filter(F.col("upto") <= p.getField("rank")).agg(
-            F.max(F.struct("h", "k")).alias("last"))
-        # No key of the bucket fits before the cut: everything below the bucket does.
-        floor = F.struct(F.shiftleft(p.getField("bucket").cast("bigint"), BUCKET_SHIFT).alias("h"),
-                         F.lit("").alias("k"))
-        return last.select(F.coalesce("last", floor).alias("last")).scalar()
-
-    train_rows = F.floor(n * F.lit(train)).cast("bigint")
-    val_rows = train_rows + F.floor(n * F.lit(val)).cast("bigint")
-    here = F.struct(h.alias("h"), key_text.alias("k"))
-    return (
-        df.withColumn("__cuts", F.struct(cut_after(train_rows).alias("a"),
-                                         cut_after(val_rows).alias("b")))
-        .withColumn("split", F.when(here <= F.col("__cuts.a"), "train")
-                    .when(here <= F.col("__cuts.b"), "val").otherwise("test"))
-        .drop("__cuts")
-    )
+    buckets = counts.groupBy("bucket").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(up_to))
+    place = buckets.filter(F.col("upto") >= wanted).agg(
+        F.min_by(F.struct("bucket", (wanted - F.col("upto") + F.col("n")).alias("rank")), "bucket").alias("p")).first().p
+    return (place.bucket, place.rank) if place else (0, 0)
+
+
+def _last_key(counts: DataFrame, bucket: int, rank: int) -> tuple[int, str]:
+    """Hash and key of the last key of a bucket whose rows all fit into `rank`; before the bucket, if none."""
+    up_to = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.filter((F.col("bucket") == bucket) & F.col("key").isNotNull()).withColumn(
+        "upto", F.sum("n").over(up_to))
+    last = ranked.filter(F.col("upto") <= rank).agg(F.max("key").alias("last")).first().last
+    return (last.h, last.k) if last else (bucket << BUCKET_SHIFT, "")
 
 
 def fixed_sample(df: DataFrame, keys: Sequence[str], n: int = 1000, seed: int = 42) -> DataFrame:

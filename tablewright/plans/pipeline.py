@@ -19,12 +19,13 @@ from tablewright.operators.metrics import (
 from tablewright.operators.models import (
     ModelSizes, feature_columns, importances, load_model, model_input, predict, save_model, train_and_compare,
 )
-from tablewright.operators.outliers import boxplot_stats, iqr_outliers_text
+from tablewright.operators.outliers import boxplot_stats, fences, iqr_outliers_text
 from tablewright.operators.profile import (
-    describe_columns, describe_rows, histogram, key_counts, missing_rows, observe_flags, one_pass,
+    MEDIAN, QUARTILES, describe_columns, describe_rows, histogram, key_counts, missing_rows, observe_flags, one_pass,
     profile_rows, report_of, summary_rows, value_range,
 )
 from tablewright.operators.projection import numeric_columns
+from tablewright.operators.quantiles import all_wishes, search_quantiles
 from tablewright.operators.quality import ValidationConfig, report_documents, validation_report
 from tablewright.operators.split import exact_split, hash_split
 from tablewright.plans import catalogue as cat
@@ -69,16 +70,18 @@ def explore(spark: SparkSession, cfg: PipelineConfig) -> None:
     raw = _raw(spark, cfg, row_order=True)
     typed = raw.withColumns({c: to_number(c) for c in cat.RAW_NUMBERS if c in raw.columns})
     columns = [c for c in typed.columns if c != readers.ROW_ORDER]
+    numbers = numeric_columns(typed)
+    found = search_quantiles(typed, all_wishes(dict.fromkeys(numbers, QUARTILES), {"Price": MEDIAN}))
     reports = {
         "exploration": missing_rows(typed, columns),
         "profile": profile_rows(typed, cat.RAW_COLUMNS, [readers.ROW_ORDER]),
-        "numbers": describe_rows(typed, numeric_columns(typed)),
+        "numbers": describe_rows(typed, numbers, found=found),
         "summary": summary_rows(
             typed, "Price", cat.PLATFORMS,
             ("Metacritic score", "User score", "Positive", "Negative"),
-            ("Developers", "Publishers", "Categories", "Genres", "Achievements")),
+            ("Developers", "Publishers", "Categories", "Genres", "Achievements"), found=found),
     }
-    # The raw text is read once for all four reports.
+    # After one search for all quantiles, the raw text is read once for all four reports.
     facts = staged(one_pass(typed, reports), "exploration")
     for name in reports:
         writers.write_csv(report_of(facts, name), cfg.path(f"reports/{name}"))
@@ -135,8 +138,9 @@ def export(spark: SparkSession, cfg: PipelineConfig) -> None:
 def profile(spark: SparkSession, cfg: PipelineConfig) -> None:
     final = readers.read_stage(spark, cfg.path("final"))
     cols = numeric_columns(final, cat.NOT_PROFILED)
-    writers.write_csv(iqr_outliers_text(final, cols), cfg.path("reports/outliers"))
-    writers.write_csv(boxplot_stats(final, cols), cfg.path("reports/boxplots"))
+    fitted = fences(final, cols)
+    writers.write_csv(iqr_outliers_text(final, cols, fitted=fitted), cfg.path("reports/outliers"))
+    writers.write_csv(boxplot_stats(final, cols, fitted=fitted), cfg.path("reports/boxplots"))
     writers.write_parquet(correlation_pairs(final), cfg.path("reports/correlation_pairs"))
     pairs = readers.read_stage(spark, cfg.path("reports/correlation_pairs"))
     writers.write_csv(strong_pairs(pairs), cfg.path("reports/correlations"))

@@ -9,6 +9,7 @@ from tablewright.functions.shaping import bin_numeric
 from tablewright.operators import dedup, projection
 from tablewright.operators.profile import value_counts
 from tablewright.queries.base import query, rounded, rounded_sql, table
+from tablewright.sources.readers import ROW_ORDER, read_stage
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -24,6 +25,14 @@ def first_lines(spark, sf):
     return dedup.keep_first(table(spark, sf, "lineitem"), LINE_KEY, LINE_ORDER)
 
 
+@query("dedup_keep_first_late", """
+    SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY n_chars, doc_id) = 1""")
+def dedup_keep_first_late(spark, sf):
+    """One document per text; only (text, n_chars, place) takes part in finding it."""
+    docs = read_stage(spark, f"{sf}/documents.parquet", row_order=True)
+    return dedup.keep_first(docs, ["text"], ["n_chars", "doc_id"], place=ROW_ORDER).drop(ROW_ORDER)
+
+
 @query("dedup_keep_first", FIRST_LINES)
 def dedup_keep_first(spark, sf):
     return first_lines(spark, sf)

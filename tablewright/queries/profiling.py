@@ -6,11 +6,12 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import correlation, outliers, profile, quality
+from tablewright.operators import correlation, outliers, profile, quality, sketches
 from tablewright.operators.dedup import duplicate_counts
 from tablewright.operators.quantiles import quantile_sql, sql_text
 from tablewright.queries.base import query, rounded, rounded_sql, table, union_sql
-from tablewright.session import staged
+from tablewright.session import scratch_path, staged
+from tablewright.sources import readers, writers
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LABELLED = """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
@@ -233,6 +234,24 @@ def outlier_sql(c: str, source: str, k: float = 1.5) -> str:
 _BOUNDS = ["lower_bound", "upper_bound"]
 
 
+_SKETCHED = [(c, p) for c in ("value", "user_id") for p in (0.05, 0.5, 0.9)]
+
+
+@query("snapshot_quantiles", rounded_sql(union_sql([
+    f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS share, quantile_cont({c}, {p}) AS value FROM events"
+    for c, p in _SKETCHED]), ["value"]))
+def snapshot_quantiles(spark, sf):
+    """Exact quantiles over two landed snapshots, started from the sketches kept with each."""
+    events, path = table(spark, sf, "events"), scratch_path(spark, "landed")
+    for i in range(2):
+        writers.land_snapshot(events.where(F.pmod("event_id", F.lit(2)) == i), path, f"2024010{i + 1}",
+                              sketch=["value", "user_id"])
+    kept = staged(readers.read_sketches(spark, path, ["20240101", "20240102"]), "sketches")
+    found = sketches.quantiles_from(spark.read.parquet(path), kept, {c: [0.05, 0.5, 0.9] for c in ("value", "user_id")})
+    rows = [(c, p, found[c, p]) for c, p in _SKETCHED]
+    return rounded(spark.createDataFrame(rows, "column string, share double, value double"))
+
+
 @query("iqr_outliers", rounded_sql(union_sql(
     [outlier_sql("value", "events"), outlier_sql("user_id", "events")]), ["outlier_pct", *_BOUNDS]))
 def iqr_outliers(spark, sf):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import col_of
 from tablewright.operators.projection import normalize_table
+from tablewright.operators.sketches import merge_column_sketches
 
 ROW_ORDER = "__row_order"
 
@@ -95,9 +96,16 @@ def read_snapshot(spark: SparkSession, path: str, snapshot: str | None = None) -
     return spark.read.parquet(f"{path.rstrip('/')}/snapshot={wanted}")
 
 
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    """SRC2, SRC4: the Parquet output of an earlier stage; an absent one raises."""
-    return spark.read.parquet(path)
+def read_sketches(spark: SparkSession, path: str, snapshots: Sequence[str]) -> DataFrame:
+    """The merged quantile sketches that were kept with the given snapshots."""
+    return merge_column_sketches([spark.read.parquet(f"{path.rstrip('/')}/_sketches/{s}") for s in snapshots])
+
+
+def read_stage(spark: SparkSession, path: str, row_order: bool = False) -> DataFrame:
+    """SRC2, SRC4: the Parquet output of an earlier stage; an absent one raises. `row_order` adds the
+    place of each row, file and index within it, which is the same in every scan."""
+    table = spark.read.parquet(path)
+    return table.withColumn(ROW_ORDER, F.struct("_metadata.file_path", "_metadata.row_index")) if row_order else table
 
 
 def read_splits(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -11,14 +11,19 @@ from tablewright.operators.dedup import duplicate_counts
 from tablewright.operators.profile import missing_summary
 from tablewright.operators.projection import column_kind, select_lenient
 from tablewright.operators.quantiles import as_scalar
+from tablewright.operators.sketches import column_sketches
 from tablewright.operators.split import split_sizes
 from tablewright.sources.readers import list_files
 
 
-def land_snapshot(df: DataFrame, path: str, snapshot: str) -> str:
-    """SRC5: add a dated snapshot to a folder; an existing one is never replaced."""
+def land_snapshot(df: DataFrame, path: str, snapshot: str, sketch: Sequence[str] = ()) -> str:
+    """SRC5: add a dated snapshot to a folder; an existing one is never replaced. Quantile sketches of
+    the columns `sketch` are kept beside it, in a folder that scans pass over."""
     target = f"{path.rstrip('/')}/snapshot={snapshot}"
     df.write.mode("errorifexists").parquet(target)
+    if sketch:
+        landed = df.sparkSession.read.parquet(target)
+        column_sketches(landed, sketch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/_sketches/{snapshot}")
     return target
 
 

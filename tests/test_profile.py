@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import correlation, dedup, fitted, outliers, profile, quality
 from tablewright.operators.quantiles import LAST_VALUES, exact_quantiles, quantile_row
+from tablewright.sources.readers import ROW_ORDER, read_stage
 
 
 def numbers(spark, values, parts=3):
@@ -130,6 +131,28 @@ def test_keep_first_with_a_hot_key(spark, parts):
     assert again.count() == len(want)
 
 
+@pytest.mark.parametrize("kind", ["hot", "unique", "none"])
+def test_keep_first_fetches_wide_columns_late(spark, tmp_path, kind):
+    key = {"hot": "IF(id % 3 = 0, NULL, id % 50)", "unique": "id", "none": "id"}[kind]
+    df = spark.range(0 if kind == "none" else 3000).selectExpr(
+        f"{key} AS k", "string(id % 4) AS k2", "(id * 7919) % 10 AS ord", "repeat(string(id), 50) AS wide")
+    df.repartition(6).write.parquet(f"{tmp_path}/t")
+    stage = read_stage(spark, f"{tmp_path}/t", row_order=True)
+    made = dedup.keep_first(stage, ["k", "k2"], ["ord"], place=ROW_ORDER)
+    for threshold in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = dedup.keep_first(stage, ["k", "k2"], ["ord"], place=ROW_ORDER).collect()
+        first = {}
+        for r in stage.collect():
+            at = (r.ord, *r[ROW_ORDER])
+            first[r.k, r.k2] = min(first.get((r.k, r.k2), at), at)
+        assert {(r.k, r.k2): (r.ord, *r[ROW_ORDER]) for r in got} == first and len(got) == len(first)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert made.columns == stage.columns
+    moved = [line for line in plan_of(made).splitlines() if "Aggregate" in line]
+    assert moved and not [line for line in moved if "wide" in line]
+
+
 def test_correlation_uses_complete_pairs(spark):
     rows = [(1.0, 1.0, 5.0), (2.0, 4.0, 5.0), (3.0, None, 5.0), (4.0, 2.0, 5.0)]
     df = spark.createDataFrame(rows, "y double, z double, c double")

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from scans import scans_of
 
 from tablewright.operators import explain, metrics, models, scenarios, split
 from tablewright.operators.ordered import order_buckets, running_sums
@@ -26,6 +27,21 @@ def test_exact_sizes(spark, n):
     assert [sizes.get(s, 0) for s in ("train", "val", "test")] == [train, val, n - train - val]
 
 
+@pytest.mark.parametrize("near,scans", [(0.25, 2), (0.0, 3)])
+def test_exact_split_scans(spark, tmp_path, near, scans):
+    spark.range(5000).repartition(4).write.parquet(f"{tmp_path}/keys")
+    df = spark.read.parquet(f"{tmp_path}/keys")
+    rows, seen = scans_of(spark, f"{tmp_path}/keys", lambda: split.exact_split(df, ["id"], near=near).collect())
+    assert seen == scans
+    order = [r.id for r in df.orderBy(split.key_hash(["id"])).collect()]
+    want = dict(zip(order, ["train"] * 3500 + ["val"] * 750 + ["test"] * 750))
+    assert {r.id: r.split for r in rows} == want
+
+
+def test_exact_split_of_none(spark):
+    assert split.exact_split(spark.range(0), ["id"]).collect() == []
+
+
 def test_copies_of_a_key_stay_together(spark):
     df = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS id")
     sides = split.exact_split(df, ["id"]).groupBy("id").agg(F.count_distinct("split").alias("n"))
