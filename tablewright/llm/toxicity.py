@@ -16,10 +16,11 @@ all labelled rows that did not train (a fifth at least) and only steer `flagged`
 the cuts whose expected share of flagged clean rows stays within `FALSE_ALARMS`. A language without
 enough labelled rows for that takes the threshold of all rows.
 
-Defined cases: a null text counts as empty; an empty text has no words, so every maximum is zero
+Defined cases: a null text counts as empty; an empty text has no words, so no filter answers
 and it gets the score of the output's bias. Repeated rows get equal scores. Without usable labels
-(none, or one class) every score is the share of toxic labels, 0 where there are none. Extra
-columns are passed on.
+(none, or one class) every score is the share of toxic labels, 0 where there are none. A null key is
+never held out. Extra columns are passed on; a column with the scores' name gives way to them. Texts
+above `TRAIN_CHARS` characters do not train. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import documents, free_name, text_of
+from tablewright.llm.common import documents, free_name, staged, text_of
 
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 15
@@ -273,15 +274,14 @@ def cut_of(levels: list[tuple[int, int, int]]) -> float:
     return cut
 
 
-def _cuts(docs: DataFrame, usable: DataFrame, trained: DataFrame, model: Toxicity, text: str, key: str,
-          least_rows: int) -> Toxicity:
-    """`model` with cuts from every usable labelled row that did not train. Texts are scored where they
-    lie after the join; the driver gets counts by level of score and language."""
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), lang.alias("lang"), text_of(text).alias("text"))
+def _with_cuts(model: Toxicity, scored: DataFrame, usable: DataFrame, trained: DataFrame, key: str, out: str,
+               least_rows: int) -> Toxicity:
+    """`model` with cuts from the scores of every usable labelled row that did not train. Only keys,
+    languages and scores meet the labels; the driver gets counts by level of score and language."""
+    lang = F.col("lang").cast("string") if "lang" in scored.columns else F.lit(None).cast("string")
+    rows = scored.select(F.col(f"`{key}`").alias("doc_id"), lang.alias("lang"), F.col(f"`{out}`").alias("score"))
     rest = usable.join(F.broadcast(trained), "doc_id", "left_anti").select("doc_id", "_toxic")
-    scored = score(rows.join(rest, "doc_id"), model)
-    counts = (scored.groupBy("lang", _level().alias("level"))
+    counts = (rows.join(rest, "doc_id").groupBy("lang", _level().alias("level"))
               .agg(F.sum((F.col("_toxic") == 0).cast("long")), F.sum((F.col("_toxic") == 1).cast("long"))).collect())
     own, every = defaultdict(list), defaultdict(lambda: [0, 0])
     for name, level, clean, toxic in counts:
@@ -298,11 +298,14 @@ def _cuts(docs: DataFrame, usable: DataFrame, trained: DataFrame, model: Toxicit
     return replace(model, threshold=cut_of([(k, *v) for k, v in every.items()]), by_lang=by_lang)
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
-        least_rows: int = 40) -> Toxicity:
-    """Train on a bounded sample of the labelled rows whose crc32(key) mod 4 is not 2; a fifth of
-    them by hash, and all that the sample leaves out, give the thresholds. The sample and counts by
-    level of score are the only things the driver holds."""
+def fit_and_score(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", out: str = "score",
+                  keep: Iterable[str] | None = None, least_rows: int = 40) -> tuple[Toxicity, DataFrame]:
+    """The model, and `docs` (the columns `keep`, all by default) with their scores as a staged table.
+
+    Trains on a bounded sample of the labelled rows whose crc32(key) mod 4 is not 2. Then every text
+    is scored once, where it lies; a fifth of the labelled rows by hash, and all that the sample leaves
+    out, give the thresholds by their scores. The sample and counts by level of score are the only
+    things the driver holds."""
     held, texts, marks = WordRows(), [], []
     usable = _usable(labels)
     rows, trained = _sample(docs, usable, text, key)
@@ -311,30 +314,40 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         marks.append(label)
     y = np.asarray(marks, np.float32)
     if len(set(marks)) < 2:
-        return Toxicity(None, float(y.mean()) if len(y) else 0.0, THRESHOLD, {})
+        model = Toxicity(None, float(y.mean()) if len(y) else 0.0, THRESHOLD, {})
+        return model, score(docs, model, text, out, keep)
     pairs = np.asarray(held.pairs, np.int64).reshape(-1, 2)
     model = Toxicity(train(texts, pairs, y), float(y.mean()), THRESHOLD, {})
-    return _cuts(docs, usable, trained, model, text, key, least_rows)
+    scored = staged(score(docs, model, text, out, keep), "scored")
+    return _with_cuts(model, scored, usable, trained, key, out, least_rows), scored
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", least_rows: int = 40) -> Toxicity:
+    """The model of `fit_and_score` alone; it scores every text once for the thresholds."""
+    rows = docs.select(*{key, text, "lang"} & set(docs.columns))
+    keep = [c for c in rows.columns if c != text or c == key]
+    return fit_and_score(rows, labels, text, key, free_name(rows, "_score"), keep, least_rows)[0]
 
 
 def score(docs: DataFrame, model: Toxicity, text: str = "text", out: str = "score",
-          rows_at_once: int = 256) -> DataFrame:
-    """`docs` with a column of scores."""
-    named = free_name(docs, "_text")
-    names = docs.columns
+          keep: Iterable[str] | None = None, rows_at_once: int = 256) -> DataFrame:
+    """The columns `keep` of `docs` (all by default) with a column of scores, which takes the place of one
+    of that name."""
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() != out.lower()]
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], text_of(text).alias(free_name(docs, "_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = WordRows()
         for batch in batches:
             for at in range(0, batch.num_rows, rows_at_once):
                 part = batch.slice(at, rows_at_once)
-                made = model.score_texts(part.column(named).to_pylist(), held)
+                made = model.score_texts(part.column(len(names)).to_pylist(), held)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(len(names))), pa.array(made, pa.float64())],
                     names=[*names, out])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
-    return docs.withColumn(named, text_of(text)).mapInArrow(run, schema)
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(out, T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def threshold_of(model: Toxicity, lang: str = "lang", known: bool = True):
@@ -347,18 +360,19 @@ def threshold_of(model: Toxicity, lang: str = "lang", known: bool = True):
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` whose score stays below the threshold of their language."""
-    model, out = fit(docs, labels), free_name(docs, "_score")
+    """The rows of `docs` whose score stays below the threshold of their language. Rows are staged with
+    their scores, so none is scored twice or shuffled."""
+    out = free_name(docs, "_score")
+    model, scored = fit_and_score(docs, labels, out=out)
     cut = threshold_of(model, known="lang" in docs.columns)
-    return score(docs, model, out=out).where(F.col(out) < cut).select(*docs.columns)
+    return scored.where(F.col(out) < cut).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its score, the fixed decision at 0.3, and the language's own decision."""
-    docs = documents(spark, sf_dir)
-    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = score(docs.select("doc_id", "lang", "text"), model)
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    model, scored = fit_and_score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=["doc_id", "lang"])
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return scored.select(
-        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         threshold_of(model).alias("lang_threshold"), (F.col("score") >= threshold_of(model)).alias("flagged"))

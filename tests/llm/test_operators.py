@@ -384,3 +384,38 @@ def test_secret_path_changes_a_score(spark):
     model = secrets.fit(secrets.labelled_findings(spark))
     scored = secrets.scan(table, model).groupBy("doc_id").agg(F.max("probability") - F.min("probability"))
     assert any(r[1] > 0.001 for r in scored.collect())
+
+
+def test_toxicity_maxima_equal_a_plain_convolution(monkeypatch):
+    monkeypatch.setattr(toxicity, "SLICE", 7)  # texts are cut, and slices overlap
+    rng = np.random.default_rng(3)
+    net = toxicity.Network.fresh(5)
+    net.bias, net.out = rng.normal(size=net.bias.shape).astype(np.float32), rng.normal(size=net.out.shape).astype(np.float32)
+    model = toxicity.Toxicity(net, 0.0, 0.3, {})
+    texts = ["", "one", "one two", "ONE two three", prose(1, 7), prose(2, 8), prose(3, 60), prose(4, 6) + " " + prose(4, 6)]
+    got = model.score_texts(texts, toxicity.WordRows())
+    for text, score in zip(texts, got, strict=True):
+        held = toxicity.WordRows()
+        pairs = np.asarray([held.pairs[held[w]] for w in toxicity.words_of(text)], np.int64).reshape(-1, 2)
+        vectors = net.embedding[pairs[:, 0]] + net.embedding[pairs[:, 1]]
+        top = []
+        for kernel in net.filters:
+            width = len(kernel)
+            sums = [sum(vectors[i + j] @ kernel[j] for j in range(width)) for i in range(len(vectors) - width + 1)]
+            top.append(np.max(sums, 0) if sums else np.full(toxicity.FILTERS, -np.inf))
+        hidden = np.maximum(np.concatenate(top) + net.bias, 0)
+        assert score == pytest.approx(1 / (1 + np.exp(-(hidden @ net.out + net.out_bias))), abs=1e-5)
+
+
+def test_toxicity_scores_each_text_once(spark, monkeypatch):
+    rows = [(i, prose(i, 20) + (" idiotic" if i % 4 == 0 else ""), "en", 0.5) for i in range(800)] + [(None, None, None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(800)], "doc_id long, toxic int")
+    calls = []
+    monkeypatch.setattr(toxicity, "score", lambda *a, f=toxicity.score, **k: calls.append(1) or f(*a, **k))
+    model, scored = toxicity.fit_and_score(table, marks, keep=["doc_id", "lang"])
+    assert len(calls) == 1 and scored.columns == ["doc_id", "lang", "score"] and scored.count() == 801
+    kept = toxicity.keep_clean(table, marks)
+    assert kept.columns == table.columns and len(calls) == 2 and 580 < kept.count() <= 601
+    assert {r.score for r in kept.collect()} <= {0.5, None}  # a column of that name is passed on
+    assert toxicity.score(table, model).columns == ["doc_id", "text", "lang", "score"]
