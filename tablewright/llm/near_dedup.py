@@ -7,18 +7,24 @@ signatures agree in a coordinate with probability equal to the weighted Jaccard
 are only thrown until about k ln k + 2k have landed (later while a coordinate is empty), so a
 signature costs its shingles plus a number of darts that does not depend on the document.
 
-Bands of coordinates give buckets; documents that share a bucket are compared exactly, by their
-shingle sets, and linked at `SIMILARITY` or more. Classes are the connected components of the
-links. Documents with equal shingle sets are one node from the start, so copies cost nothing
-further.
-
-A bucket is not expanded into all its pairs. In each round the first members of a bucket, in an
-order of its own, are its heads; heads are compared with the members that are not in their class
-yet and then leave the bucket. Buckets whose members are all in one class are done. The rounds end
-when no bucket is left, so every link of a bucket is either found or lies inside a class; a bucket
-of near copies takes one round whatever its size. Later rounds take more heads, as what is left
-then are small buckets of documents that are not alike. Two documents that share several buckets
-are compared in the first of them alone, so no pair is made twice.
+Bands of coordinates give buckets; documents that share a bucket are compared exactly, by their shingle
+sets, and linked at `SIMILARITY` or more. Classes are the connected components of the links. Documents
+with equal shingle sets are one node from the start, so copies cost nothing further, and of buckets
+with the same members one is kept.
+
+Shingle sets are made once and brought together by bucket; no pair of documents is ever a row. A bucket
+of up to `BLOCK_NODES` nodes and `BLOCK_SHINGLES` shingles is one block, and all its pairs are compared
+by a product of matrices over the shingles that at least two of them hold. A larger bucket is dealt
+into blocks by hash. First its two heads, the ends of an order of its own, go to all its blocks and are
+compared with every member: members x 2. Classes found so are contracted. What is left are the members
+outside the bucket's largest class: they are compared with all members, block by block, so no link of a
+bucket is lost, and near copies, whatever their number, cost two comparisons each. A block hands on as
+many links as join its classes, never more than it has members.
+
+A pair at the similarity asked for shares no bucket, and is missed, with a chance of `MISSED` at most;
+`plan_bands` derives the bands from the similarity.
+
+With `weighted`, a shingle counts as often as it occurs, in signatures and in the similarity.
 
 Defined cases: a null text counts as empty; a text without words is a class of its own; a text of
 fewer than five words is one shingle. Equal rows are members of one class. Of a class the row with
@@ -31,30 +37,39 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tablewright.llm.common import documents, keep_rows, staged, text_of
 
 WORDS, SIMILARITY = 5, 0.8
-BANDS, ROWS = 26, 5
+#: Chance that a pair at the similarity asked for is missed, and the most bands.
+MISSED, MOST_BANDS = 4e-5, 26
 WORD = re.compile(r"\w+")
 ROWS_AT_ONCE = 512
 HELD_WORDS = 1 << 18
-#: Of 128 coordinates seen through two bits, 19.2 differ on average at a similarity of 0.8, with a
-#: deviation of 4; pairs that differ in more than this are not compared (fewer than 1 in 100,000).
-MOST_DIFFERENT = 37
-#: Heads of a bucket in the first round and at most; each round has eight times as many.
-FIRST_HEADS, MOST_HEADS = 2, 512
+#: Bounds of what one comparison holds; a single document may exceed the second.
+BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 18
+COLUMNS_AT_ONCE = 4096
 EMPTY = np.zeros(0, np.uint64)
 
 
+def plan_bands(similarity: float, missed: float = MISSED, most: int = MOST_BANDS) -> tuple[int, int]:
+    """Bands, and coordinates a band: the longest bands of which `most` at most miss a pair at that
+    similarity with a chance of `missed`."""
+    def needed(rows: int) -> int:
+        return max(math.ceil(math.log(missed) / math.log1p(-min(similarity ** rows, 1 - 1e-12))), 1)
+
+    rows = 1
+    while rows < 16 and needed(rows + 1) <= most:
+        rows += 1
+    return needed(rows), rows
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (wraps around)."""
     x = x ^ (x >> np.uint64(30))
@@ -89,8 +104,14 @@ class Shingles:
             total += mix(hashes[j:j + n] * self.turn[j])
         return mix(total)
 
-    def set_of(self, text: str) -> np.ndarray:
-        return np.unique(self.all_of(text))
+    def set_of(self, text: str, weighted: bool = False) -> np.ndarray:
+        """The distinct shingles; with weights, the c-th unit of a shingle is an element of its own, so
+        the Jaccard similarity of the sets is the weighted one of the texts."""
+        own, counts = np.unique(self.all_of(text), return_counts=True)
+        if not weighted:
+            return own
+        unit = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        return np.sort(mix(np.repeat(own, counts) + unit.astype(np.uint64)))
 
 
 def _gap(element: np.ndarray, dart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,22 +144,7 @@ def signatures(elements: np.ndarray, doc: np.ndarray, docs: int, k: int) -> np.n
     return best.reshape(docs, k)
 
 
-def sketches(signature: np.ndarray) -> np.ndarray:
-    """Two bits of each of the first 128 coordinates, as four 64-bit words."""
-    bits = mix(signature[:, :128].copy().view(np.uint64)) & np.uint64(3)
-    place = np.uint64(2) * (np.arange(128, dtype=np.uint64) % np.uint64(32))
-    return np.bitwise_or.reduce((bits << place).reshape(len(bits), 4, 32), 2).view(np.int64)
-
-
-def alike(a: str, b: str, most: int) -> Column:
-    """Whether two sketches (arrays) differ in so many coordinates at most."""
-    differ = [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(4)]
-    odd = F.lit(0x5555555555555555)
-    counts = [F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd)) for x in differ]
-    return counts[0] + counts[1] + counts[2] + counts[3] <= most
-
-
-def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band."""
     bits = signature.view(np.uint64).reshape(len(signature), bands, rows)
     keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), bits.shape[:2]).copy()
@@ -147,65 +153,117 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return keys.view(np.int64)
 
 
-def signed(docs: DataFrame, text: str = "text", key: str = "doc_id", weighted: bool = False) -> DataFrame:
-    """row_id, doc_id, text_digest, n (distinct shingles), set_digest, bands (keys; none without
-    words), sketch. `weighted` counts how often a shingle occurs; otherwise each weighs one."""
+def signed(docs: DataFrame, text: str = "text", key: str = "doc_id", weighted: bool = False,
+           similarity: float = SIMILARITY) -> DataFrame:
+    """row_id, doc_id, text_digest, n (elements of the set), set_digest, bands (keys; none without words)."""
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{key}`").alias("doc_id"),
                        F.unhex(F.sha2(text_of(text).cast("binary"), 256)).alias("text_digest"),
                        text_of(text).alias("text"))
+    count, width = plan_bands(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                regions, sizes, digests = [], [], []
-                for row, body in zip(part.column(0).to_pylist(), part.column(3).to_pylist(), strict=True):
-                    own, counts = np.unique(shingles.all_of(body), return_counts=True)
-                    sizes.append(len(own))
-                    digests.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else b"%d" % row)
-                    if weighted:  # the c-th unit of a shingle's weight is a region of its own
-                        unit = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                        own = mix(np.repeat(own, counts) + unit.astype(np.uint64))
-                    regions.append(own)
-                doc = np.repeat(np.arange(len(regions)), [len(r) for r in regions])
-                made = signatures(np.concatenate(regions), doc, len(regions), BANDS * ROWS)
-                keys, short = band_keys(made), sketches(made)
+                regions = [shingles.set_of(body, weighted) for body in part.column(3).to_pylist()]
+                digests = [xxhash.xxh3_128_digest(own.tobytes()) if len(own) else b"%d" % row
+                           for row, own in zip(part.column(0).to_pylist(), regions, strict=True)]
+                sizes = [len(r) for r in regions]
+                doc = np.repeat(np.arange(len(regions)), sizes)
+                keys = band_keys(signatures(np.concatenate(regions), doc, len(regions), count * width), count, width)
                 bands = [k if n else [] for k, n in zip(keys, sizes, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(sizes, pa.int32()),
-                     pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                     pa.array(list(short), pa.list_(pa.int64()))],
-                    names=["row_id", "doc_id", "text_digest", "n", "set_digest", "bands", "sketch"])
+                     pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["row_id", "doc_id", "text_digest", "n", "set_digest", "bands"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"row_id long, doc_id {kind}, text_digest binary, n int, "
-                                "set_digest binary, bands array<long>, sketch array<long>")
-
+                                "set_digest binary, bands array<long>")
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have that Jaccard similarity or more. Pairs of one `a`
-    come together, so its set is made once per task."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.join(right, "b").join(left, "a").sortWithinPartitions("a").select("a", "b", "a_text", "b_text")
 
+def shingle_sets(texts: DataFrame, weighted: bool) -> DataFrame:
+    """node, elements (the set as bytes) from node, text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, last, mine = Shingles(), None, EMPTY
+        shingles = Shingles()
         for batch in batches:
-            a, b, kept = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
-            for i in range(batch.num_rows):
-                if a[i] != last:
-                    last, mine = a[i], shingles.set_of(batch.column(2)[i].as_py())
-                other = shingles.set_of(batch.column(3)[i].as_py())
-                shared = len(np.intersect1d(mine, other, assume_unique=True))
-                if shared >= similarity * (len(mine) + len(other) - shared):
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64())],
-                names=["a", "b"])
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                sets = [shingles.set_of(t, weighted).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "elements"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, elements binary")
+
+
+def shared_counts(sets: list[np.ndarray], probes: int) -> np.ndarray:
+    """Elements that each of the first `probes` sets shares with each set."""
+    if len(sets) <= 3:
+        return np.asarray([[len(np.intersect1d(a, b, assume_unique=True)) for b in sets] for a in sets[:probes]])
+    sizes = np.asarray([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    asked = np.bincount(column[row < probes], minlength=len(held)) > 0
+    live = asked & (held > 1)  # of an element that one set alone holds nothing is shared
+    number = np.cumsum(live) - 1
+    at = live[column]
+    row, column = row[at], number[column[at]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((probes, len(sets)))
+    width = int(live.sum())
+    for first in range(0, width, COLUMNS_AT_ONCE):
+        low, high = np.searchsorted(column, [first, first + COLUMNS_AT_ONCE])
+        block = np.zeros((len(sets), min(COLUMNS_AT_ONCE, width - first)), np.float32)
+        block[row[low:high], column[low:high] - first] = 1
+        out += block[:probes] @ block.T
+    return out
+
+
+def block_links(labels: np.ndarray, sets: list[np.ndarray], probes: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between the labels of a block that join its classes as all links between its first `probes`
+    rows and all its rows do."""
+    sizes = np.asarray([len(x) for x in sets], float)
+    both = shared_counts(sets, probes)
+    near = (both > 0) & (both >= similarity * (sizes[:probes, None] + sizes[None, :] - both))
+    names, own = np.unique(labels, return_inverse=True)
+    links = []
+    for p in range(probes):
+        others = np.unique(own[near[p]])
+        others = others[others != own[p]]
+        if len(others):
+            links += [(int(names[own[p]]), int(names[o])) for o in others]
+            own[np.isin(own, others)] = own[p]
+    return links
+
+
+def compared(rows: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links between labels, from (bucket, part, probe, node, label, elements). Of each (bucket,
+    part) the probes are compared with all rows; where there are none, all are."""
+    dealt = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("probe"), "node").select(
+        "bucket", "part", "probe", "label", "elements")
+
+    def links(labels: list, probes: list, sets: list) -> list[tuple[int, int]]:
+        return block_links(np.asarray(labels), sets, sum(probes) or len(sets), similarity)
 
-    return both.mapInArrow(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, labels, probes, sets, out = None, [], [], [], []
+        for batch in batches:
+            for bucket, part, probe, label, elements in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (bucket, part) != last:
+                    if last is not None:
+                        out += links(labels, probes, sets)
+                    last, labels, probes, sets = (bucket, part), [], [], []
+                labels.append(label)
+                probes.append(probe)
+                sets.append(np.frombuffer(elements, np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            out = []
+        if last is not None:
+            out = links(labels, probes, sets)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -226,58 +284,84 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(nodes: DataFrame, texts_of, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Links and labels among nodes (node, n, text_digest, bands, sketch). `texts_of` gives the texts of a
-    table of nodes. Labels are for linked nodes only."""
-    spark = nodes.sparkSession
+def _blocks(nodes: Column, shingles: Column) -> Column:
+    return F.greatest(F.ceil(nodes / BLOCK_NODES), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _block_of(node: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(F.col(node), F.lit("block")), blocks).cast("int")
+
+
+def linked(nodes: DataFrame, texts_of, similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
+    """node, label of the linked nodes among (node, n, text_digest, bands). `texts_of` gives the texts of
+    a table of nodes."""
     spread = nodes.select("node", "n", "text_digest", F.explode("bands").alias("bucket"))
-    shared = (spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"))
-    members = staged(spread.join(shared, "bucket").withColumn("ord", F.xxhash64("node", "bucket"))
-                     .withColumn("label", F.col("node")), "members")
-    texts = staged(texts_of(members.select("node", "text_digest").distinct()), "texts")
-    members = staged(members.drop("text_digest").join(nodes.select("node", "sketch", "bands"), "node"), "members")
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, label long")
-    count = FIRST_HEADS
-    while True:
-        split = (members.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"))
-                 .where("l < h").select("bucket"))
-        live = staged(members.join(split, "bucket"), "live")
-        if live.isEmpty():
-            return links, labels
-        # the filter on the rank is applied in every task before rows are moved
-        first = Window.partitionBy("bucket").orderBy("ord", "node")
-        heads = staged(live.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= count)
-                       .select("bucket", F.col("node").alias("head"), F.col("label").alias("head_label"),
-                               F.col("n").alias("head_n"), F.col("ord").alias("head_ord"),
-                               F.col("sketch").alias("head_sketch"), F.col("bands").alias("head_bands")), "heads")
-        # bands are in one order everywhere, so the first that two nodes share is the same for both
-        tried = staged(
-            live.join(heads, "bucket")
-            .where((F.col("label") != F.col("head_label")) & (F.col("ord") > F.col("head_ord"))
-                   & (F.least("n", "head_n") >= similarity * F.greatest("n", "head_n"))
-                   & alike("sketch", "head_sketch", MOST_DIFFERENT)
-                   & (F.array_intersect("bands", "head_bands")[0] == F.col("bucket")))
-            .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")), "tried")
-        links = staged(links.union(verified(tried, texts, similarity)), "links")
-        labels = components(links)
-        over = heads.groupBy("bucket").agg(F.max("head_ord").alias("head_ord"))
-        members = staged(
-            live.join(over, "bucket").where(F.col("ord") > F.col("head_ord"))
-            .select("bucket", "node", "n", "ord", "sketch", "bands", F.col("label").alias("old")).join(labels, "node", "left")
-            .select("bucket", "node", "n", "ord", "sketch", "bands", F.coalesce("label", "old").alias("label")), "members")
-        count = min(count * 8, MOST_HEADS)
-
-
-def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id",
-                 similarity: float = SIMILARITY) -> DataFrame:
+    alike = ["members", "weight", *(f"mark{i}" for i in range(2))]
+    buckets = (spread.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.sum("n").alias("weight"),
+        *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)],
+        *[e(F.struct(F.xxhash64("node", "bucket"), F.col("node"))).getField("node").alias(f"head{i}")
+          for i, e in enumerate((F.min, F.max))])
+        .where("members > 1").groupBy(*alike)
+        .agg(F.min(F.struct("bucket", "head0", "head1")).alias("b"))  # of equal buckets one
+        .select("b.*", _blocks(F.col("members"), F.col("weight")).alias("blocks")))
+    members = staged(spread.join(buckets, "bucket").select(
+        "bucket", "node", "n", "text_digest", "blocks", "head0", "head1"), "members")
+    sets = staged(shingle_sets(texts_of(members.select("node", "text_digest").distinct()), weighted), "sets")
+    rows = members.drop("text_digest").join(sets, "node")
+
+    whole = rows.where("blocks = 1").select("bucket", F.lit(0).alias("part"), F.lit(False).alias("probe"), "node",
+                                            F.col("node").alias("label"), "elements")
+    large = rows.where("blocks > 1")
+    is_head = F.col("node").isin(F.col("head0"), F.col("head1"))
+    dealt = large.select("bucket", _block_of("node", F.col("blocks")).alias("part"), F.lit(False).alias("probe"), "node",
+                         F.col("node").alias("label"), "elements")
+    heads = large.where(is_head).select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"),
+                                        F.lit(True).alias("probe"), "node", F.col("node").alias("label"), "elements")
+    links = staged(compared(whole.unionByName(dealt).unionByName(heads), similarity), "links")
+    labels = components(links)
+
+    rest = members.where("blocks > 1")
+    if rest.isEmpty():
+        return labels
+    classed = staged(rest.join(labels, "node", "left").select(
+        "bucket", "node", "n", F.coalesce("label", "node").alias("label")), "classed")
+    per_class = classed.groupBy("bucket", "label").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
+    split = (per_class.groupBy("bucket").agg(
+        F.max_by("label", F.struct("members", "label")).alias("most"), F.sum("members").alias("members"),
+        F.sum("weight").alias("weight"), F.max("members").alias("inside"), F.count("*").alias("classes"),
+        F.max_by("weight", F.struct("members", "label")).alias("inside_weight"))
+        .where("classes > 1").select(
+            "bucket", "most", _blocks(F.col("members"), F.col("weight")).alias("blocks"),
+            _blocks(F.col("members") - F.col("inside"), F.col("weight") - F.col("inside_weight")).alias("outside")))
+    left = staged(classed.join(split, "bucket"), "left")
+    if left.isEmpty():
+        return labels
+    # a part is a block of outsiders with a block of all
+    first, second = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("outside", "blocks"))
+    probes = left.where("label <> most").select(
+        "bucket", F.explode(F.transform(second, lambda j: j * F.col("outside") + _block_of("node", F.col("outside"))))
+        .alias("part"), F.lit(True).alias("probe"), "node", "label")
+    others = left.select(
+        "bucket", F.explode(F.transform(first, lambda i: _block_of("node", F.col("blocks")) * F.col("outside") + i))
+        .alias("part"), F.lit(False).alias("probe"), "node", "label")
+    more = staged(compared(probes.unionByName(others).join(sets, "node"), similarity), "links")
+    if more.isEmpty():
+        return labels
+    merged = components(more).select(F.col("node").alias("label"), F.col("label").alias("merged"))
+    # a class of one node has no label yet
+    known = labels.unionByName(merged.join(labels, "label", "left_anti").select(F.col("label").alias("node"), "label"))
+    return staged(known.join(merged, "label", "left").select("node", F.coalesce("merged", "label").alias("label")), "labels")
+
+
+def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY,
+                 weighted: bool = False) -> DataFrame:
     """One row per document: row_id, doc_id, text_digest, class_row, class_id (doc_id of the class's
     smallest row), class_size, kept, shingles."""
-    rows = staged(signed(docs, text, key), "signed")
+    rows = staged(signed(docs, text, key, weighted, similarity), "signed")
     nodes = staged(rows.groupBy("set_digest").agg(
         F.min("row_id").alias("node"), F.min_by("text_digest", "row_id").alias("text_digest"),
-        F.min_by("bands", "row_id").alias("bands"), F.min_by("sketch", "row_id").alias("sketch"),
-        F.first("n").alias("n")), "nodes")
+        F.min_by("bands", "row_id").alias("bands"), F.first("n").alias("n")), "nodes")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         # node and digest go together, so one text per digest serves every node of that digest
@@ -286,7 +370,7 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id",
         found = bodies.join(wanted.select("text_digest").distinct(), "text_digest", "left_semi")
         return wanted.join(found.dropDuplicates(["text_digest"]), "text_digest").select("node", "text")
 
-    _, labels = linked(nodes, texts_of, similarity)
+    labels = linked(nodes, texts_of, similarity, weighted)
     classed = staged(
         rows.join(nodes.select("set_digest", "node"), "set_digest").join(labels, "node", "left")
         .select("row_id", "doc_id", "text_digest", "n", F.coalesce("label", "node").alias("class_row")), "classed")
