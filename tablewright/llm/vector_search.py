@@ -14,8 +14,11 @@ every vector is indexed. A pivot that holds a third of all vectors only has more
 meet a block in chunks of bounded size.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; shorter
-vectors count as padded with zeros; an empty vector scores 0. Rows that share the query's key are its own and no candidates of
-it. Repeated rows of other keys are all ranked. With fewer than k candidates all are returned.
+vectors count as padded with zeros; an empty vector scores 0. Rows are told apart by a number of their
+own: a query that is a row of the table has all other rows as candidates, those with its key too, and
+repeated query rows get an answer each. For queries from elsewhere the rows with the query's key are no
+candidates. Repeated rows are all ranked. With fewer than k candidates all are returned. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -77,8 +80,8 @@ def _to_pivots(v: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarr
 
 
 def build_index(vectors: DataFrame, pivots: np.ndarray, norm2: float, dim: int, block: int = BLOCK) -> DataFrame:
-    """block_id, pivot, low, high, size, ids, rows (integers, row by row): all vectors, packed in the
-    order of (pivot, distance)."""
+    """block_id, pivot, low, high, size, ids, numbers (of the rows), rows (integers, row by row): all
+    vectors (vec_id, v, number), packed in the order of (pivot, distance)."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,7 +91,8 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, norm2: float, dim: int,
             at = gap.argmin(1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(at, pa.int32()), pa.array(gap[np.arange(len(at)), at]),
-                 pa.array([r.tobytes() for r in whole], pa.binary())], names=["vec_id", "pivot", "gap", "row"])
+                 pa.array([r.tobytes() for r in whole], pa.binary()), batch.column(2)],
+                names=["vec_id", "pivot", "gap", "row", "number"])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, []
@@ -97,9 +101,9 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, norm2: float, dim: int,
             return pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([rows[0][1]], pa.int32()), pa.array([rows[0][2]]),
                  pa.array([rows[-1][2]]), pa.array([len(rows)], pa.int32()),
-                 pa.array([np.asarray([r[0] for r in rows], np.int64).tobytes()], pa.binary()),
+                 *(pa.array([np.asarray([r[i] for r in rows], np.int64).tobytes()], pa.binary()) for i in (0, 4)),
                  pa.array([b"".join(r[3] for r in rows)], pa.binary())],
-                names=["block_id", "pivot", "low", "high", "size", "ids", "rows"])
+                names=["block_id", "pivot", "low", "high", "size", "ids", "numbers", "rows"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -110,9 +114,11 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, norm2: float, dim: int,
         if held:
             yield flush(held)
 
-    keys = vectors.mapInArrow(keyed, "vec_id long, pivot int, gap double, row binary")
-    ordered = keys.repartitionByRange("pivot", "gap", "vec_id").sortWithinPartitions("pivot", "gap", "vec_id")
-    return ordered.mapInArrow(packed, "block_id long, pivot int, low double, high double, size int, ids binary, rows binary")
+    keys = vectors.select("vec_id", "v", "number").mapInArrow(
+        keyed, "vec_id long, pivot int, gap double, row binary, number long")
+    order = ["pivot", "gap", "vec_id", "number"]  # equal rows are spread, too
+    return keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        packed, "block_id long, pivot int, low double, high double, size int, ids binary, numbers binary, rows binary")
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -125,34 +131,47 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))][:k]
 
 
-def visit(blocks: DataFrame, visits: DataFrame, k: int, dim: int, chunks: int) -> DataFrame:
-    """Each query's best k in each block it visits. `visits`: block_id, query_id, q."""
-    spread = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    sent = visits.select(F.col("block_id").alias("to_block"), "query_id", "q",
-                         F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("to_chunk"))
+def visit(blocks: DataFrame, visits: DataFrame, asked: DataFrame, k: int, dim: int, chunks: int,
+          among_rows: bool) -> DataFrame:
+    """Each query's best k in each block it visits. `visits` (staged): block_id, query. A block is sent
+    to the chunks of queries that visit it, and to no other."""
+    dealt = visits.withColumn("chunk", F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"))
+    wanted = dealt.groupBy("block_id", "chunk").agg(F.count("*").alias("visitors"))
+    spread = blocks.join(wanted, "block_id").select("block_id", "chunk", "ids", "numbers", "rows")
+    sent = dealt.join(asked.select("query", "query_id", "q"), "query").select(
+        F.col("block_id").alias("to_block"), F.col("chunk").alias("to_chunk"), "query", "query_id", "q")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            ids = np.frombuffer(left.ids[0], np.int64)
+            ids, numbers = np.frombuffer(left.ids[0], np.int64), np.frombuffer(left.numbers[0], np.int64)
             rows = np.frombuffer(left.rows[0], np.int64).reshape(len(ids), dim)
             queries = np.frombuffer(b"".join(right.q), np.int64).reshape(len(right), dim)
             small = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(dim, 1) < 2 ** 53
             made = queries.astype(float) @ rows.T.astype(float) if small else queries @ rows.T
-            for i, query in enumerate(right.query_id):
-                other = np.flatnonzero(ids != query)
+            for i, (query, key) in enumerate(zip(right["query"], right.query_id)):
+                other = np.flatnonzero(numbers != query if among_rows else ids != key)
                 at = other[_best(ids[other], made[i, other], k)]
-                found.append(pd.DataFrame({"query_id": query, "vec_id": ids[at], "score": made[i, at].astype(np.int64)}))
-        return pd.concat(found) if found else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
+                found.append(pd.DataFrame({"query": query, "query_id": key, "vec_id": ids[at],
+                                           "score": made[i, at].astype(np.int64)}))
+        columns = ("query", "query_id", "vec_id", "score")
+        return pd.concat(found) if found else pd.DataFrame({c: np.zeros(0, np.int64) for c in columns})
 
     return (spread.groupBy("block_id", "chunk").cogroup(sent.groupBy("to_block", "to_chunk"))
-            .applyInPandas(run, "query_id long, vec_id long, score long"))
+            .applyInPandas(run, "query long, query_id long, vec_id long, score long"))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the k largest inner products of each query among
-    `vectors` of other keys. Both tables have vec_id, v as made by `integer_vectors`."""
-    vectors, queries = staged(vectors, "vectors"), staged(queries, "queries")
+def top_k(vectors: DataFrame, queries: DataFrame | Column, k: int = 20) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: the k largest inner products of each query among `vectors`
+    (vec_id, v as made by `integer_vectors`).
+
+    `queries` is a condition on the rows of `vectors`, whose candidates are all other rows, or a table of
+    vec_id, v, whose candidates are the rows of other keys."""
+    among_rows = isinstance(queries, Column)
+    number = F.monotonically_increasing_id()
+    vectors = staged(vectors.select("vec_id", "v").withColumn("number", number), "vectors")
+    queries = staged(vectors.where(queries) if among_rows else
+                     queries.select("vec_id", "v").withColumn("number", number), "queries")
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     facts = (vectors.select(F.size("v").alias("n"), norm.alias("norm"))
              .union(queries.select(F.size("v"), F.lit(0.0))).agg(F.max("n").alias("n"), F.max("norm").alias("m")).first())
@@ -167,39 +186,42 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             v = whole.astype(float)
             gap = _to_pivots(v, np.zeros(len(v)), pivots)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r.tobytes() for r in whole], pa.binary()), pa.array((v * v).sum(1)),
-                 pa.array(gap.argmin(1), pa.int32()), pa.array(list(gap), pa.list_(pa.float64()))],
-                names=["query_id", "q", "q2", "own", "gaps"])
+                [batch.column(2), batch.column(0), pa.array([r.tobytes() for r in whole], pa.binary()),
+                 pa.array((v * v).sum(1)), pa.array(gap.argmin(1), pa.int32()), pa.array(list(gap), pa.list_(pa.float64()))],
+                names=["query", "query_id", "q", "q2", "own", "gaps"])
 
-    asked = staged(queries.mapInArrow(placed, "query_id long, q binary, q2 double, own int, gaps array<double>"), "asked")
+    asked = staged(queries.select("vec_id", "v", "number").mapInArrow(
+        placed, "query long, query_id long, q binary, q2 double, own int, gaps array<double>"), "asked")
     annuli = blocks.select("block_id", "pivot", "low", "high")
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best_first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
-    own = asked.join(annuli, asked.own == annuli.pivot).select("block_id", "query_id", "q")
-    best = staged(ranked(visit(blocks, own, k, dim, chunks)), "best")
-    reached = asked.select("query_id", F.lit(-1.0).alias("reached"))
+    def visited(visits: DataFrame) -> DataFrame:
+        return visit(blocks, staged(visits, "visits"), asked, k, dim, chunks, among_rows)
+
+    best = staged(ranked(visited(asked.join(annuli, asked.own == annuli.pivot).select("block_id", "query"))), "best")
+    reached = asked.select("query", F.lit(-1.0).alias("reached"))
     for ring in RINGS:
-        kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+        kth = best.where(F.col("rank") == k).select("query", F.col("score").alias("kth"))
         # without k candidates yet, every annulus can matter
         away = F.sqrt(F.greatest(F.col("q2") + norm2 - 2 * F.col("kth"), F.lit(0.0))) * (1 + 1e-9) + 1e-6
         stop = F.when(F.col("kth").isNull(), F.lit(float("inf"))).otherwise(away)
-        bounded = asked.join(reached, "query_id").join(kth, "query_id", "left").withColumn("stop", stop * ring)
-        lines = bounded.select("query_id", "q", "own", "reached", "stop", F.posexplode("gaps").alias("pivot", "gap"))
+        bounded = asked.drop("q").join(reached, "query").join(kth, "query", "left").withColumn("stop", stop * ring)
+        lines = bounded.select("query", "own", "reached", "stop", F.posexplode("gaps").alias("pivot", "gap"))
         away = F.greatest(F.col("low") - F.col("gap"), F.col("gap") - F.col("high"), F.lit(0.0))
         near = (lines.where(F.col("pivot") != F.col("own")).join(annuli, "pivot")
-                .where((away <= F.col("stop")) & (away > F.col("reached"))).select("block_id", "query_id", "q"))
-        reached = staged(bounded.select("query_id", F.greatest("reached", "stop").alias("reached")), "reached")
-        best = staged(ranked(best.select("query_id", "vec_id", "score").union(visit(blocks, near, k, dim, chunks))), "best")
+                .where((away <= F.col("stop")) & (away > F.col("reached"))).select("block_id", "query"))
+        reached = staged(bounded.select("query", F.greatest("reached", "stop").alias("reached")), "reached")
+        best = staged(ranked(best.drop("rank").union(visited(near))), "best")
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector among all others."""
     vectors = integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
-    return top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
 OP4_SQL = """

@@ -323,6 +323,25 @@ def test_vector_search(spark):
     assert vector_search.top_k(few.limit(0), few.limit(0)).count() == 0
 
 
+def test_vector_search_of_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "CHUNK", 4)  # many chunks
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(60)]
+    rows += [(20, [float(x) for x in rng.normal(size=6)]), (20, rows[20][1]), (7, rows[40][1]), (7, rows[40][1]), (40, rows[40][1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    made = [np.floor(64 * np.asarray(v)).astype(int) for _, v in rows]
+    want = []
+    for n, (key, _) in enumerate(rows):
+        if key % 20 == 0:
+            best = sorted((-int(made[m] @ made[n]), rows[m][0]) for m in range(len(rows)) if m != n)[:5]
+            want += [(key, i + 1, k, -s) for i, (s, k) in enumerate(best)]
+    vectors = vector_search.integer_vectors(table)
+    got = vector_search.top_k(vectors, F.col("vec_id") % 20 == 0, 5).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    elsewhere = vector_search.top_k(vectors, vectors.where("vec_id = 20"), 80).collect()  # rows of other keys only
+    assert {r.vec_id for r in elsewhere} == {k for k, _ in rows} - {20} and len(elsewhere) == 3 * 62
+
+
 def test_licenses(docs, empty, spark):
     lines = ["Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.",
              "LICENSED UNDER CC BY-NC 4.0", "Licensed under the Apache License, Version 2.0."]
