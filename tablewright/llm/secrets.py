@@ -43,10 +43,16 @@ DICTIONARY = ["tion", "ment", "that", "this", "with", "from", "have", "keit", "l
               "les", "eau", "oui", "los", "las", "ing", "the", "and", "for", "are", "her", "ent", "ver", "ich", "ada", "ado", "est", "ion",
               "config", "default", "example", "sample", "test", "user", "name", "file", "path", "page", "mail", "http", "www", "com", "org"]
 
+#: A name, possessively, so that a text is passed once: no separator at which another name may start
+#: lies inside one. It may have a scheme in front, as the user of an address has.
+PART = r"""[^\s&?,;{(:="'`\[\])}>]++"""
+NAME = rf"""(?:[\w+.\-]++://)?+{PART}(?:[\["']{{1,2}}{PART})*+"""
 #: A name, what makes the next a value (an assignment, or the name's own meaning and maybe `is`), the value, and an address's rest.
-VALUE = (r"(?<![^\s&?,;{(])(\S+?(?:\s{0,2}(?::=|=>|==?|:(?!//))\s{0,2}|(?=[\"')]?\s)(?<=(?i:" + "|".join(NEAR_SECRET) + r"))[\"')]?\s{1,2}(?:is\s{1,2})?)[\"'`]?)"
+VALUE = (r"(?<![^\s&?,;{(])([\[\"'<]{0,2}+" + NAME + r"(?:[\"'\]]{0,2}+\s{0,2}(?::=|=>|==?|:(?!//))\s{0,2}"
+         r"|(?<=(?i:" + "|".join(NEAR_SECRET) + r"))[\"')]?\s{1,2}(?:is\s{1,2})?)[\"'`]?)"
          r"((?<=://[^\s/:]{0,64}:)[^\s\"'`/]+(?=@[\w.\-])|[^\s\"'`]+?(?=[&;,][\w.\-]+=)|[^\s\"'`]*[^\s\"'`.,;)\]}>])(@\S*)?")
 
+
 def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str = "source") -> DataFrame:
     """doc_id, nth, path, before, candidate, after."""
     source = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path in docs.columns else F.lit("")
@@ -72,8 +78,9 @@ def with_features(found: DataFrame) -> DataFrame:
     """`found` (path, before, candidate, after) with a vector of features."""
     c, size = F.col("candidate"), F.char_length("candidate").cast("double")
 
-    def share(pattern: str, of: Column = c) -> Column:
-        return F.regexp_count(of, F.lit(pattern)) / size
+    def share(pattern: str) -> Column:
+        """Of a pattern that matches single characters; what is left tells how many, and holds no list."""
+        return (size - F.char_length(F.regexp_replace(c, pattern, ""))) / size
 
     covered = F.regexp_replace(F.lower(c), "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")
     columns = {

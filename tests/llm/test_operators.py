@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -396,6 +397,25 @@ def test_secrets_of_any_length_and_marks(spark):
     assert secrets.candidates(twice).count() == 1
 
 
+def test_secrets_in_lines_without_end(spark):
+    """Ten million characters without a blank, of every separator: time in proportion to the text."""
+    units = ["7,", "7&", "a?", "7;", "a{", "a(", "f(f{", "a=", "a:", "a=>", 'a"', "a[", "a['b']", "x://a:", "a=b,", "a=1&", "key=", "@a", "x", ",", "=", "-_", "aB3"]
+    rows = [(i, f"token = q7!Zp3x {u * (10_000_000 // len(u))} end") for i, u in enumerate(units)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(24)
+    started = time.monotonic()
+    found = secrets.candidates(table).groupBy("doc_id").agg(F.max(F.col("candidate") == "q7!Zp3x").alias("first")).collect()
+    assert {r.doc_id for r in found if r.first} == set(range(len(units))) and time.monotonic() - started < 120
+    scored = secrets.with_features(secrets.candidates(table.where("doc_id in (18, 22)"))).count()
+    assert scored == 4
+
+
+def test_secrets_behind_names_of_any_kind(spark):
+    rows = [(1, 'config["password"] = "s3cr3t!x"'), (2, "пароль: тайна9"), (3, "(user=bob,pwd=k4#9)"), (4, "TOKEN='abc-1!'"), (5, '"api_key" : "z9!q"')]
+    found = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = {(1, "s3cr3t!x"), (2, "тайна9"), (3, "bob"), (3, "k4#9"), (4, "abc-1!"), (5, "z9!q")}
+    assert wanted <= {(r.doc_id, r.candidate) for r in found}
+
+
 def test_secret_path_changes_a_score(spark):
     texts = ["key = garden7", "password: ada12ent", "token = 4821", "auth stone9"]
     rows = [(i, t, p) for i, t in enumerate(texts) for p in ("src/main.py", "tests/test_app.py")]
