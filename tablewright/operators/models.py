@@ -6,11 +6,11 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.cleaning import col_of
 from tablewright.operators.metrics import binary_metrics, roc_auc
 from tablewright.operators.projection import align_columns, drop_present, numeric_columns
-from tablewright.operators.quantiles import with_stats
+from tablewright.operators.quantiles import sql_name, with_stats
 from tablewright.operators.scenarios import verdict_text
 from tablewright.session import ensure_checkpoint_dir, scratch_path, staged
 
@@ -90,15 +90,34 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def fit_model(train: DataFrame, estimator, features: Sequence[str]) -> PipelineModel:
+def input_stage(features: Sequence[str]) -> SQLTransformer:
+    """`model_input` as a stage that is stored with a model."""
+    names = [sql_name(f) for f in features]
+    filled = [f"nanvl(coalesce(CAST({n} AS DOUBLE), 0D), 0D) AS {n}" for n in names]
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}), {', '.join(filled)} FROM __THIS__")
+
+
+def feature_contract(model: PipelineModel) -> list[str]:
+    """The features a stored model wants, in its order."""
+    found = [s for s in model.stages if isinstance(s, VectorAssembler)]
+    if not found:
+        raise ValueError("the model has no stage that assembles features")
+    return found[-1].getInputCols()
+
+
+def fit_model(train: DataFrame, estimator, features: Sequence[str],
+              before: Sequence[Transformer] = ()) -> PipelineModel:
     """Fit one estimator on a table made by `model_input` and `class_weights`.
 
+    The model holds all that scoring needs: the stages `before`, the filling of missing values, the
+    list and order of the features.
+
     A fitted model may carry its training summary and with it the session, which cannot be sent
     to the executors once the session has observed a query. Storing and loading it drops both.
     """
     ensure_checkpoint_dir(train.sparkSession)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    model = Pipeline(stages=[assembler, estimator]).fit(train)
+    model = Pipeline(stages=[*before, input_stage(features), assembler, estimator]).fit(train)
     if getattr(model.stages[-1], "hasSummary", False):
         path = scratch_path(train.sparkSession, "model")
         save_model(model, path)
@@ -174,12 +193,13 @@ def importances(model: PipelineModel, features: Sequence[str], spark: SparkSessi
     return ordered.limit(top) if top else ordered
 
 
-def score_scenarios(model: PipelineModel, scenarios: DataFrame, features: Sequence[str],
+def score_scenarios(model: PipelineModel, scenarios: DataFrame, features: Sequence[str] | None = None,
                     keep: Sequence[str] = ("name",)) -> DataFrame:
     """MDL10: score any number of feature rows: class, both probabilities in percent, verdict.
 
-    Features the scenarios lack are 0.
+    Features are those the model was stored with, unless given; those the scenarios lack are 0.
     """
+    features = feature_contract(model) if features is None else features
     kept = [c for c in keep if c in scenarios.columns and c not in features]
     aligned = align_columns(scenarios, [*kept, *features])
     return predict(model, model_input(aligned, features)).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,15 +92,8 @@ def verdict_text(prediction: Column | str) -> Column:
     return F.when(col_of(prediction) == 1, "SUCCESS").otherwise("RISK")
 
 
-_ADVICE = (
-    "- Price: a high price raises expectations and can lower the review ratio.",
-    "- Engagement: items with achievements tend to keep their users longer.",
-    "- Platforms: support for more platforms reaches further audiences.",
-)
-
-
-def render_report(scored: DataFrame, model_name: str) -> DataFrame:
-    """SNK10: one Markdown text per scored scenario, in column `report`."""
+def render_report(scored: DataFrame, model_name: str, advice: Sequence[str] = ()) -> DataFrame:
+    """SNK10: one Markdown text per scored scenario, in column `report`; `advice` are closing lines."""
     def line(label: str, value: Column) -> Column:
         return F.concat(F.lit(f"| {label} | "), value.cast("string"), F.lit(" |"))
 
@@ -124,7 +119,7 @@ def render_report(scored: DataFrame, model_name: str) -> DataFrame:
         line("Expected reviews", F.col("Total_reviews").cast("bigint")),
         line("Expected positive share", F.format_string("%.0f%%", F.col("Review_ratio") * 100)),
         line("Expected owners", owners),
-        F.lit(""),
-        *[F.lit(a) for a in _ADVICE],
+        *([F.lit("")] if advice else []),
+        *[F.lit(f"- {a}") for a in advice],
     ]
     return scored.withColumn("report", F.concat_ws("\n", *lines))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,24 +187,94 @@ STEPS: Mapping[str, Callable[[SparkSession, PipelineConfig], object]] = {
     "export": export, "profile": profile, "train": train, "evaluate": evaluate,
 }
 
+#: What each step reads and writes, relative to the output folder; `raw` is the folder of drops.
+FLOW: Mapping[str, tuple[Sequence[str], Sequence[str]]] = {
+    "explore": (["raw"], ["reports/exploration", "reports/profile", "reports/numbers", "reports/summary", "reports/keys"]),
+    "clean": (["raw"], ["cleaned", "reports/post_clean", "reports/dates"]),
+    "engineer": (["cleaned"], ["engineered"]),
+    "validate": (["engineered"], ["reports/validation"]),
+    "export": (["engineered"], ["final", "final_csv", "splits", "groups", "manifest", "summary", "reports/columns"]),
+    "profile": (["final"], ["reports/outliers", "reports/boxplots", "reports/correlations",
+                            "reports/correlation_histogram", "reports/histograms"]),
+    "train": (["splits"], ["model", "reports/models", "reports/importances"]),
+    "evaluate": (["splits", "model"], ["scored", "reports/classes", "reports/confusion", "reports/curves", "reports/attribution"]),
+}
+
 STATUS_SCHEMA = "step string, status string, seconds double, rows bigint, message string"
+LEDGER_SCHEMA = "step string, asked string, made string, rows bigint"
+
+
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str | None:
+    """A digest of the names, sizes and times of all files under the paths; None where one is absent."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+        found = files.select(F.xxhash64("path", "length", "modificationTime").alias("h")).agg(
+            F.count("h").alias("n"), F.bit_xor("h").alias("h")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return f"{found.n}:{found.h}"
+
 
+class Ledger:
+    """What finished steps read and made, kept as one small file per step in the output folder."""
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig,
-                 steps: Mapping[str, Callable] = STEPS) -> DataFrame:
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig) -> None:
+        self.spark, self.cfg = spark, cfg
+
+    def _paths(self, names: Sequence[str]) -> list[str]:
+        return [self.cfg.raw_dir if n == "raw" else self.cfg.path(n) for n in names]
+
+    def asked(self, step: str) -> str:
+        """Parameters and inputs of a step as they are now."""
+        inputs = fingerprint(self.spark, self._paths(FLOW[step][0])) if step in FLOW else None
+        return hashlib.sha256(f"{self.cfg!r} {inputs}".encode()).hexdigest()
+
+    def made(self, step: str) -> str | None:
+        """The outputs of a step as they are now."""
+        return fingerprint(self.spark, self._paths(FLOW[step][1])) if step in FLOW else None
+
+    def unchanged(self, step: str) -> int | None:
+        """The rows a finished step wrote, -1 if it counts none; None if it has to run."""
+        try:
+            held = self.spark.read.schema(LEDGER_SCHEMA).json(self.cfg.path(f"_ledger/{step}")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        if held is None or held.made is None or (held.asked, held.made) != (self.asked(step), self.made(step)):
+            return None
+        return -1 if held.rows is None else held.rows
+
+    def note(self, step: str, asked: str, rows: int | None) -> None:
+        line = self.spark.createDataFrame([(step, asked, self.made(step), rows)], LEDGER_SCHEMA)
+        writers.write_json(line.coalesce(1), self.cfg.path(f"_ledger/{step}"))
+
+
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig, steps: Mapping[str, Callable] = STEPS,
+                 resume: bool = False) -> DataFrame:
     """LIF1, LIF3: run the steps in order, stop at the first failure, return the status table.
 
     A step that was not reached is listed as 'skipped'. Steps that return the figures observed
-    while they wrote their table show its number of rows.
+    while they wrote their table show its number of rows. Every finished step leaves a line in a
+    ledger; with `resume`, a step whose parameters, inputs and outputs are as it left them is not run
+    again and listed as 'unchanged', so a run goes on after the step that failed.
     """
-    rows, failed = [], False
+    rows, failed, ledger = [], False, Ledger(spark, cfg)
     for name, step in steps.items():
         if failed:
             rows.append((name, "skipped", 0.0, None, None))
             continue
         started = time.monotonic()
         try:
+            held = ledger.unchanged(name) if resume else None
+            if held is not None:
+                rows.append((name, "unchanged", time.monotonic() - started, None if held < 0 else held, None))
+                continue
+            asked = ledger.asked(name)
             figures = step(spark, cfg) or {}
+            ledger.note(name, asked, figures.get("n_rows"))
             rows.append((name, "ok", time.monotonic() - started, figures.get("n_rows"), None))
         except Exception as error:  # the status table reports it
             failed = True

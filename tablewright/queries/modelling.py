@@ -8,10 +8,11 @@ from tablewright.operators import explain, metrics, models, scenarios
 from tablewright.operators.fitted import above_quantile
 from tablewright.operators.split import hash_split
 from tablewright.plans import catalogue as cat
+from tablewright.plans import scoring
 from tablewright.plans.engineering import engineer_features, final_table
 from tablewright.queries.base import query, rounded, rounded_sql, table
 from tablewright.queries.features import AS_OF, cleaned_catalogue
-from tablewright.session import staged
+from tablewright.session import scratch_path, staged
 
 LINES_SCORED = """(SELECT (l_returnflag = 'A')::INTEGER AS label, l_discount * 10 AS score,
     (l_quantity > 25)::INTEGER AS prediction FROM lineitem)"""
@@ -284,7 +285,7 @@ SCENARIO_FEATURES = ["Release_year", "Days_since_release", "Platform_count", "Pr
                      "Log_total_reviews", "Genre_count"]
 
 
-def _scored_scenarios(spark, sf):
+def _scenario_model(spark, sf):
     # Training reads its rows many times: from a written table, not through the whole plan.
     cleaned = staged(cleaned_catalogue(spark, sf), "cleaned")
     final = staged(final_table(engineer_features(cleaned, AS_OF)), "final")
@@ -292,9 +293,33 @@ def _scored_scenarios(spark, sf):
     done = models.train_and_compare(
         split.filter("split = 'train'"), split.filter("split = 'val'"), SCENARIO_FEATURES, cat.LABEL,
         ["logistic_regression"], QUERY_SIZES)
+    return done.best_model
+
+
+def _scored_scenarios(spark, sf):
     valid = scenarios.validate_scenarios(event_scenarios(spark, sf)).filter(F.size("errors") == 0)
     made = scenarios.scenario_features(valid, AS_OF)
-    return models.score_scenarios(done.best_model, made, SCENARIO_FEATURES, ["event_id", "name"])
+    return models.score_scenarios(_scenario_model(spark, sf), made, SCENARIO_FEATURES, ["event_id", "name"])
+
+
+@query("score_plan", f"""
+    SELECT event_id, name, valid, CASE WHEN valid THEN 100.0::DOUBLE END AS total,
+        CASE WHEN valid THEN true END AS verdict_fits, CASE WHEN valid THEN true END AS report_fits
+    FROM (SELECT *, {_VALID} AS valid FROM ({SCENARIO_SQL}))""")
+def score_plan(spark, sf):
+    """Every scenario through the stored model: which are scored, and whether verdict and report agree
+    with the probabilities."""
+    path = scratch_path(spark, "scoring")
+    models.save_model(_scenario_model(spark, sf), f"{path}/model")
+    made = scoring.run_scoring(spark, f"{path}/model", event_scenarios(spark, sf), AS_OF, path, ["event_id"],
+                               ["Compare with items of the same tier."])
+    wins = F.col("prob_success") > F.col("prob_fail")
+    return made.select(
+        "event_id", "name", (F.size("errors") == 0).alias("valid"),
+        F.round(F.col("prob_success") + F.col("prob_fail"), 6).alias("total"),
+        (F.col("verdict") == F.when(wins, "SUCCESS").otherwise("RISK")).alias("verdict_fits"),
+        (F.contains("report", F.format_string("Chance of success: %.1f%%", "prob_success"))
+         & F.startswith("report", F.concat(F.lit("# Prediction: "), "name"))).alias("report_fits"))
 
 
 @query("score_scenarios")

@@ -1,19 +1,22 @@
 """Physical plans, the composed run, sources and streams."""
 
 import csv
+import dataclasses
 import datetime as dt
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tablewright.operators import dedup, metrics, outliers, profile, split
 from tablewright.operators.fitted import observed_labels
-from tablewright.operators.models import ModelSizes
+from tablewright.operators.models import ModelSizes, load_model, save_model
 from tablewright.operators.projection import align_columns, normalize_table, select_strict
 from tablewright.plans import catalogue as cat
 from tablewright.plans.cleaning import clean_catalogue, clean_rows
-from tablewright.plans.engineering import engineer_features, fit_statistics, row_features
-from tablewright.plans.pipeline import PipelineConfig, check_artifacts, run_pipeline
+from tablewright.plans.engineering import engineer_features, fit_statistics, fitted_features, row_features
+from tablewright.plans.pipeline import STEPS, PipelineConfig, check_artifacts, run_pipeline
+from tablewright.plans.scoring import run_scoring, score_plan, statistics_stage
 from tablewright.sources import readers, writers
 from tablewright.streaming.snapshots import feature_stream, snapshot_stream
 
@@ -148,6 +151,57 @@ def test_run_and_artifacts(spark, raw_dir, tmp_path):
     assert "Records" in "\n".join(r.value for r in spark.read.text(cfg.path("summary")).collect())
 
 
+def test_a_run_goes_on_after_the_step_that_failed(spark, raw_dir, tmp_path):
+    cfg = PipelineConfig(raw_dir, str(tmp_path / "out"), "2024-01-10", attribution_rows=20,
+                         sizes=ModelSizes(lr_iterations=5, trees=2, depth=2, rounds=2))
+
+    def broken(spark, cfg):
+        raise ValueError("no room")
+
+    def status(steps, resume=True):
+        return [r.status for r in run_pipeline(spark, cfg, steps, resume).collect()]
+
+    assert status({**STEPS, "export": broken}) == ["ok"] * 4 + ["failed"] + ["skipped"] * 3
+    again = run_pipeline(spark, cfg, STEPS, resume=True).collect()
+    assert [r.status for r in again] == ["unchanged"] * 4 + ["ok"] * 4
+    assert {r.step: r.rows for r in again}["clean"] == 293
+    assert status(STEPS) == ["unchanged"] * 8
+    # an output that was touched is made anew, and what reads it runs again
+    spark.read.parquet(cfg.path("cleaned")).limit(1).write.mode("append").parquet(cfg.path("engineered"))
+    assert status({s: STEPS[s] for s in ("clean", "engineer", "validate")}) == ["unchanged", "ok", "ok"]
+    assert status({"clean": STEPS["clean"]}, resume=False) == ["ok"]
+    other = dataclasses.replace(cfg, as_of="2024-02-10")
+    assert run_pipeline(spark, other, {"engineer": STEPS["engineer"]}, resume=True).first().status == "ok"
+
+    # the model it left is all that scoring needs, in a batch and in a stream
+    asked = spark.createDataFrame([("One", "9.99", "3", "yes"), ("Two", "x", "1", "no"), (None, None, None, "y")],
+                                  "name string, price string, platforms string, achievements string")
+    batch = run_scoring(spark, cfg.path("model"), asked, "2024-01-10", str(tmp_path / "scoring"))
+    assert {r.name: len(r.errors) for r in batch.collect()} == {"One": 0, "Two": 1, "Projekt_Nieznany": 0}
+    assert batch.filter("size(errors) = 0 AND report LIKE '# Prediction%'").count() == 2
+    asked.write.parquet(str(tmp_path / "asked"))
+    stream = score_plan(spark.readStream.schema(asked.schema).parquet(str(tmp_path / "asked")),
+                        load_model(cfg.path("model")), "2024-01-10")
+    query = (stream.writeStream.format("memory").queryName("asked")
+             .option("checkpointLocation", str(tmp_path / "cp")).start())
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(map(repr, spark.table("asked").collect())) == sorted(map(repr, batch.collect()))
+    with pytest.raises(Exception, match="(?i)path"):
+        run_scoring(spark, cfg.path("absent"), asked, "2024-01-10", str(tmp_path / "scoring"))
+
+
+def test_fitted_statistics_as_a_stage(spark, raw_dir, tmp_path):
+    featured = row_features(normalize_table(clean_catalogue(read_raw(spark, raw_dir))), "2024-01-10")
+    statistics, labels = fit_statistics(featured), observed_labels(featured, cat.CATEGORIES)
+    save_model(PipelineModel([statistics_stage(statistics, labels)]), str(tmp_path / "stage"))
+    made = load_model(str(tmp_path / "stage")).transform(featured)
+    want = fitted_features(featured, statistics, labels)
+    assert made.columns == want.columns
+    for a, b in zip(made.orderBy("AppID").collect(), want.orderBy("AppID").collect()):
+        assert all(x == y or x == pytest.approx(y) for x, y in zip(a, b))
+
+
 def test_a_failed_step_stops_the_run(spark, tmp_path):
     def bad(spark, cfg):
         raise ValueError("no")
