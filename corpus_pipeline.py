@@ -2,6 +2,10 @@
 
 A stage takes (spark, docs, sf_dir) and returns a table that is written and read again as the next
 stage's `docs`. All but the last return the columns of documents.
+
+Defined cases, for every stage: a null text counts as empty; a null key, language or source is a value
+of its own; an empty table gives an empty one; extra columns are passed on by all stages but the last,
+whatever their names. Of rows that agree in key and text one is left after exact_dedup.
 """
 
 from __future__ import annotations
@@ -19,17 +23,19 @@ from tablewright.session import scratch_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity stays below the threshold of their language."""
+    """Documents whose toxicity stays below the threshold of their language, rows as they are. An empty
+    text scores as the network's output without any word."""
     return keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, that of the largest key; empty texts are one group."""
     return drop_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One document of each class of near copies, that of the smallest key; a text without words is a
+    class of its own."""
     return drop_near_copies(docs)
 
 
