@@ -360,12 +360,12 @@ def threshold_of(model: Toxicity, lang: str = "lang", known: bool = True):
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` whose score stays below the threshold of their language. Rows are staged with
-    their scores, so none is scored twice or shuffled."""
-    out = free_name(docs, "_score")
-    model, scored = fit_and_score(docs, labels, out=out)
+    """The rows of `docs` whose score stays below the threshold of their language. Rows pass or fail
+    where they lie: their texts are scored a second time rather than stored or shuffled with the first
+    scores."""
+    model, out = fit(docs, labels), free_name(docs, "_score")
     cut = threshold_of(model, known="lang" in docs.columns)
-    return scored.where(F.col(out) < cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return score(docs, model, out=out).where(F.col(out) < cut).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
