@@ -400,12 +400,16 @@ def _score_sql(penalty: str) -> str:
             {union_sql([outlier_sql('value', 'events'), outlier_sql('user_id', 'events')])}))
             AS outlier_pct,
         {penalty} AS term),
-    p AS (SELECT least(10.0::DOUBLE, missing_pct) AS missing_penalty,
+    p AS (SELECT *, least(10.0::DOUBLE, missing_pct) AS missing_penalty,
         CASE WHEN dups > 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS duplicate_penalty,
         least(10.0::DOUBLE, outlier_pct / 10) AS outlier_penalty,
         least(5.0::DOUBLE, term::DOUBLE) AS range_penalty FROM f)
     SELECT greatest(0.0::DOUBLE, 100 - missing_penalty - duplicate_penalty - outlier_penalty
-        - range_penalty) AS score, 100.0::DOUBLE AS max_score, * FROM p"""
+        - range_penalty) AS score, 100.0::DOUBLE AS max_score, * EXCLUDE (dups, outlier_pct, term, missing_pct),
+        concat_ws('; ', CASE WHEN missing_pct > 0 THEN 'missing values: ' || printf('%.1f', missing_pct) || '%' END,
+            CASE WHEN dups > 0 THEN 'duplicate keys' END,
+            CASE WHEN outlier_pct > 0 THEN 'outliers: ' || printf('%.1f', outlier_pct) || '%' END,
+            CASE WHEN term > 0 THEN 'range checks: ' || term END) AS issues FROM p"""
 
 
 _PENALTIES = ["score", "max_score", "missing_penalty", "duplicate_penalty", "outlier_penalty",
@@ -415,14 +419,16 @@ _PENALTIES = ["score", "max_score", "missing_penalty", "duplicate_penalty", "out
 @query("quality_score", rounded_sql(_score_sql("1"), _PENALTIES))
 def quality_score(spark, sf):
     config = quality.ValidationConfig(**EVENT_CONFIG)
-    return rounded(quality.quality_score(table(spark, sf, "events"), config).drop("issues"))
+    return rounded(quality.quality_score(table(spark, sf, "events"), config).withColumn(
+        "issues", F.concat_ws("; ", "issues")))
 
 
 @query("quality_score_violations", rounded_sql(_score_sql(
     "(SELECT count(*) FROM events WHERE value < 1 OR value > 100)"), _PENALTIES))
 def quality_score_violations(spark, sf):
     config = quality.ValidationConfig(**EVENT_CONFIG, range_penalty="violations")
-    return rounded(quality.quality_score(table(spark, sf, "events"), config).drop("issues"))
+    return rounded(quality.quality_score(table(spark, sf, "events"), config).withColumn(
+        "issues", F.concat_ws("; ", "issues")))
 
 
 def _tidy_sql(check: str, source: str, column: str, metrics: list[str]) -> str:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import parse_iso_date, to_number
@@ -14,6 +18,7 @@ from tablewright.queries.modelling import QUERY_SIZES
 from tablewright.queries.profiling import EVENT_CONFIG, RANGE_SQL, RULES
 from tablewright.session import scratch_path
 from tablewright.sources import readers, writers
+from tablewright.sources.facts import observed_write
 
 
 @query("snapshot_roundtrip", "SELECT * FROM orders")
@@ -61,24 +66,39 @@ def parquet_roundtrip(spark, sf):
 _HASH = "('0x' || substr(md5('42:' || o_orderkey), 1, 15))::BIGINT / 1152921504606846976.0::DOUBLE"
 
 
-@query("split_sink", f"""
-    SELECT o_orderkey, o_totalprice FROM orders
-    WHERE {_HASH} >= 0.7 AND {_HASH} < 0.7::DOUBLE + 0.15::DOUBLE""")
+_SPLIT = f"""CASE WHEN {_HASH} < 0.7 THEN 'train'
+    WHEN {_HASH} < 0.7::DOUBLE + 0.15::DOUBLE THEN 'val' ELSE 'test' END"""
+
+
+@query("split_sink", f"SELECT o_orderkey, o_totalprice, {_SPLIT} AS split FROM orders")
 def split_sink(spark, sf):
+    """All three parts, each under the name it was read by."""
     path = scratch_path(spark, "splits")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     writers.write_splits(hash_split(orders, ["o_orderkey"]), path)
-    return readers.read_splits(spark, path)["val"]
+    parts = [part.withColumn("split", F.lit(name)) for name, part in readers.read_splits(spark, path).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+GROUPS = {"ids": ["o_orderkey", "o_orderstatus"], "money": ["o_totalprice", "tax"], "none": ["tax"]}
 
 
 @query("feature_groups", """
-    SELECT o_orderkey, o_orderstatus FROM orders""")
+    SELECT 'ids' AS "group", 2 AS n_columns, o_orderkey, o_orderstatus, NULL::DOUBLE AS o_totalprice FROM orders
+    UNION ALL SELECT 'money', 1, NULL, NULL, o_totalprice FROM orders""")
 def feature_groups(spark, sf):
+    """All rows of every group that was written, with the number of its columns."""
     path = scratch_path(spark, "groups")
-    groups = {"ids": ["o_orderkey", "o_orderstatus"], "money": ["o_totalprice", "tax"], "none": ["tax"]}
-    writers.write_feature_groups(table(spark, sf, "orders"), groups, path)
-    back = readers.read_csv(spark, f"{path}/group=ids", multi_line=False)
-    return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus")
+    written = writers.write_feature_groups(table(spark, sf, "orders"), GROUPS, path)
+    parts = []
+    for name in written:
+        back = readers.read_csv(spark, f"{path}/group={name}", multi_line=False)
+        cell = lambda c, kind: F.col(c).cast(kind) if c in back.columns else F.lit(None).cast(kind)  # noqa: E731, B023
+        parts.append(back.select(
+            F.lit(name).alias("group"), F.lit(len(back.columns)).alias("n_columns"),
+            cell("o_orderkey", "bigint").alias("o_orderkey"), cell("o_orderstatus", "string").alias("o_orderstatus"),
+            cell("o_totalprice", "double").alias("o_totalprice")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("json_report", RANGE_SQL)
@@ -107,6 +127,51 @@ def manifest(spark, sf):
     return writers.dataset_manifest(table(spark, sf, "orders"), "orders")
 
 
+_PARTS = f"""SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS o_totalprice, {_SPLIT} AS split FROM orders"""
+
+
+@query("written_manifest", f"""
+    WITH t AS ({_PARTS}), s AS (SELECT split, count(*) AS n,
+        count(*) FILTER (WHERE o_orderstatus IS NULL) + count(*) FILTER (WHERE o_totalprice IS NULL) AS gaps
+        FROM t GROUP BY split)
+    SELECT 'orders' AS dataset_name, count(*) AS total_records, 3::BIGINT AS total_features,
+        (SELECT sum(gaps) FROM s)::BIGINT AS null_values,
+        (SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM t
+            GROUP BY o_orderkey, o_orderstatus, o_totalprice))::BIGINT AS duplicate_rows,
+        2::BIGINT AS numeric_columns, 1::BIGINT AS text_columns, 0::BIGINT AS datetime_columns,
+        'ids: o_orderkey, o_orderstatus, ' || count(*) || ' rows, '
+            || count(*) FILTER (WHERE o_orderstatus IS NULL) || ' missing; money: o_totalprice, '
+            || count(*) || ' rows, ' || count(*) FILTER (WHERE o_totalprice IS NULL) || ' missing' AS "groups",
+        (SELECT string_agg(split || ': ' || n || ' rows, ' || gaps || ' missing', '; ' ORDER BY split) FROM s) AS splits,
+        'table, splits' AS files, true AS files_hold_data FROM t""")
+def written_manifest(spark, sf):
+    """A table, its groups and its splits written, and the manifest from what the writes counted."""
+    path = scratch_path(spark, "dataset")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("o_totalprice"))
+    facts = observed_write(orders, f"{path}/table", lambda d: writers.write_parquet(d, f"{path}/table"))
+    stored = readers.read_stage(spark, f"{path}/table")
+    groups = writers.write_feature_groups(stored, GROUPS, f"{path}/groups")
+    splits = writers.write_splits(hash_split(stored, ["o_orderkey"]), f"{path}/splits")
+    made = writers.written_manifest(stored, "orders", facts, groups, splits,
+                                    {"table": f"{path}/table", "splits": f"{path}/splits"})
+
+    as_groups = [F.concat(F.lit(f"{g}: "), F.array_join(f"feature_groups.{g}", ", "), F.lit(", "),
+                          F.col(f"group_facts.{g}.rows"), F.lit(" rows, "),
+                          F.col(f"group_facts.{g}.missing_cells"), F.lit(" missing")) for g in groups]
+    as_splits = [F.concat(F.lit(f"{s}: "), F.element_at("split_sizes", s), F.lit(" rows, "),
+                          F.col(f"split_facts.{s}.missing_cells"), F.lit(" missing")) for s in sorted(splits.splits)]
+    names = made.schema["file_facts"].dataType.names
+    whole = [F.col(f"file_facts.{n}.files") * F.col(f"file_facts.{n}.bytes") > 0 for n in names]
+    return made.select(
+        "dataset_name", "total_records", "total_features", "null_values", "duplicate_rows", "numeric_columns",
+        "text_columns", "datetime_columns", F.concat_ws("; ", *as_groups).alias("groups"),
+        F.concat_ws("; ", *as_splits).alias("splits"), F.lit(", ".join(names)).alias("files"),
+        reduce(and_, whole).alias("files_hold_data"))
+
+
 @query("dataset_summary", r"""
     SELECT '# orders' || chr(10) || chr(10) || '- Records: ' || format('{:,}', count(*)) || chr(10)
         || '- Features: 6' || chr(10) || '- Missing cells: 0' || chr(10) || '- Duplicate rows: 0' AS text
