@@ -57,6 +57,9 @@ class ModelSizes:
     depth: int = 15
     rounds: int = 100
     step: float = 0.1
+    boosted_depth: int = 5
+    boosted_leaf_rows: int = 20
+    plain_boosted_depth: int = 6
     seed: int = 42
 
 
@@ -64,7 +67,8 @@ def define_models(train_rows: int, sizes: ModelSizes = ModelSizes()) -> dict[str
     """MDL3-MDL6: the estimators by name.
 
     An L2 strength of C = 1 on summed losses is regParam = 1 / rows here, as the loss is averaged
-    by weight and balanced weights add up to the rows. The last one is the unweighted fallback.
+    by weight and balanced weights add up to the rows. Weighted boosting grows trees of at most 32
+    leaves of 20 rows or more; the unweighted fallback grows them to depth 6 without that bound.
     """
     common = {"featuresCol": "features", "labelCol": "label"}
     forest = RandomForestClassifier(numTrees=sizes.trees, maxDepth=sizes.depth, seed=sizes.seed,
@@ -75,8 +79,9 @@ def define_models(train_rows: int, sizes: ModelSizes = ModelSizes()) -> dict[str
             maxIter=sizes.lr_iterations, regParam=1.0 / max(train_rows, 1), elasticNetParam=0.0,
             standardization=False, weightCol=WEIGHT, **common),
         "random_forest": forest,
-        "gradient_boosting": GBTClassifier(weightCol=WEIGHT, **boosted),
-        "gradient_boosting_unweighted": GBTClassifier(**boosted),
+        "gradient_boosting": GBTClassifier(
+            weightCol=WEIGHT, maxDepth=sizes.boosted_depth, minInstancesPerNode=sizes.boosted_leaf_rows, **boosted),
+        "gradient_boosting_unweighted": GBTClassifier(maxDepth=sizes.plain_boosted_depth, **boosted),
     }
 
 
@@ -84,10 +89,13 @@ def _training_columns(df: DataFrame, features: Sequence[str], label: str) -> Dat
     return model_input(df, features, label).select(*[col_of(f) for f in features], "label")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A stored table in at least as many partitions as there are cores; larger ones stay."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in partitions by hash, and in order within each, so that fits draw the same samples on
+    every machine. Their number depends on the rows alone: up to 64 of at least 10,000 rows, and
+    beyond 64 million rows one per million."""
+    columns = [col_of(c) for c in df.columns]
+    tasks = max(1, min(64, rows // 10_000), -(-rows // 1_000_000))
+    return df.repartition(tasks, *columns).sortWithinPartitions(*columns)
 
 
 def input_stage(features: Sequence[str]) -> SQLTransformer:
@@ -157,10 +165,12 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
     choose the way a two-way split does. The first of equal models wins.
     """
     # The fits read their rows many times: from written tables, not through the plans above them.
-    ready = spread(staged(class_weights(_training_columns(train, features, label)), "train"))
+    stored = staged(class_weights(_training_columns(train, features, label)), "train")
+    rows = stored.count()
+    ready = spread(stored, rows)
     held = staged(_training_columns(select_on, features, label), "held")
-    estimators = define(ready.count(), sizes)
-    models, rows = {}, []
+    estimators = define(rows, sizes)
+    models, measured = {}, []
     for rank, name in enumerate(names or ["logistic_regression", "random_forest",
                                           "gradient_boosting"]):
         started = time.monotonic()
@@ -169,8 +179,8 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
         scored = staged(predict(models[name], held).select("label", "prediction", "score"), "scored")
         figures = binary_metrics(scored).first()
         auc = roc_auc(scored).first().roc_auc
-        rows.append((name, rank, *figures, auc, seconds))
-    results = train.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+        measured.append((name, rank, *figures, auc, seconds))
+    results = train.sparkSession.createDataFrame(measured, RESULT_SCHEMA)
     return Training(models, results, best_of(results))
 
 
