@@ -186,7 +186,16 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
 
 def best_of(results: DataFrame) -> str:
     """SRT5, MDL8: the model with the highest ROC-AUC, the first of equal ones."""
-    return results.agg(F.max_by("model", F.struct(F.col("roc_auc"), -F.col("rank"))).alias("m")).first().m
+    return best_row(results, "model", ["roc_auc"], ["rank"]).first().model
+
+
+def best_row(df: DataFrame, label: str, largest: Sequence[str], smallest: Sequence[str] = ()) -> DataFrame:
+    """SRT5: one row: the label with the largest value of the first of the columns `largest`, and that
+    value; ties go to the further ones, then to the least of `smallest`. Each task hands on one row.
+    NULL figures lose; an empty table gives NULL."""
+    first = col_of(largest[0])
+    order = F.struct(*[col_of(c) for c in largest], *[-col_of(c) for c in smallest])
+    return df.agg(F.max_by(col_of(label), order).alias(label), F.max(first).alias(largest[0]))
 
 
 def importances(model: PipelineModel, features: Sequence[str], spark: SparkSession,

@@ -267,6 +267,14 @@ def observe_flags(df: DataFrame, name: str, sums: Iterable[str] = (),
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *exprs), seen
 
 
+def top_rows(df: DataFrame, largest: Sequence[str], n: int, ties: Sequence[str] = ()) -> DataFrame:
+    """SRT3: the n rows with the largest values, equal ones by the columns `ties` upwards, then by all
+    others, so that the choice is repeatable; NULL and NaN values rank last. Each task keeps n rows."""
+    down = [F.desc_nulls_last(F.when(~is_missing(df, c), col_of(c))) for c in largest]
+    rest = [c for c in df.columns if c not in (*largest, *ties) and not dict(df.dtypes)[c].startswith("map")]
+    return df.orderBy(*down, *[col_of(c) for c in (*ties, *rest)]).limit(n)
+
+
 def drop_missing(df: DataFrame, col: str, name: str = "drop_missing") -> tuple[DataFrame, Observation]:
     """FLT1: the rows that have a value; `removed` is counted while they are read."""
     seen = Observation(name)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import correlation, outliers, profile, quality, sketches
 from tablewright.operators.dedup import duplicate_counts
+from tablewright.operators.models import best_row
 from tablewright.operators.quantiles import quantile_sql, sql_text
 from tablewright.queries.base import query, rounded, rounded_sql, table, union_sql
 from tablewright.session import scratch_path, staged
@@ -480,8 +481,8 @@ def topk_missing(spark, sf):
 @query("topk_parts", """
     SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 15""")
 def topk_parts(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", "p_retailprice").orderBy(
-        F.desc("p_retailprice"), "p_partkey").limit(15)
+    return profile.top_rows(table(spark, sf, "part").select("p_partkey", "p_retailprice"), ["p_retailprice"], 15,
+                            ["p_partkey"])
 
 
 @query("argmax", """
@@ -491,5 +492,4 @@ def topk_parts(spark, sf):
 def argmax(spark, sf):
     means = table(spark, sf, "orders").groupBy("o_orderpriority").agg(
         F.round(F.avg("o_totalprice"), 4).alias("total"))
-    rank = F.struct("total", "o_orderpriority")
-    return means.agg(F.max_by("o_orderpriority", rank).alias("best"), F.max("total").alias("total"))
+    return best_row(means, "o_orderpriority", ["total", "o_orderpriority"]).withColumnRenamed("o_orderpriority", "best")

@@ -17,7 +17,7 @@ from tablewright.queries.features import AS_OF, FINAL_SQL, raw_catalogue
 from tablewright.queries.modelling import QUERY_SIZES
 from tablewright.queries.profiling import EVENT_CONFIG, RANGE_SQL, RULES
 from tablewright.session import scratch_path
-from tablewright.sources import readers, writers
+from tablewright.sources import drops, readers, writers
 from tablewright.sources.facts import observed_write
 
 
@@ -56,6 +56,27 @@ def latest_csv(spark, sf):
                        parse_iso_date("day").alias("day"))
 
 
+@query("committed_drops", """
+    SELECT o_orderkey, o_orderstatus, o_orderpriority, 'F' AS "drop", 2 AS pending FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT o_orderkey, o_orderstatus, NULL, 'O', 2 FROM orders WHERE o_orderstatus = 'O'""")
+def committed_drops(spark, sf):
+    """Drops by status with headers of their own: F and O are committed, P is only half there, N was
+    taken before. All that a reader has not taken, with the number of such drops."""
+    path, state = scratch_path(spark, "landing"), scratch_path(spark, "reader")
+    orders = table(spark, sf, "orders")
+    drops.land_drop(orders.filter("o_orderstatus = 'N'").select("o_orderkey"), path, "N")
+    drops.take_drop(spark, state, "N")
+    drops.land_drop(orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path, "F")
+    writers.write_csv(orders.filter("o_orderstatus = 'O'").select("o_orderstatus", "o_orderkey"), f"{path}/O")
+    drops.commit_drop(spark, path, "O")
+    writers.write_csv(orders.filter("o_orderstatus = 'P'"), f"{path}/P")
+    waiting = drops.pending_drops(spark, path, state)
+    parts = [drops.read_drop(spark, path, name).withColumn("drop", F.lit(name)) for name in waiting]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", "o_orderpriority", "drop",
+        F.lit(len(waiting)).alias("pending"))
+
+
 @query("parquet_roundtrip", "SELECT * FROM lineitem")
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "lines")

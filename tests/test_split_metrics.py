@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from scans import scans_of
 
-from tablewright.operators import explain, metrics, models, scenarios, split
+from tablewright.operators import explain, metrics, models, profile, scenarios, split
 from tablewright.operators.ordered import order_buckets, running_sums
 
 
@@ -183,3 +183,14 @@ def test_scenario_rules(spark):
     assert (row.name, row.platforms, row.genres, row.achievements, row.errors) == ("N", 2, 10, True, [])
     made = scenarios.scenario_features(scenarios.validate_scenarios(df).limit(1), "2024-05-01").first()
     assert (made.Release_year, made.Is_free, made.Has_achievements) == (2024, 1, 1)
+
+
+def test_best_and_top_rows(spark):
+    rows = [("a", 0.5, 1), ("b", 0.9, 3), ("c", 0.9, 2), ("d", None, 0), ("e", float("nan"), 0), ("b", 0.9, 3)]
+    df = spark.createDataFrame(rows, "model string, `roc.auc` double, rank int")
+    finite = df.filter("model <> 'e'")
+    assert tuple(models.best_row(finite, "model", ["roc.auc"], ["rank"]).first()) == ("c", 0.9)
+    assert tuple(models.best_row(df.limit(0), "model", ["roc.auc"]).first()) == (None, None)
+    got = [(r.model, r.rank) for r in profile.top_rows(df, ["roc.auc"], 5, ["rank"]).collect()]
+    assert got == [("c", 2), ("b", 3), ("b", 3), ("a", 1), ("d", 0)]
+    assert profile.top_rows(df.limit(0), ["roc.auc"], 3).collect() == []
