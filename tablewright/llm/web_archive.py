@@ -4,19 +4,23 @@ An ARC file starts with a version block, whose own lines name the fields of ever
 line: version 1 has URL, address, date, type and length, version 2 adds result code, checksum,
 location, offset and file name. Records are found by header line and declared length alone; their
 content may hold anything. The converter makes a WARC record of each: a name-based identifier from
-URL, date and digest, the date in ISO form, the type (response for HTTP content, resource
-otherwise), and the digests of block and payload. Of records with equal payloads the first one by
-`order` is a response, the others are revisits of it, which keep the HTTP header alone.
+archive, place, URL, date and digest, the date in ISO form, the type (response for HTTP content,
+resource otherwise), and the digests of block and payload. Of records with equal payloads the first one
+by page and place is a response, the others are revisits of it, which keep the HTTP header alone and
+name the response's identifier; a reader finds the response's page and payload size by that identifier.
 
-Archives are written by Spark's text writer, whose line separator is the record separator of the
-format, and read whole, file by file; `ARCHIVE_RECORDS` bounds a file. So they can lie in any store
-Spark reaches, and a lost task is written again. That writer takes UTF-8 only: a record in any
-other encoding raises.
+A record is a gzip member of its own. A task joins members to archives of about `ARCHIVE_BYTES`, and an
+archive is one row for Spark's text writer, cast from binary, so bytes of any encoding come through;
+the writer's line end is a zero byte, which gzip takes as padding. So archives can lie in any store
+Spark reaches, and a lost task is written again. Readers unpack one record at a time; Spark's reader
+of binary files takes archives of up to 2 GB packed.
 
 Defined cases: null content is empty; equal empty payloads are revisits like any others unless
-`least_bytes` says otherwise; a header line that cannot be parsed, or a length beyond the file's end,
-raises with the file's name; lines between records are skipped; repeated rows are records of their
-own. Extra columns are ignored. An empty table gives no records.
+`least_bytes` says otherwise; a null page comes after all others; a header line that cannot be parsed,
+or a length beyond the file's end, raises with the file's name, or is passed over, line by line up to
+the next header line, with `damaged="skip"`; a date that is none becomes the archive's own, a shorter one
+starts its month, day or hour; lines between records are skipped; repeated rows are records of their own,
+with identifiers of their own. Extra columns are ignored. An empty table gives no records.
 """
 
 from __future__ import annotations
@@ -24,102 +28,154 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from datetime import datetime
+from posixpath import basename
+from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import staged, text_of
+from tablewright.llm.common import staged
 from tablewright.session import scratch_path
 
-ARCHIVE_RECORDS = 2000
-CODEC = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+ARCHIVE_BYTES = 1 << 25
+BATCH_BYTES = 1 << 23
+#: A line longer than this is no header line.
+LINE_BYTES = 1 << 16
+#: Keys with more than one in this many of all copies are broadcast, so this many at most.
+HOT_KEYS = 4096
 
 #: Fields of a record's header line, by version of the archive; fixed by the format.
 FIELDS = {
     1: ("url", "ip", "date", "type", "length"),
     2: ("url", "ip", "date", "type", "code", "checksum", "location", "offset", "file", "length"),
 }
-RECORD = "url string, date string, page_id long, content binary, file string, at long"
+
+
+def member(record: bytes) -> bytes:
+    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return pack.compress(record) + pack.flush()
+
+
+def write_archives(records: DataFrame, path: str, first: bytes = b"", end: bytes = b"",
+                   archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write the one binary column as archives of about `archive_bytes` packed (or one record), each
+    starting with `first`; `end` follows every record."""
+    head = member(first) if first else b""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                packed = member(value.as_py() + end)
+                if parts and size + len(packed) > archive_bytes:
+                    yield row(parts)
+                    parts, size = [], 0
+                parts.append(packed)
+                size += len(packed)
+        if parts:
+            yield row(parts)
+
+    def row(parts: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"".join([head, *parts])], pa.binary())], names=["value"])
+
+    (records.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write
+     .option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path))
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1, key: str = "page_id", url: str = "url",
-              body: str = "html", date: str = "20240101000000") -> None:
-    """Write rows as ARC records with an HTTP header, one archive per task and `ARCHIVE_RECORDS`."""
+              body: str = "html", date: str = "20240101000000", archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write rows as ARC records with an HTTP header. `body` is text, stored as UTF-8, or binary."""
     extra = {1: [], 2: ["200", "-", "-", "0", "archive.arc"]}[version]
-    text = text_of(body)
+    data = F.coalesce(F.col(f"`{body}`").cast("binary"), F.lit(b""))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
-                    F.octet_length(text).cast("string"), F.lit("\r\nX-Page-Id: "),
+                    F.octet_length(data).cast("string"), F.lit("\r\nX-Page-Id: "),
                     F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.lit("\r\n\r\n"))
-    content = F.concat(http, text)
     # a header line is split at blanks, so none may stand inside a field
     place = F.regexp_replace(F.coalesce(F.nullif(F.col(f"`{url}`"), F.lit("")), F.lit("about:blank")), r"\s", "%20")
     line = F.concat_ws(" ", place, F.lit("0.0.0.0"), F.lit(date), F.lit("text/html"), *map(F.lit, extra),
-                       F.octet_length(content).cast("string"))
-    records = pages.select(F.concat(line, F.lit("\n"), content).alias("value"))
+                       (F.octet_length(http) + F.octet_length(data)).cast("string"))
+    records = pages.select(F.concat(F.concat(line, F.lit("\n"), http).cast("binary"), data).alias("value"))
     names = {1: "URL IP-address Archive-date Content-type Archive-length",
              2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
     block = f"{version} 0 tablewright\n{names[version]}\n"
-    first = " ".join(["filedesc://archive.arc", "0.0.0.0", date, "text/plain", *extra, str(len(block))]) + f"\n{block}"
+    first = " ".join(["filedesc://archive.arc", "0.0.0.0", date, "text/plain", *extra, str(len(block))]) + f"\n{block}\n"
+    write_archives(records, path, first.encode(), b"\n", archive_bytes)
 
-    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                out = []
-                for value in batch.column(0).slice(at, 64).to_pylist():
-                    if count % (ARCHIVE_RECORDS - 1) == 0:  # a file takes this many records after its first
-                        out.append(first)
-                    out.append(value)
-                    count += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
-    (records.mapInArrow(headed, "value string").write.option("lineSep", "\n")
-     .option("maxRecordsPerFile", ARCHIVE_RECORDS).options(**CODEC).text(path))
+def opened(data: bytes) -> BinaryIO:
+    """The archive unpacked as it is read, whether one gzip stream, a member a record, or plain."""
+    return gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
 
 
-def archive_bytes(content: bytes) -> bytes:
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+def arc_date(date: str, instead: str = "19700101000000") -> str:
+    """Date of 14 digits; a shorter one is filled up, what is no date gives `instead`."""
+    if re.fullmatch(r"\d{4}(\d\d){0,5}", date):
+        date += "00000101000000"[len(date):]
+        try:
+            return datetime.strptime(date, "%Y%m%d%H%M%S").strftime("%4Y%m%d%H%M%S")
+        except ValueError:
+            pass
+    return instead
 
 
-def arc_records(data: bytes, name: str = "") -> Iterator[tuple[dict, bytes, int]]:
+def arc_records(data: bytes, name: str = "", damaged: str = "raise") -> Iterator[tuple[dict, bytes, int]]:
     """Header fields, content and place of the records of one archive, without its version block."""
-    at, fields = 0, None
-    while at < len(data):
-        if data[at:at + 1] in b"\r\n":
-            at += 1
-            continue
-        end = data.find(b"\n", at)
-        parts = data[at:end if end >= 0 else len(data)].decode("utf-8", "replace").strip().split(" ")
-        if fields is None:  # the version block says how the lines of this archive read
-            if not parts[0].startswith("filedesc:") or not parts[-1].isdigit():
-                raise ValueError(f"{name}: no version block")
-            body = data[end + 1:end + 1 + int(parts[-1])]
-            version = body.split(b" ", 1)[0]
-            if not version.isdigit() or int(version) not in FIELDS:
-                raise ValueError(f"{name}: version {version[:10]!r} is not known")
-            fields, at = FIELDS[int(version)], end + 1 + int(parts[-1])
-            continue
-        if len(parts) < len(fields) or not parts[-1].isdigit() or end < 0:
-            raise ValueError(f"{name}: no header line at byte {at}")
-        head = dict(zip(fields[1:], parts[1 - len(fields):], strict=True))
-        head["url"] = " ".join(parts[:len(parts) - len(fields) + 1])  # stray blanks belong to the URL
-        stop = end + 1 + int(head["length"])
-        if stop > len(data):
-            raise ValueError(f"{name}: the record at byte {at} ends beyond the file")
-        yield head, data[end + 1:stop], at
-        at = stop
+    archive, fields, made, lost = opened(data), None, "", False
+    try:
+        while line := archive.readline(LINE_BYTES):
+            if not line.strip():
+                continue
+            after = archive.tell()
+            parts = line.decode("utf-8", "replace").strip().split(" ")
+            if fields is None:  # the version block says how the lines of this archive read
+                if not parts[0].startswith("filedesc:") or not parts[-1].isdecimal():
+                    raise ValueError(f"{name}: no version block")
+                version = archive.read(int(parts[-1])).split(b" ", 1)[0]
+                if not version.isdigit() or int(version) not in FIELDS:
+                    raise ValueError(f"{name}: version {version[:10]!r} is not known")
+                fields, made = FIELDS[int(version)], arc_date(parts[2] if len(parts) > 2 else "")
+                continue
+            head = header_line(parts, fields, lost) if line.endswith(b"\n") else None
+            content = archive.read(int(head["length"])) if head else b""
+            if head and len(content) == int(head["length"]):
+                lost, head["date"] = False, arc_date(head["date"], made)
+                yield head, content, after - len(line)
+            elif damaged == "skip":
+                lost = True
+                archive.seek(after)
+            elif head:
+                raise ValueError(f"{name}: the record at byte {after - len(line)} ends beyond the file")
+            else:
+                raise ValueError(f"{name}: no header line at byte {after - len(line)}")
+    except (EOFError, OSError, zlib.error) as broken:
+        if damaged != "skip":
+            raise ValueError(f"{name}: cannot be unpacked") from broken
+
+
+def header_line(parts: list[str], fields: tuple, lost: bool) -> dict | None:
+    """The fields of a header line. Where the place was `lost`, a URL's scheme and a date must be there."""
+    if len(parts) < len(fields) or not parts[-1].isdecimal():
+        return None
+    head = dict(zip(fields[1:], parts[1 - len(fields):], strict=True))
+    head["url"] = " ".join(parts[:len(parts) - len(fields) + 1])  # stray blanks belong to the URL
+    if lost and not (re.match(r"[A-Za-z][\w+.-]*:", head["url"]) and arc_date(head["date"], "")):
+        return None
+    return head
 
 
 def http_parts(content: bytes) -> tuple[bytes, bytes]:
     """HTTP header (with its empty line) and payload; no header where there is none."""
     if not content.startswith(b"HTTP/"):
         return b"", content
-    end = content.find(b"\r\n\r\n")
-    return (content[:end + 4], content[end + 4:]) if end >= 0 else (content, b"")
+    end = re.search(rb"\r?\n\r?\n", content)
+    return (content[:end.end()], content[end.end():]) if end else (content, b"")
 
 
 def sha1_text(data: bytes) -> str:
@@ -131,126 +187,178 @@ def header_value(header: bytes, name: bytes) -> str | None:
     return found[1].decode("utf-8", "replace") if found else None
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """file, at, url, date (14 digits), type, header, payload, payload_digest, payload_sha256, page_id."""
+def batched(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 256 + sum(len(v) for v in row.values() if isinstance(v, (bytes, str)))
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+
+
+def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    for batch in batches:
+        for name, content in zip(batch.column(0), batch.column(1), strict=True):
+            yield name.as_py(), content.as_py()
+
+
+def page_number(header: bytes) -> int | None:
+    page = header_value(header, b"X-Page-Id")
+    return int(page) if page and re.fullmatch(r"-?\d{1,18}|-?[1-8]\d{18}", page) else None
+
+
+def read_arc(spark: SparkSession, path: str, payloads: bool = True, damaged: str = "raise") -> DataFrame:
+    """file, at, url, ip, date (14 digits), type, page_id, size, payload_digest, payload_sha256 (hex) and,
+    with `payloads`, header and payload."""
+    schema = pa.schema([("file", pa.string()), ("at", pa.int64()), ("url", pa.string()), ("ip", pa.string()),
+                        ("date", pa.string()), ("type", pa.string()), ("page_id", pa.int64()), ("size", pa.int64()),
+                        ("payload_digest", pa.string()), ("payload_sha256", pa.string()),
+                        *([("header", pa.binary()), ("payload", pa.binary())] if payloads else [])])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = []
-                for head, block, at in arc_records(archive_bytes(content.as_py()), name):
-                    header, payload = http_parts(block)
-                    page = header_value(header, b"X-Page-Id") if header else None
-                    rows.append((name, at, head["url"], head["date"], head["type"], header, payload, sha1_text(payload),
-                                 hashlib.sha256(payload).digest(), int(page) if page else None))
-                    if len(rows) == 256:
-                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-
-    schema = pa.schema([("file", pa.string()), ("at", pa.int64()), ("url", pa.string()), ("date", pa.string()),
-                        ("type", pa.string()), ("header", pa.binary()), ("payload", pa.binary()),
-                        ("payload_digest", pa.string()), ("payload_sha256", pa.binary()), ("page_id", pa.int64())])
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInArrow(run, "file string, at long, url string, date string, type string, header binary, "
-                                 "payload binary, payload_digest string, payload_sha256 binary, page_id long")
-
-
-def warc_record(url: str, date: str, kind: str, header: bytes, payload: bytes, digest: str,
-                refers: tuple[str, str, str] | None) -> bytes:
-    """One record without the separator behind it. `refers`: identifier, URL and date of the response."""
-    when = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
-    block = header if refers else header + payload
-    lines = ["WARC/1.0", f"WARC-Type: {'revisit' if refers else 'response' if header else 'resource'}",
-             f"WARC-Record-ID: <{record_id(url, date, digest, header)}>", f"WARC-Date: {when}", f"WARC-Target-URI: {url}",
+        return batched((found(name, *record) for name, content in contents(batches)
+                        for record in arc_records(content, name, damaged)), schema)
+
+    def found(name: str, head: dict, block: bytes, at: int) -> dict:
+        header, payload = http_parts(block)
+        row = {"file": name, "at": at, "page_id": page_number(header), "size": len(payload),
+               "payload_digest": sha1_text(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(),
+               **{field: head[field] for field in ("url", "ip", "date", "type")}}
+        return row | {"header": header, "payload": payload} if payloads else row
+
+    return archives(spark, path).mapInArrow(
+        run, "file string, at long, url string, ip string, date string, type string, page_id long, size long, "
+             "payload_digest string, payload_sha256 string" + (", header binary, payload binary" if payloads else ""))
+
+
+def look_up(rows: DataFrame, facts: DataFrame, key: str, unlike: Column) -> DataFrame:
+    """`rows` with the column `fact` of the table `facts` (one row per `key`, with the number of its
+    `copies`), null where there is none. Keys with more than one in `HOT_KEYS` of all copies are
+    broadcast, `HOT_KEYS` at most; their rows go on under the value `unlike`, which is no key, and so
+    do not meet in one task."""
+    total = facts.agg(F.sum("copies")).first()[0] or 0
+    often = F.col("copies") * HOT_KEYS > total
+    hot = facts.where(often).select(F.col(key).alias("_hot"), F.col("fact").alias("_often"))
+    cold = facts.where(~often).select(F.col(key).alias("_cold"), F.col("fact").alias("_seldom"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
+        "_by", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(unlike))
+    return (marked.join(cold, F.col("_by") == F.col("_cold"), "left")
+            .withColumn("fact", F.coalesce("_often", "_seldom")).drop("_hot", "_often", "_by", "_cold", "_seldom"))
+
+
+def iso(date: str) -> str:
+    return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
+
+
+def record_id(file: str, at: int, url: str, date: str, digest: str) -> str:
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"{basename(file)} {at} {url} {date} {digest}").urn
+
+
+def warc_record(row: dict) -> bytes:
+    """One record without the lines behind it. `fact` is the response that the row repeats, if any."""
+    header, digest, first = row["header"], row["payload_digest"], row["fact"]
+    again = first is not None and (first["file"], first["at"]) != (row["file"], row["at"])
+    block = header if again else header + row["payload"]
+    lines = ["WARC/1.0", f"WARC-Type: {'revisit' if again else 'response' if header else 'resource'}",
+             f"WARC-Record-ID: <{record_id(row['file'], row['at'], row['url'], row['date'], digest)}>",
+             f"WARC-Date: {iso(row['date'])}", f"WARC-Target-URI: {row['url']}", f"WARC-IP-Address: {row['ip']}",
              f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_text(block)}"]
-    if refers:
+    if again:
+        named = record_id(first["file"], first["at"], first["url"], first["date"], digest)
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest",
-                  f"WARC-Refers-To: <{refers[0]}>", f"X-Refers-To-Page: {refers[1]}"]
-    lines += [f"Content-Type: {'application/http; msgtype=response' if header else kind}", f"Content-Length: {len(block)}"]
+                  f"WARC-Refers-To: <{named}>", f"WARC-Refers-To-Target-URI: {first['url']}",
+                  f"WARC-Refers-To-Date: {iso(first['date'])}"]
+    lines += [f"Content-Type: {'application/http; msgtype=response' if header else row['type']}",
+              f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def record_id(url: str, date: str, digest: str, header: bytes) -> str:
-    return uuid.uuid5(uuid.NAMESPACE_URL, f"{url} {date} {digest} {header_value(header, b'X-Page-Id') or ''}").urn
-
-
-def convert_arc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0) -> None:
+def convert_arc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0, damaged: str = "raise",
+                archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Convert all archives under `arc` to WARC archives under `warc`.
 
     Which record is the response of its payload is settled on digests alone; payloads are moved
     once, with their own records."""
-    firsts = staged(
-        read_arc(spark, arc).select("file", "at", "url", "date", "payload_digest", "page_id", "payload_sha256",
-                                    F.octet_length("payload").alias("size"), "header")
-        .groupBy("payload_sha256").agg(F.min(F.struct("page_id", "file", "at", "url", "date", "payload_digest", "header", "size"))
-                                       .alias("first"), F.count("*").alias("copies"))
-        .where((F.col("copies") > 1) & (F.col("first.size") >= least_bytes)).select("payload_sha256", "first"), "firsts")
-    records = read_arc(spark, arc).join(firsts, "payload_sha256", "left").select(
-        "url", "date", "type", "header", "payload", "payload_digest",
-        (F.col("first").isNotNull() & ~((F.col("first.file") == F.col("file")) & (F.col("first.at") == F.col("at")))).alias("again"),
-        F.col("first.page_id").alias("f_page"), F.col("first.url").alias("f_url"), F.col("first.date").alias("f_date"),
-        F.col("first.header").alias("f_header"))
+    first = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "file", "at", "url", "date", "size")
+    facts = staged(
+        read_arc(spark, arc, False, damaged).groupBy("payload_sha256")
+        .agg(F.min(first).alias("fact"), F.count("*").alias("copies"))
+        .where((F.col("copies") > 1) & (F.col("fact.size") >= least_bytes)), "firsts")
+    records = look_up(read_arc(spark, arc, True, damaged), facts, "payload_sha256", F.concat_ws(" ", "file", "at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                out = []
-                for r in batch.slice(at, 128).to_pylist():
-                    refers = None
-                    if r["again"]:
-                        page = "" if r["f_page"] is None else str(r["f_page"])
-                        refers = (record_id(r["f_url"], r["f_date"], r["payload_digest"], r["f_header"]), page, r["f_url"])
-                    out.append(warc_record(r["url"], r["date"], r["type"], r["header"], r["payload"], r["payload_digest"],
-                                           refers))
-                yield pa.RecordBatch.from_arrays([pa.array([b.decode() for b in out], pa.string())], names=["value"])
+        made = ({"value": warc_record(batch.slice(at, 1).to_pylist()[0])} for batch in batches
+                for at in range(batch.num_rows))
+        return batched(made, pa.schema([("value", pa.binary())]))
 
-    (records.mapInArrow(run, "value string").write.option("lineSep", "\r\n\r\n")
-     .option("maxRecordsPerFile", ARCHIVE_RECORDS).options(**CODEC).text(warc))
+    write_archives(records.mapInArrow(run, "value binary"), warc, end=b"\r\n\r\n", archive_bytes=archive_bytes)
 
 
 def warc_records(data: bytes, name: str = "") -> Iterator[tuple[bytes, bytes]]:
     """Header and block of the records of one archive, by their declared lengths."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        size = header_value(data[at:end + 2], b"Content-Length") if end >= 0 else None
-        if not data.startswith(b"WARC/", at) or not (size or "").isdigit() or end + 4 + int(size) > len(data):
+    archive = opened(data)
+    while line := archive.readline(LINE_BYTES):
+        if line in (b"\r\n", b"\n"):
+            continue
+        at, lines = archive.tell() - len(line), []
+        while line not in (b"\r\n", b"\n", b""):
+            lines.append(line)
+            line = archive.readline()
+        header = b"".join(lines)
+        size = header_value(header, b"Content-Length") or ""
+        if not header.startswith(b"WARC/") or not size.isdecimal():
             raise ValueError(f"{name}: no record at byte {at}")
-        yield data[at:end + 2], data[end + 4:end + 4 + int(size)]
-        at = end + 4 + int(size)
-        while data[at:at + 2] == b"\r\n":
-            at += 2
+        block = archive.read(int(size))
+        if len(block) < int(size):
+            raise ValueError(f"{name}: the record at byte {at} ends beyond the file")
+        yield header, block
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: record_id, record_type, url, page_id, payload_bytes, payload_digest, refers_to,
-    intact (the block, and of a response the payload, have the digests its header states)."""
+    """One row per record: record_id, record_type, url, page_id, payload_bytes, payload_digest, refers_to (the
+    page of the record that a revisit names), refers_to_id, intact (the block, and of a response the payload,
+    have the digests its header states). A revisit has the payload size of the record it names; where that
+    is not among the archives, page and size are null."""
     schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("page_id", pa.int64()),
-                        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("intact", pa.bool_())])
+                        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to_id", pa.string()),
+                        ("intact", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = []
-                for header, block in warc_records(archive_bytes(content.as_py()), name):
-                    http, payload = http_parts(block)
-                    kind, digest = header_value(header, b"WARC-Type"), header_value(header, b"WARC-Payload-Digest")[5:]
-                    page, refers = header_value(http, b"X-Page-Id"), header_value(header, b"X-Refers-To-Page")
-                    fine = header_value(header, b"WARC-Block-Digest")[5:] == sha1_text(block)
-                    size = len(payload)
-                    if kind == "revisit":  # its payload lies in the response; its HTTP header has the length
-                        size = int(header_value(http, b"Content-Length") or 0)
-                    else:
-                        fine = fine and digest == sha1_text(payload)
-                    rows.append({"record_id": header_value(header, b"WARC-Record-ID")[1:-1], "record_type": kind,
-                                 "url": header_value(header, b"WARC-Target-URI"), "page_id": int(page) if page else None,
-                                 "payload_bytes": size, "payload_digest": digest,
-                                 "refers_to": int(refers) if refers else None, "intact": fine})
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInArrow(run, "record_id string, record_type string, url string, page_id long, payload_bytes long, "
-                                 "payload_digest string, refers_to long, intact boolean")
+        return batched((found(*record) for name, content in contents(batches)
+                        for record in warc_records(content, name)), schema)
+
+    def found(header: bytes, block: bytes) -> dict:
+        http, payload = http_parts(block)
+        kind, named = header_value(header, b"WARC-Type"), header_value(header, b"WARC-Refers-To")
+        stated = {part: (header_value(header, b"WARC-" + part + b"-Digest") or "").removeprefix("sha1:")
+                  for part in (b"Block", b"Payload")}
+        fine = stated[b"Block"] in ("", sha1_text(block))
+        if kind != "revisit":
+            fine = fine and stated[b"Payload"] in ("", sha1_text(payload))
+        return {"record_id": header_value(header, b"WARC-Record-ID").strip("<>"), "record_type": kind,
+                "url": header_value(header, b"WARC-Target-URI"), "page_id": page_number(http),
+                "payload_bytes": None if kind == "revisit" else len(payload),
+                "payload_digest": stated[b"Payload"] or sha1_text(payload),
+                "refers_to_id": named.strip("<>") if named else None, "intact": fine}
+
+    rows = staged(archives(spark, path).mapInArrow(
+        run, "record_id string, record_type string, url string, page_id long, payload_bytes long, "
+             "payload_digest string, refers_to_id string, intact boolean"), "warc_rows")
+    again = F.col("record_type") == "revisit"
+    wanted = rows.where(again).groupBy("refers_to_id").agg(F.count("*").alias("copies"))
+    named = (rows.where(~again).groupBy(F.col("record_id").alias("refers_to_id"))
+             .agg(F.min(F.struct("page_id", "payload_bytes")).alias("fact")))
+    found_rows = look_up(rows.where(again), staged(wanted.join(named, "refers_to_id"), "named"), "refers_to_id",
+                         F.col("record_id"))
+    whole = found_rows.withColumn("payload_bytes", F.col("fact.payload_bytes")).withColumn("refers_to", F.col("fact.page_id"))
+    return whole.drop("fact").unionByName(rows.where(~again).withColumn("refers_to", F.lit(None).cast("long")))
 
 
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
