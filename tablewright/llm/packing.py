@@ -11,9 +11,11 @@ computes the places of its own documents, and no queue is walked from its start.
 Every sequence is full. What is left at the end makes sequences whose lengths are falling powers of
 two, so there is no padding at all.
 
-The ids are those of the given tokenizer's file, then the end id. Words the tokenizer would treat
-one by one are looked up in a table filled by the tokenizer itself; a text with any character whose
-treatment could depend on its surroundings goes to the tokenizer whole.
+The ids are those of the given tokenizer's file, then the end id. No word reaches over a blank, so
+texts are split at blanks, each different stretch of some megabytes of text is looked up once in a table
+of words filled by the tokenizer itself, and the ids are put in a row by Arrow. The table is bounded and
+goes on from task to task in a worker. A text with any character whose treatment could depend on its
+surroundings goes to the tokenizer whole.
 
 Defined cases: a null or empty text has the end id alone. A null source is a source of its own.
 Rows with equal keys are packed as the separate rows they are; extra columns are ignored. An empty
@@ -25,12 +27,13 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator, Mapping
-from itertools import chain
+from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +46,11 @@ END_ID = 1
 #: Credit is counted in parts of a token.
 PARTS = 4096
 ROWS_AT_ONCE = 256
-HELD_WORDS = 1 << 18
+#: Texts are looked up together by so many bytes, or one longer text.
+TEXT_BYTES = 1 << 23
+HELD_WORDS = 1 << 19
+#: A word longer than this is not held for later texts.
+HELD_CHARS = 64
 
 #: Letters of the two Latin blocks, without those whose lower case is not one letter.
 LETTERS = "a-zªµºß-öø-ÿĀ-įı-ſ"
@@ -52,6 +59,22 @@ PLAIN = re.compile("[\\t-\\r -~¡-±´-¸º»¿-įı-ſ‐-‧‰-⁞€]*")
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
 
 
+class HeldWords(dict):
+    """Ids by word, asked for once and kept; emptied when full."""
+
+    def __init__(self, ask: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.ask(word)
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        if len(word) <= HELD_CHARS:
+            self[word] = ids
+        return ids
+
+
 class WordIds:
     """Ids of texts as little-endian bytes, through a bounded table of words."""
 
@@ -61,7 +84,8 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.words = HeldWords(lambda word: (self.by_model if self.direct else self.encoded)([word])[0])
 
         # Words that are split already need no normaliser: a byte-level model takes each word's bytes as
         # printable characters. The short way is taken where it gives the tokenizer's own ids.
@@ -71,24 +95,61 @@ class WordIds:
         self.direct = self.by_model(probe) == self.encoded(probe)
 
     def by_model(self, words: list[str]) -> list[bytes]:
-        tokenize, shown = self.tokenizer.model.tokenize, self.shown
-        return [np.asarray([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(shown))],
-                           self.dtype).tobytes() for w in words]
+        tokenize, shown, packed = self.tokenizer.model.tokenize, self.shown, self.packed
+        return [b"".join([packed[t.id] for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(shown))])
+                for w in words]
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def of(self, texts: list[str]) -> list[bytes]:
+    def stretches(self, found: list[str]) -> list[bytes]:
+        """Ids of different stretches without blanks, each one word or several."""
+        made, split, get = list(map(self.words.get, found)), PIECE.findall, self.words.__getitem__
+        for at, ids in enumerate(made):
+            if ids is None:
+                made[at] = b"".join(map(get, split(found[at])))
+        return made
+
+    def column(self, texts: list[str]) -> pa.Array:
+        """The ids of each text, a binary column."""
         plain = [PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
-        split = [PIECE.findall(t.lower()) if p else None for t, p in zip(texts, plain, strict=True)]
-        if len(self.words) > HELD_WORDS:
-            self.words.clear()
-        new = [w for w in set(chain.from_iterable(s for s in split if s)) if w not in self.words]
-        self.words.update(zip(new, self.by_model(new) if self.direct else self.encoded(new), strict=True))
-        whole = iter(self.encoded([t for t, p in zip(texts, plain, strict=True) if not p]))
-        get = self.words.__getitem__
-        return [next(whole) if s is None else b"".join(map(get, s)) for s in split]
+        low = pa.array([t.lower() if p else "" for t, p in zip(texts, plain, strict=True)], pa.string())
+        split = pc.ascii_split_whitespace(low)
+        coded = split.values.dictionary_encode()
+        ids = pa.array(self.stretches(coded.dictionary.to_pylist()), pa.binary()).take(coded.indices)
+        # the ids of a text's stretches lie side by side, so only the bounds between texts are new
+        _, bounds, data = ids.buffers()
+        bounds = np.frombuffer(bounds, np.int32, len(ids) + 1, 4 * ids.offset)[split.offsets.to_numpy()]
+        made = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(bounds), data])
+        if all(plain):
+            return made
+        whole = pa.array(self.encoded([t for t, p in zip(texts, plain, strict=True) if not p]), pa.binary())
+        return pc.replace_with_mask(made, pa.array([not p for p in plain]), whole)
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        return self.column(texts).to_pylist()
+
+
+@lru_cache(1)
+def held_ids(path: str, changed: float) -> WordIds:
+    return WordIds(path)
+
+
+def word_ids(path: str) -> WordIds:
+    """The table of a file, one for all tasks of a worker while the file stays as it is."""
+    return held_ids(path, os.path.getmtime(path))
+
+
+def by_bytes(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of runs of up to `most` bytes, or of one row."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield at, stop - at
+        at = stop
 
 
 def tokenized(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", source: str = "source",
@@ -103,17 +164,17 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
         text_of(text).alias("text"), row_id.alias("row_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(path)
-        end = np.asarray([END_ID], ids.dtype).tobytes()
+        ids = word_ids(path)
+        end = pa.scalar(np.asarray([END_ID], ids.dtype).tobytes(), pa.binary())
         width = ids.dtype.itemsize
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                made = [b + end for b in ids.of(part.column(4).to_pylist())]
+            for at, rows_at_once in by_bytes(batch.column(4), TEXT_BYTES):
+                part = batch.slice(at, rows_at_once)
+                made = pc.binary_join_element_wise(ids.column(part.column(4).to_pylist()), end, pa.scalar(b"", pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(5), *(part.column(i) for i in range(4)),
-                     pa.array([len(b) // width for b in made], pa.int64()), pa.array(made, pa.binary()),
-                     pa.array([width] * len(made), pa.int32())],
+                     pc.divide(pc.binary_length(made), width).cast(pa.int64()), made,
+                     pa.array(np.full(len(made), width, np.int32))],
                     names=["row_id", "doc_id", "source", "slice", "place", "n", "ids", "width"])
 
     return rows.mapInArrow(run, "row_id long, doc_id long, source string, slice string, place long, "

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,6 +207,24 @@ def test_packing_short_way_equals_the_tokenizer():
     assert [t for t, got, want in zip(texts, ids.of(texts), ids.encoded(texts), strict=True) if got != want] == []
 
 
+def test_packing_words_are_asked_for_once(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids, long = packing.word_ids(path), "z" * 5000
+    asked, ask = [], ids.words.ask
+    ids.words.clear()
+    monkeypatch.setattr(ids.words, "ask", lambda w: asked.append(w) or ask(w))
+    odd = ["It's 'til ''s they'llo 2nd", "", " \t\n\x0b\x0c\r ", "éa\u0301 <|x|>", f" {long}.{long}\x0b'S end", "日本 it's", "a" * 70 + "'re"] * 3
+    assert ids.of(odd) == ids.encoded(odd) and ids.of([]) == []
+    assert sorted(asked) == sorted([*{w for w in asked if len(w) <= packing.HELD_CHARS}, "a" * 70, long, long])
+    del asked[:]
+    held = packing.word_ids(path)  # the next task of a worker finds the table as it was left
+    assert held is ids and held.of(odd[:1]) == ids.encoded(odd[:1]) and asked == []
+    monkeypatch.setattr(packing, "HELD_WORDS", 2)
+    assert held.of(odd) == ids.encoded(odd) and len(held.words) <= 2
+    texts = pa.array(["abc", "", "é" * 4, "x" * 30, "", "ab"])
+    assert list(packing.by_bytes(texts, 11)) == [(0, 3), (3, 1), (4, 2)] and list(packing.by_bytes(texts[:0], 9)) == []
+
+
 def test_packing_windows_hold_the_target_mix(spark):
     rows = [(i, prose(i, 100), f"s{i % 3}") for i in range(300)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
