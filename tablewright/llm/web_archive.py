@@ -12,8 +12,9 @@ name the response's identifier; a reader finds the response's page and payload s
 A record is a gzip member of its own. A task joins members to archives of about `ARCHIVE_BYTES`, and an
 archive is one row for Spark's text writer, cast from binary, so bytes of any encoding come through;
 the writer's line end is a zero byte, which gzip takes as padding. So archives can lie in any store
-Spark reaches, and a lost task is written again. Readers unpack one record at a time; Spark's reader
-of binary files takes archives of up to 2 GB packed.
+Spark reaches, and a lost task is written again. Readers unpack one record at a time, by `Unpacked`, which
+costs a small member less than `gzip.GzipFile` does; Spark's reader of binary files takes archives of up
+to 2 GB packed.
 
 Defined cases: null content is empty; equal empty payloads are revisits like any others unless
 `least_bytes` says otherwise; a null page comes after all others; a header line that cannot be parsed,
@@ -26,14 +27,15 @@ with identifiers of their own. Extra columns are ignored. An empty table gives n
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 import re
+import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
+from functools import lru_cache
 from posixpath import basename
 from typing import BinaryIO
 
@@ -46,6 +48,8 @@ from tablewright.session import scratch_path
 
 ARCHIVE_BYTES = 1 << 25
 BATCH_BYTES = 1 << 23
+#: Packed bytes are taken by so many.
+PACKED_BYTES = 1 << 14
 #: A line longer than this is no header line.
 LINE_BYTES = 1 << 16
 #: Keys with more than one in this many of all copies are broadcast, so this many at most.
@@ -63,17 +67,21 @@ def member(record: bytes) -> bytes:
     return pack.compress(record) + pack.flush()
 
 
-def write_archives(records: DataFrame, path: str, first: bytes = b"", end: bytes = b"",
-                   archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write the one binary column as archives of about `archive_bytes` packed (or one record), each
-    starting with `first`; `end` follows every record."""
+def only_column(batch: pa.RecordBatch) -> Iterator[bytes]:
+    return (value.as_py() for value in batch.column(0))
+
+
+def write_archives(rows: DataFrame, path: str, first: bytes = b"", end: bytes = b"", archive_bytes: int = ARCHIVE_BYTES,
+                   records: Callable[[pa.RecordBatch], Iterator[bytes]] = only_column) -> None:
+    """Write the records of all rows, by default the one binary column, as archives of about
+    `archive_bytes` packed (or one record), each starting with `first`; `end` follows every record."""
     head = member(first) if first else b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            for value in batch.column(0):
-                packed = member(value.as_py() + end)
+            for record in records(batch):
+                packed = member(record + end)
                 if parts and size + len(packed) > archive_bytes:
                     yield row(parts)
                     parts, size = [], 0
@@ -85,7 +93,7 @@ def write_archives(records: DataFrame, path: str, first: bytes = b"", end: bytes
     def row(parts: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([b"".join([head, *parts])], pa.binary())], names=["value"])
 
-    (records.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write
+    (rows.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write
      .option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path))
 
 
@@ -109,19 +117,96 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, key: str = "page_id
     write_archives(records, path, first.encode(), b"\n", archive_bytes)
 
 
+class Unpacked(io.RawIOBase):
+    """Gzip members unpacked as they are read; zero bytes behind a member are padding. A member's content
+    is given before its checksum is known; a wrong one raises at the next read, as with `gzip`."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.view = data, memoryview(data)
+        self.at, self.told, self.stream, self.check, self.size = 0, 0, None, 0, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def begin(self) -> bool:
+        """Pass over padding and the header of the next member, if there is one."""
+        data, at = self.data, self.at
+        while at and data[at:at + 1] == b"\0":
+            piece = data[at:at + PACKED_BYTES]
+            at += len(piece) - len(piece.lstrip(b"\0"))
+        if at >= len(data):
+            self.at = at
+            return False
+        if data[at:at + 3] != b"\x1f\x8b\x08"[:len(data) - at]:
+            raise OSError("no gzip member")
+        flags = data[at + 3] if at + 3 < len(data) else 0
+        at += 10
+        if flags & 4:
+            at += 2 + int.from_bytes(data[at:at + 2], "little")
+        for text in (8, 16):
+            if flags & text:
+                at = data.find(b"\0", at) + 1 or len(data) + 1
+        at += flags & 2
+        if at > len(data):
+            raise EOFError("the last member has no end")
+        self.at, self.stream, self.check, self.size = at, zlib.decompressobj(-15), 0, 0
+        return True
+
+    def end(self) -> None:
+        stated = self.data[self.at:self.at + 8]
+        if len(stated) < 8:
+            raise EOFError("the last member has no end")
+        if stated != struct.pack("<II", self.check, self.size & 0xFFFFFFFF):
+            raise OSError("a member differs from its checksum")
+        self.at, self.stream = self.at + 8, None
+
+    def readinto(self, room: memoryview) -> int:
+        made = b""
+        while not made:
+            if self.stream is not None and self.stream.eof:
+                self.end()
+            if self.stream is None and not self.begin():
+                return 0
+            piece = self.view[self.at:self.at + PACKED_BYTES]
+            made = self.stream.decompress(piece, len(room))
+            ended = self.stream.eof
+            self.at += len(piece) - len(self.stream.unused_data if ended else self.stream.unconsumed_tail)
+            if not (made or piece or ended):
+                raise EOFError("the last member has no end")
+        self.check, self.size = zlib.crc32(made, self.check), self.size + len(made)
+        room[:len(made)] = made
+        self.told += len(made)
+        return len(made)
+
+    def seek(self, place: int, whence: int = io.SEEK_SET) -> int:
+        if whence not in (io.SEEK_SET, io.SEEK_CUR):
+            raise io.UnsupportedOperation("the end is not known")
+        place += self.told * (whence == io.SEEK_CUR)
+        if place < self.told:
+            self.at, self.told, self.stream = 0, 0, None
+        while self.told < place and self.readinto(memoryview(bytearray(min(place - self.told, PACKED_BYTES)))):
+            pass
+        return self.told
+
+
 def opened(data: bytes) -> BinaryIO:
     """The archive unpacked as it is read, whether one gzip stream, a member a record, or plain."""
-    return gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+    return io.BufferedReader(Unpacked(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
 
 
 def arc_date(date: str, instead: str = "19700101000000") -> str:
     """Date of 14 digits; a shorter one is filled up, what is no date gives `instead`."""
-    if re.fullmatch(r"\d{4}(\d\d){0,5}", date):
-        date += "00000101000000"[len(date):]
+    if re.fullmatch(r"[0-9]{4}([0-9]{2}){0,5}", date):
+        whole = int(date + "00000101000000"[len(date):])
+        days, seconds = divmod(whole, 1_000_000)
         try:
-            return datetime.strptime(date, "%Y%m%d%H%M%S").strftime("%4Y%m%d%H%M%S")
+            datetime(days // 10_000, days // 100 % 100, days % 100, seconds // 10_000, seconds // 100 % 100, seconds % 100)
         except ValueError:
-            pass
+            return instead
+        return f"{whole:014}"
     return instead
 
 
@@ -182,11 +267,26 @@ def sha1_text(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+@lru_cache
+def header_pattern(name: bytes) -> re.Pattern:
+    return re.compile(rb"(?im)^" + re.escape(name) + rb":[ \t]*(.*?)\r?$")
+
+
 def header_value(header: bytes, name: bytes) -> str | None:
-    found = re.search(rb"(?im)^" + re.escape(name) + rb":[ \t]*(.*?)\r?$", header)
+    found = header_pattern(name).search(header)
     return found[1].decode("utf-8", "replace") if found else None
 
 
+def header_values(header: bytes) -> dict[bytes, str]:
+    """What `header_value` gives for each name, in lower case, from one walk over the header."""
+    made: dict[bytes, str] = {}
+    for line in header.split(b"\n"):
+        name, colon, value = line.partition(b":")
+        if colon:
+            made.setdefault(name.lower(), value.lstrip(b" \t").removesuffix(b"\r").decode("utf-8", "replace"))
+    return made
+
+
 def batched(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Batches of bounded bytes."""
     held, size = [], 0
@@ -280,6 +380,13 @@ def warc_record(row: dict) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
+def converted(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The records of the rows of a batch; one content at a time becomes a Python value."""
+    header, payload = batch.column("header"), batch.column("payload")
+    for at, row in enumerate(batch.drop_columns(["header", "payload"]).to_pylist()):
+        yield warc_record(row | {"header": header[at].as_py(), "payload": payload[at].as_py()})
+
+
 def convert_arc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0, damaged: str = "raise",
                 archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Convert all archives under `arc` to WARC archives under `warc`.
@@ -293,12 +400,7 @@ def convert_arc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0,
         .where((F.col("copies") > 1) & (F.col("fact.size") >= least_bytes)), "firsts")
     records = look_up(read_arc(spark, arc, True, damaged), facts, "payload_sha256", F.concat_ws(" ", "file", "at"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = ({"value": warc_record(batch.slice(at, 1).to_pylist()[0])} for batch in batches
-                for at in range(batch.num_rows))
-        return batched(made, pa.schema([("value", pa.binary())]))
-
-    write_archives(records.mapInArrow(run, "value binary"), warc, end=b"\r\n\r\n", archive_bytes=archive_bytes)
+    write_archives(records, warc, end=b"\r\n\r\n", archive_bytes=archive_bytes, records=converted)
 
 
 def warc_records(data: bytes, name: str = "") -> Iterator[tuple[bytes, bytes]]:
@@ -335,17 +437,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         for record in warc_records(content, name)), schema)
 
     def found(header: bytes, block: bytes) -> dict:
-        http, payload = http_parts(block)
-        kind, named = header_value(header, b"WARC-Type"), header_value(header, b"WARC-Refers-To")
-        stated = {part: (header_value(header, b"WARC-" + part + b"-Digest") or "").removeprefix("sha1:")
-                  for part in (b"Block", b"Payload")}
-        fine = stated[b"Block"] in ("", sha1_text(block))
+        (http, payload), said = http_parts(block), header_values(header)
+        kind, named, own = said.get(b"warc-type"), said.get(b"warc-refers-to"), sha1_text(payload)
+        stated = said.get(b"warc-payload-digest", "").removeprefix("sha1:")
+        fine = said.get(b"warc-block-digest", "").removeprefix("sha1:") in ("", sha1_text(block))
         if kind != "revisit":
-            fine = fine and stated[b"Payload"] in ("", sha1_text(payload))
-        return {"record_id": header_value(header, b"WARC-Record-ID").strip("<>"), "record_type": kind,
-                "url": header_value(header, b"WARC-Target-URI"), "page_id": page_number(http),
+            fine = fine and stated in ("", own)
+        return {"record_id": said[b"warc-record-id"].strip("<>"), "record_type": kind,
+                "url": said.get(b"warc-target-uri"), "page_id": page_number(http),
                 "payload_bytes": None if kind == "revisit" else len(payload),
-                "payload_digest": stated[b"Payload"] or sha1_text(payload),
+                "payload_digest": stated or own,
                 "refers_to_id": named.strip("<>") if named else None, "intact": fine}
 
     rows = staged(archives(spark, path).mapInArrow(

@@ -1,6 +1,7 @@
 """Archives of both kinds: bounds in bytes, other encodings, identifiers, damaged files."""
 
 import gzip
+import io
 import zlib
 
 import pytest
@@ -114,3 +115,47 @@ def test_a_named_record_elsewhere_leaves_page_and_size_null(spark, tmp_path):
     put(tmp_path / "warc", "part-a", record)
     (row,) = web_archive.read_warc(spark, f"{tmp_path}/warc").collect()
     assert (row.refers_to, row.payload_bytes, row.refers_to_id) == (None, None, "urn:b")
+
+
+def test_records_are_made_where_they_are_packed(spark, tmp_path, monkeypatch):
+    put(tmp_path / "arc", "part-a", arc([(b"http://a/", b"2001", HTTP % (1, b"x")), (b"http://b/", b"2001", HTTP % (2, b"x"))]))
+    rows = []
+    with monkeypatch.context() as m:
+        m.setattr(web_archive, "write_archives", lambda df, *_, **more: rows.append((df, more)))
+        web_archive.convert_arc(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    ((df, more),) = rows
+    # contents pass through Python once behind the archives' reader, not once more to be packed
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    (batch,) = df.orderBy("page_id").toArrow().combine_chunks().to_batches()
+    assert list(more["records"](batch)) == [web_archive.warc_record(row) for row in batch.to_pylist()]
+
+
+def test_header_values_and_dates():
+    header = (b"WARC/1.0\r\nWARC-Type: \t response \r\nwarc-type: second\r\nEmpty:\r\nNo colon\n"
+              b"URL:http://a/:8\nLatin: gr\xfc\xdfe\r\r\n x: y\r\n\r\n")
+    made = web_archive.header_values(header)
+    for name in (b"WARC-Type", b"Empty", b"URL", b"Latin", b" x", b"Missing"):
+        assert made.get(name.lower()) == web_archive.header_value(header, name)
+    cases = {"2001": "20010101000000", "200102": "20010201000000", "20240229235959": "20240229235959", "0001": "00010101000000",
+             "20230229": "-", "0000": "-", "20010101235960": "-", "20010101240000": "-", "20011301": "-", "20010100": "-", "20010": "-", "٢٠٢٠": "-", "": "-"}
+    assert {d: web_archive.arc_date(d, "-") for d in cases} == cases
+
+
+def test_members_are_read_as_gzip_reads_them():
+    plain = bytes(range(256)) * 300 + b"line\n" * 9000
+    named = b"\x1f\x8b\x08\x1e" + bytes(6) + b"\x03\x00abcname\0comment\0\0\0" + gzip.compress(b"extra", mtime=0)[10:]
+    packed = gzip.compress(plain) + b"\0" * 40_000 + named + gzip.compress(b"") + gzip.compress(b"last") + b"\0"
+    whole = plain + b"extralast"
+    archive = web_archive.opened(packed)
+    assert archive.read(5) + archive.read() == whole == gzip.decompress(packed)
+    assert archive.seek(76_802) == 76_802 and archive.readline() == whole[76_802:].split(b"\n")[0] + b"\n"
+    assert archive.seek(3) == 3 == archive.tell() and archive.read() == whole[3:]
+    wrong = bytearray(packed)
+    wrong[len(gzip.compress(plain)) - 8] ^= 1  # the checksum of the first member
+    for data, error in ((packed[:100], EOFError), (gzip.compress(b"x")[:-3], EOFError), (b"\x1f\x8b", EOFError),
+                        (packed + b"junk", OSError), (bytes(wrong), OSError)):
+        for read in (web_archive.opened(data), gzip.open(io.BytesIO(data))):
+            with pytest.raises(error):
+                read.read()
+    archive = web_archive.opened(bytes(wrong))
+    assert b"".join(archive.read1(4096) for _ in range(-(-len(plain) // 4096))).startswith(plain[:70_000])
