@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.cleaning import col_of
+from tablewright.operators import cell_trees
 from tablewright.operators.metrics import binary_metrics, roc_auc
 from tablewright.operators.projection import align_columns, drop_present, numeric_columns
 from tablewright.operators.quantiles import sql_name, with_stats
@@ -23,6 +24,8 @@ from tablewright.operators.scenarios import verdict_text
 from tablewright.session import ensure_checkpoint_dir, scratch_path, staged
 
 WEIGHT = "class_weight"
+#: Training rows from which trees are grown over cells of equal bins (`cell_trees`).
+CELL_ROWS = 1_000_000
 
 
 def feature_columns(df: DataFrame, label: str, drop: Sequence[str] = ()) -> list[str]:
@@ -133,6 +136,16 @@ def fit_model(train: DataFrame, estimator, features: Sequence[str],
     return model
 
 
+def fit_large(train: DataFrame, estimator, features: Sequence[str], made: dict) -> PipelineModel | None:
+    """As `fit_model`, with trees grown over cells; None where that cannot be done. `made` keeps the cells
+    for further estimators over the same rows."""
+    grown = cell_trees.fit_cells(train, estimator, features, made) if cell_trees.fits(estimator) else None
+    if grown is None:
+        return None
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    return PipelineModel([input_stage(features), assembler, grown])
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """MDL9: add `prediction` and `score`, the probability of class 1."""
     scored = model.transform(df).withColumn("score", vector_to_array("probability")[1])
@@ -162,24 +175,27 @@ def train_and_compare(train: DataFrame, select_on: DataFrame, features: Sequence
     """MDL7, MDL8: fit every model on `train`, measure all on `select_on`, keep the best ROC-AUC.
 
     Choosing on the validation rows leaves the test rows unseen; pass the test rows instead to
-    choose the way a two-way split does. The first of equal models wins.
+    choose the way a two-way split does. The first of equal models wins. From CELL_ROWS training rows on
+    trees are grown over cells.
     """
     # The fits read their rows many times: from written tables, not through the plans above them.
-    stored = staged(class_weights(_training_columns(train, features, label)), "train")
+    stored = class_weights(staged(_training_columns(train, features, label), "train"))
     rows = stored.count()
     ready = spread(stored, rows)
     held = staged(_training_columns(select_on, features, label), "held")
     estimators = define(rows, sizes)
-    models, measured = {}, []
+    models, measured, cells = {}, [], {}
     for rank, name in enumerate(names or ["logistic_regression", "random_forest",
                                           "gradient_boosting"]):
         started = time.monotonic()
-        models[name] = fit_model(ready, estimators[name], features)
+        grown = fit_large(stored, estimators[name], features, cells) if rows >= CELL_ROWS else None
+        models[name] = grown or fit_model(ready, estimators[name], features)
         seconds = time.monotonic() - started
         scored = staged(predict(models[name], held).select("label", "prediction", "score"), "scored")
         figures = binary_metrics(scored).first()
         auc = roc_auc(scored).first().roc_auc
         measured.append((name, rank, *figures, auc, seconds))
+    cell_trees.drop_cells(cells)
     results = train.sparkSession.createDataFrame(measured, RESULT_SCHEMA)
     return Training(models, results, best_of(results))
 
