@@ -617,7 +617,7 @@ def _mean_of(stats: np.ndarray) -> np.ndarray:
 
 def fits(estimator: Estimator) -> bool:
     """Whether the estimator grows its trees by rules that are followed here."""
-    if not isinstance(estimator, GBTClassifier):
+    if not isinstance(estimator, (RandomForestClassifier, GBTClassifier)):
         return False
     plain = (estimator.getSubsamplingRate() == 1.0 and estimator.getMinInfoGain() == 0.0
              and estimator.getMinWeightFractionPerNode() == 0.0 and estimator.getMaxBins() <= 256

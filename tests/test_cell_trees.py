@@ -6,7 +6,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tablewright.operators import cell_trees, models
+from tablewright.operators import cell_trees, metrics, models
 
 FEATURES = ["a", "b", "c"]
 
@@ -57,6 +57,53 @@ def test_rows_of_one_cell_cost_one_cell(spark, points):
     assert sorted((b, k, 2 * n) for b, k, n in rows(once)) == sorted(rows(often))
 
 
+def area(model, points):
+    features = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(points)
+    from pyspark.ml.functions import vector_to_array
+    return metrics.roc_auc(model.transform(features).withColumn("score", vector_to_array("probability")[1])).first().roc_auc
+
+
+def test_forest_fits_as_well_as_over_rows(spark, points):
+    estimator = RandomForestClassifier(numTrees=12, maxDepth=6, seed=42, weightCol=models.WEIGHT)
+    plain = estimator.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(models.spread(points, 4000)))
+    over_cells = cell_trees.fit_cells(points, estimator, FEATURES)
+    assert over_cells.getNumTrees == 12 and all(t.depth <= 6 for t in over_cells.trees)
+    assert area(over_cells, points) == pytest.approx(area(plain, points), abs=0.01)
+    assert list(over_cells.featureImportances) == pytest.approx(list(plain.featureImportances), abs=0.06)
+    drawn = [tree[0][1][-1] for tree in nodes(over_cells)]
+    assert len(set(drawn)) > 1 and np.mean(drawn) == pytest.approx(4000, rel=0.02)
+    for tree in nodes(over_cells):
+        leaves = [own for cut, own in tree if cut is None]
+        assert sum(own[-1] for own in leaves) == tree[0][1][-1]
+
+
+@pytest.mark.parametrize("block", [100_000, 500])
+def test_nodes_above_a_task_are_searched_over_all_blocks(spark, points, monkeypatch, block):
+    """With two features every node looks at both, so a forest depends on its draws alone."""
+    estimator = RandomForestClassifier(numTrees=3, maxDepth=7, seed=1, weightCol=models.WEIGHT)
+    monkeypatch.setattr(cell_trees, "BLOCK_CELLS", block)
+    whole = nodes(cell_trees.fit_cells(points, estimator, ["a", "b"]))
+    for most in (400, 3):
+        monkeypatch.setattr(cell_trees, "LOCAL_CELLS", most)
+        parts = nodes(cell_trees.fit_cells(points, estimator, ["a", "b"]))
+        for mine, other in zip(parts, whole, strict=True):
+            assert [c for c, _ in mine] == [c for c, _ in other]
+            assert all(a == pytest.approx(b) for (_, a), (_, b) in zip(mine, other))
+
+
+def test_large_training_tables_go_through_cells(spark, points, monkeypatch):
+    seen = []
+    fit = cell_trees.fit_cells
+    monkeypatch.setattr(cell_trees, "fit_cells", lambda rows, e, f, made: seen.append(len(made)) or fit(rows, e, f, made))
+    monkeypatch.setattr(models, "CELL_ROWS", 4000)
+    names = ["logistic_regression", "random_forest", "gradient_boosting"]
+    sizes = models.ModelSizes(lr_iterations=5, trees=3, depth=4, rounds=2)
+    done = models.train_and_compare(points, points, FEATURES, "label", names, sizes)
+    assert seen == [0, 1]  # the second estimator takes the cells of the first
+    assert {r.model for r in done.results.filter("roc_auc > 0.8").collect()} == set(names)
+    assert models.feature_contract(done.models["random_forest"]) == FEATURES
+
+
 def test_what_cannot_be_put_into_cells(spark, points):
     other = points.withColumn("label", F.col("label") + 1)
     assert cell_trees.fit_cells(other, GBTClassifier(maxIter=1), FEATURES) is None
