@@ -18,6 +18,11 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 _DATE_TEXT = rf"(?i)^({'|'.join(MONTHS)})\s+([0-9]{{1,2}}),\s+([0-9]{{4}})$"
 
+#: What is read as a double, in lower case: no hexadecimal text, no 'nan', and a type suffix only where a
+#: control character follows.
+NUMBER = (r"^[\x00-\x20]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?([df](?=[\x00-\x20]))?|inf(inity)?)"
+          r"[\x00-\x20]*$")
+
 
 def col_of(c: Column | str) -> Column:
     """A column given by name (any characters allowed) or as an expression."""
@@ -39,11 +44,12 @@ def normalize_missing(c: Column | str, tokens: Sequence[str] = MISSING_TOKENS) -
 def to_number(c: Column | str) -> Column:
     """SCL1: text to double; what is not a plain number becomes NULL.
 
-    Java also reads a type suffix ('1.0d') and hexadecimal floats, which are not numbers here.
+    Java also reads a type suffix ('1.0d') and hexadecimal floats, which are not numbers here. As in
+    Java, control characters around a number do not count.
     """
     text = F.lower(F.trim(col_of(c).cast("string")))
-    suffix = text.endswith("d") | (text.endswith("f") & ~text.endswith("inf"))
-    return nan_to_null(F.when(~suffix & ~text.contains("x"), text.try_cast("double")))
+    # Only texts that parse are parsed: a failed cast costs an exception, some 16 microseconds.
+    return nan_to_null(F.when(text.rlike(NUMBER), text.try_cast("double")))
 
 
 def fill(c: Column | str, value) -> Column:

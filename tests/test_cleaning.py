@@ -41,6 +41,16 @@ def test_numbers(spark):
         2, 1000, .5, 4, None, None, None, None, None, None, None, None, None, inf, -inf]
 
 
+def test_only_numbers_are_parsed(spark):
+    """A text that does not parse costs an exception, so none such may reach the cast."""
+    texts = ["1", " 2.5 ", "+.5", "4.", "1.e5", "1E-3", "-inf", "Infinity", "\t7\n", "8d\r", "", ".", "+", "e5", "1e", "free",
+             "0 - 20000", "1,000", "0x10", "1.0d", "3f", "nan", "+NaN", "1_0", "1 2", "\u0661", "inff", None]
+    assert column(spark, texts, "string", fc.to_number("v")) == [
+        1.0, 2.5, 0.5, 4.0, 1e5, 1e-3, float("-inf"), float("inf"), 7.0, 8.0] + [None] * 18
+    taken = column(spark, texts[:-1], "string", F.lower(F.trim(F.col("v"))).rlike(fc.NUMBER))
+    assert taken == [True] * 10 + [False] * 17
+
+
 def test_rounding_ties(spark):
     assert column(spark, [2.675, 0.125, 1.005, 0.375, 2.5, 19.985, None], "double",
                   fc.round_places("v")) == [2.68, 0.12, 1.0, 0.38, 2.5, 19.98, None]
