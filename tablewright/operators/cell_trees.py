@@ -73,9 +73,10 @@ def candidate_cuts(values: np.ndarray, weights: np.ndarray, most: int) -> np.nda
     """At most `most` cuts between the values: all midpoints if they are few, else midpoints at equal
     steps of the weight, by the rule of `pyspark.ml`."""
     distinct, place = np.unique(values, return_inverse=True)
-    middles = (distinct[:-1] + distinct[1:]) / 2
+    with np.errstate(invalid="ignore", over="ignore"):
+        middles = (distinct[:-1] + distinct[1:]) / 2
     if len(middles) <= most:
-        return middles
+        return middles[~np.isnan(middles)]  # between both infinities there is no cut
     upto = np.cumsum(np.bincount(place, weights))
     stride = upto[-1] / (most + 1)
     cuts, target = [], stride
@@ -83,7 +84,7 @@ def candidate_cuts(values: np.ndarray, weights: np.ndarray, most: int) -> np.nda
         if abs(upto[i - 1] - target) < abs(upto[i] - target):
             cuts.append(middles[i - 1])
             target += stride
-    return np.array(cuts)
+    return np.array([c for c in cuts if not np.isnan(c)])
 
 
 def bin_of(feature: str, cuts: np.ndarray) -> Column:
@@ -114,8 +115,10 @@ def make_cells(rows: DataFrame, features: Sequence[str], weight: str | None, bin
     found = table.groupBy("label", "w").agg(F.sum("n").alias("n")).orderBy("label", "w").limit(256).collect()
     if len(found) > 255 or any(r.label not in (0.0, 1.0) or r.w is None or not r.w >= 0 for r in found):
         return None
-    kinds = [(r.label, r.w) for r in found]
-    cuts = _sampled_cuts(table, names, sum(r.w * r.n for r in found), bins, seed)
+    kinds, whole = [(r.label, r.w) for r in found], sum(r.w * r.n for r in found)
+    if not 0 < whole < float("inf"):
+        return None
+    cuts = _sampled_cuts(table, names, whole, bins, seed)
     if not any(len(c) for c in cuts):
         return None
 

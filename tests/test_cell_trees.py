@@ -108,6 +108,8 @@ def test_what_cannot_be_put_into_cells(spark, points):
     other = points.withColumn("label", F.col("label") + 1)
     assert cell_trees.fit_cells(other, GBTClassifier(maxIter=1), FEATURES) is None
     assert cell_trees.fit_cells(points.withColumn("a", F.lit(1.0)), GBTClassifier(maxIter=1), ["a"]) is None
+    assert cell_trees.fit_cells(points.withColumn("w", F.lit(0.0)), GBTClassifier(maxIter=1, weightCol="w"), FEATURES) is None
+    assert cell_trees.fit_cells(points.limit(0), GBTClassifier(maxIter=1), FEATURES) is None
     assert not cell_trees.fits(GBTClassifier(subsamplingRate=0.5))
     assert not cell_trees.fits(RandomForestClassifier(featureSubsetStrategy="all"))
 
@@ -116,3 +118,6 @@ def test_candidate_cuts():
     assert list(cell_trees.candidate_cuts(np.array([3.0, 1.0, 1.0, 2.0]), np.ones(4), 31)) == [1.5, 2.5]
     assert list(cell_trees.candidate_cuts(np.array([5.0, 5.0]), np.ones(2), 31)) == []
     assert list(cell_trees.candidate_cuts(np.arange(8.0), np.ones(8), 3)) == [1.5, 3.5, 5.5]
+    inf = float("inf")
+    assert list(cell_trees.candidate_cuts(np.array([inf, -inf]), np.ones(2), 31)) == []
+    assert list(cell_trees.candidate_cuts(np.array([-inf, 1.0, inf]), np.ones(3), 31)) == [-inf, inf]
